@@ -1,0 +1,72 @@
+"""Trips and zones derived from the order tables used for testing.
+
+``trips`` turns every line item into a trip with integer arithmetic on its keys,
+so that another engine builds the same rows; line items of some orders become
+two trips of different vendors, which are the duplicates to be found. ``zones``
+are the nations, by region.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tierline.sources.tables import conform
+from tierline.trips import RAW_SCHEMA, RAW_SCHEMA_OLDER
+
+_MINUTE = "cast((l_orderkey * 37 + l_partkey * 11 + l_linenumber * 101) % 1440 as int)"
+_LENGTH = "cast(l_partkey % 61 as int)"
+_SHIFT = "l_shipdate + make_ym_interval(if(l_orderkey % 83 = 0, 34, 24), 0)"
+
+_COLUMNS = {
+    "VendorID": (
+        "explode(if(l_orderkey % 50 = 0, "
+        "array(l_linenumber % 2 + 1, 2 - l_linenumber % 2), "
+        "array(l_linenumber % 2 + 1)))"
+    ),
+    "tpep_pickup_datetime": f"{_SHIFT} + make_dt_interval(0, 0, {_MINUTE})",
+    "tpep_dropoff_datetime": f"{_SHIFT} + make_dt_interval(0, 0, {_MINUTE} + {_LENGTH})",
+    "passenger_count": "if(l_partkey % 23 = 0, null, l_linenumber % 6 + 1)",
+    "trip_distance": "if(l_suppkey % 89 = 0, -l_quantity, l_quantity / 4)",
+    "RatecodeID": "l_linenumber % 6 + 1",
+    "store_and_fwd_flag": (
+        "case when l_returnflag = 'R' then 'Y' when l_linenumber = 7 then null else 'N' end"
+    ),
+    "PULocationID": "if(l_orderkey % 97 = 0, null, l_suppkey % 30)",
+    "DOLocationID": "if(l_partkey % 101 = 0, null, l_partkey % 30)",
+    "payment_type": "l_linenumber",
+    "fare_amount": "l_extendedprice",
+    "extra": "l_discount",
+    "mta_tax": "l_tax",
+    "tip_amount": "l_quantity / 2",
+    "tolls_amount": "0.0",
+    "improvement_surcharge": "1.0",
+    "total_amount": "if(l_orderkey % 53 = 0, -l_extendedprice, l_extendedprice)",
+    "congestion_surcharge": "2.5",
+    "airport_fee": "if(l_suppkey % 30 = 1, 1.75, 0.0)",
+}
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips from all line items."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    derived = items.select(*(F.expr(sql).alias(name) for name, sql in _COLUMNS.items()))
+    return conform(derived, RAW_SCHEMA)
+
+
+def trips_older(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips with the column types of the older files."""
+    return conform(trips(spark, sf_dir), RAW_SCHEMA_OLDER)
+
+
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone lookup from nations and regions."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    joined = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+    return joined.select(
+        F.col("n_nationkey").cast("int").alias("LocationID"),
+        F.col("r_name").alias("Borough"),
+        F.col("n_name").alias("Zone"),
+        F.concat(F.lit("SZ_"), F.col("n_regionkey").cast("string")).alias("service_zone"),
+    )
