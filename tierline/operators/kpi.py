@@ -60,8 +60,9 @@ def trip_cells(silver: DataFrame) -> DataFrame:
     return _grouped(silver, {name: F.col(name) for name in CELL}, MEASURES, from_cells=False)
 
 
-_YEAR = F.year("pickup_date")
-_MONTH = F.month("pickup_date")
+def _period() -> dict[str, Column]:
+    """Integer period keys, derived from the date."""
+    return {"_year": F.year("pickup_date"), "_month": F.month("pickup_date")}
 
 
 def daily_revenue_by_zone(
@@ -85,8 +86,7 @@ def daily_revenue_by_zone(
             F.col("passengers").alias("total_passengers"),
             F.round("largest_amount", 2).alias("max_single_fare"),
             run_time(run_ts).alias("processed_at"),
-            _YEAR.alias("_year"),
-            _MONTH.alias("_month"),
+            *(c.alias(name) for name, c in _period().items()),
         )
     )
 
@@ -98,8 +98,7 @@ def hourly_demand(
     keys = {
         "pickup_hour": F.col("pickup_hour"),
         "day_of_week_num": F.dayofweek("pickup_date"),
-        "_year": _YEAR,
-        "_month": _MONTH,
+        **_period(),
     }
     measures = ("total_amount", "trip_distance", "passenger_count")
     return (
@@ -127,7 +126,7 @@ def payment_type_summary(
 
     The tip rate is taken over the rounded totals and is NULL without revenue.
     """
-    keys = {"payment_type": F.col("payment_type"), "_year": _YEAR, "_month": _MONTH}
+    keys = {"payment_type": F.col("payment_type"), **_period()}
     pairs = (
         F.lit(value).cast(kind)
         for code, name in trips.PAYMENT_NAMES.items()
@@ -158,9 +157,9 @@ def payment_type_summary(
 #: Reading order of each table. It belongs to a result that is looked at; a
 #: partitioned write does not keep a global order, so the jobs do not sort.
 READING_ORDER = {
-    "daily_revenue_by_zone": (F.asc("pickup_date"), F.desc("total_revenue")),
-    "hourly_demand": (F.asc("day_of_week_num"), F.asc("pickup_hour")),
-    "payment_type_summary": (F.desc("total_revenue"),),
+    "daily_revenue_by_zone": (("pickup_date", True), ("total_revenue", False)),
+    "hourly_demand": (("day_of_week_num", True), ("pickup_hour", True)),
+    "payment_type_summary": (("total_revenue", False),),
 }
 
 BUILDERS = {
@@ -171,4 +170,5 @@ BUILDERS = {
 
 
 def in_reading_order(df: DataFrame, table: str) -> DataFrame:
-    return df.orderBy(*READING_ORDER[table])
+    columns, ascending = zip(*READING_ORDER[table])
+    return df.orderBy(*columns, ascending=list(ascending))

@@ -12,13 +12,15 @@ def register_gold(spark: SparkSession, root: str, database: str | None = None) -
 
     Safe to repeat: a table is declared once, new periods are added and vanished
     ones dropped. A table that is declared over another folder is an error, not
-    silently left there. Returns the table names to query.
+    silently left there. A database that does not exist yet is created over ``root``.
+    Returns the table names to query.
     """
     if database is not None:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
     names = []
-    for table, columns in GOLD_TABLES.items():
+    for table, schema in GOLD_TABLES.items():
         name = f"`{table}`" if database is None else f"`{database}`.`{table}`"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         location = f"{root.rstrip('/')}/{table}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "

@@ -110,8 +110,7 @@ def read_gold(
     table: str,
     periods: Sequence[tuple[int | None, int | None]] | None = None,
 ) -> DataFrame:
-    schema = T.StructType.fromDDL(trips.GOLD_TABLES[table])
-    return read_layer(spark, f"{root.rstrip('/')}/{table}", schema, periods)
+    return read_layer(spark, f"{root.rstrip('/')}/{table}", trips.GOLD_TABLES[table], periods)
 
 
 def schema_drift(

@@ -29,21 +29,36 @@ MONEY_AND_FEES = (
 )
 
 
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def table_schema(**columns: str) -> T.StructType:
+    """Schema of nullable columns; needs no session, so it can be a constant."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
+
+
 def _raw_schema(id_type: str, count_type: str) -> T.StructType:
-    columns = [
-        f"VendorID {id_type}",
-        "tpep_pickup_datetime timestamp",
-        "tpep_dropoff_datetime timestamp",
-        f"passenger_count {count_type}",
-        "trip_distance double",
-        f"RatecodeID {count_type}",
-        "store_and_fwd_flag string",
-        f"PULocationID {id_type}",
-        f"DOLocationID {id_type}",
-        "payment_type bigint",
-        *(f"{name} double" for name in MONEY_AND_FEES),
-    ]
-    return T.StructType.fromDDL(", ".join(columns))
+    return table_schema(
+        VendorID=id_type,
+        tpep_pickup_datetime="timestamp",
+        tpep_dropoff_datetime="timestamp",
+        passenger_count=count_type,
+        trip_distance="double",
+        RatecodeID=count_type,
+        store_and_fwd_flag="string",
+        PULocationID=id_type,
+        DOLocationID=id_type,
+        payment_type="bigint",
+        **{name: "double" for name in MONEY_AND_FEES},
+    )
 
 
 #: Raw trips as they are published now.
@@ -51,8 +66,8 @@ RAW_SCHEMA = _raw_schema(id_type="int", count_type="bigint")
 #: Raw trips of the older files: wide ids, counts stored as doubles.
 RAW_SCHEMA_OLDER = _raw_schema(id_type="bigint", count_type="double")
 
-ZONE_SCHEMA = T.StructType.fromDDL(
-    "LocationID int, Borough string, Zone string, service_zone string"
+ZONE_SCHEMA = table_schema(
+    LocationID="int", Borough="string", Zone="string", service_zone="string"
 )
 
 SOURCE_SYSTEM = "nyc_tlc"
@@ -158,12 +173,12 @@ def quality_rules(
 # Schemas of the stored layers
 # ---------------------------------------------------------------------------
 
-_LINEAGE = "_ingested_at timestamp, _source_system string, _source_path string"
-_PERIOD = "_year string, _month string"
+_LINEAGE = table_schema(
+    _ingested_at="timestamp", _source_system="string", _source_path="string"
+).fields
+_PERIOD = table_schema(_year="string", _month="string").fields
 
-BRONZE_SCHEMA = T.StructType(
-    RAW_SCHEMA.fields + T.StructType.fromDDL(f"{_LINEAGE}, {_PERIOD}").fields
-)
+BRONZE_SCHEMA = T.StructType(RAW_SCHEMA.fields + _LINEAGE + _PERIOD)
 
 
 def _standardised_fields() -> list[T.StructField]:
@@ -173,13 +188,11 @@ def _standardised_fields() -> list[T.StructField]:
         T.StructField(RENAMES.get(f.name, f.name), retyped.get(f.name, f.dataType))
         for f in RAW_SCHEMA.fields
     ]
-    fields += T.StructType.fromDDL(_LINEAGE).fields
-    return fields + [T.StructField("trip_duration_minutes", T.DoubleType())]
+    return fields + _LINEAGE + table_schema(trip_duration_minutes="double").fields
 
 
 QUARANTINE_SCHEMA = T.StructType(
-    _standardised_fields()
-    + T.StructType.fromDDL(f"dq_issues string, is_valid boolean, {_PERIOD}").fields
+    _standardised_fields() + table_schema(dq_issues="string", is_valid="boolean").fields + _PERIOD
 )
 
 
@@ -188,35 +201,59 @@ def _silver_schema() -> T.StructType:
     front = ("dropoff_location_id", "pickup_location_id")
     fields = {f.name: f for f in _standardised_fields()}
     ordered = [fields.pop(name) for name in front] + list(fields.values())
-    extra = T.StructType.fromDDL(
-        "pickup_borough string, pickup_zone string, pickup_service_zone string, "
-        "dropoff_borough string, dropoff_zone string, dropoff_service_zone string, "
-        f"_silver_processed_at timestamp, _silver_version string, {_PERIOD}"
-    )
-    return T.StructType(ordered + extra.fields)
+    zones = {
+        f"{role}_{name}": "string"
+        for role in ("pickup", "dropoff")
+        for name in ("borough", "zone", "service_zone")
+    }
+    added = table_schema(**zones, _silver_processed_at="timestamp", _silver_version="string")
+    return T.StructType(ordered + added.fields + _PERIOD)
 
 
 SILVER_SCHEMA = _silver_schema()
 
-#: The gold tables, keyed by table name, as registered in the catalog.
+#: The gold tables by name, as stored and as registered in the catalog.
 GOLD_TABLES = {
-    "daily_revenue_by_zone": (
-        "pickup_date date, pickup_zone string, pickup_borough string, "
-        "pickup_service_zone string, total_trips bigint, total_revenue double, "
-        "avg_fare double, avg_trip_distance_miles double, "
-        "avg_trip_duration_mins double, total_passengers bigint, "
-        "max_single_fare double, processed_at timestamp, _year int, _month int"
+    "daily_revenue_by_zone": table_schema(
+        pickup_date="date",
+        pickup_zone="string",
+        pickup_borough="string",
+        pickup_service_zone="string",
+        total_trips="bigint",
+        total_revenue="double",
+        avg_fare="double",
+        avg_trip_distance_miles="double",
+        avg_trip_duration_mins="double",
+        total_passengers="bigint",
+        max_single_fare="double",
+        processed_at="timestamp",
+        _year="int",
+        _month="int",
     ),
-    "hourly_demand": (
-        "pickup_hour int, day_of_week_num int, day_of_week_name string, "
-        "is_weekend boolean, total_trips bigint, avg_revenue_per_trip double, "
-        "avg_distance_miles double, avg_passengers double, "
-        "processed_at timestamp, _year int, _month int"
+    "hourly_demand": table_schema(
+        pickup_hour="int",
+        day_of_week_num="int",
+        day_of_week_name="string",
+        is_weekend="boolean",
+        total_trips="bigint",
+        avg_revenue_per_trip="double",
+        avg_distance_miles="double",
+        avg_passengers="double",
+        processed_at="timestamp",
+        _year="int",
+        _month="int",
     ),
-    "payment_type_summary": (
-        "payment_type bigint, payment_type_desc string, total_trips bigint, "
-        "total_revenue double, avg_fare double, total_tips double, "
-        "avg_tip double, tip_rate_pct double, processed_at timestamp, "
-        "_year int, _month int"
+    "payment_type_summary": table_schema(
+        payment_type="bigint",
+        payment_type_desc="string",
+        total_trips="bigint",
+        total_revenue="double",
+        avg_fare="double",
+        total_tips="double",
+        avg_tip="double",
+        tip_rate_pct="double",
+        processed_at="timestamp",
+        _year="int",
+        _month="int",
     ),
 }
