@@ -136,9 +136,13 @@ _RUNS: dict[tuple[str, str], tuple[PipelineConfig, dict[str, int]]] = {}
 
 
 def stored_config(spark: SparkSession, sf_dir: str) -> PipelineConfig:
-    """Raw trips and lookup as files, and the settings of a run over them."""
+    """Raw trips and lookup as files, and the settings of a run over them.
+
+    Raw files arrive by time, so each holds a stretch of it.
+    """
     folder = work_folder(spark, "run")
-    fixtures.trips(spark, sf_dir).write.parquet(f"{folder}/raw")
+    by_time = fixtures.trips(spark, sf_dir).repartitionByRange("tpep_pickup_datetime")
+    by_time.write.parquet(f"{folder}/raw")
     fixtures.zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
     return PipelineConfig(
         raw=(RawInput(f"{folder}/raw"),),
@@ -161,6 +165,13 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, dict
     return _RUNS[key]
 
 
+def share_run(
+    spark: SparkSession, sf_dir: str, cfg: PipelineConfig, counts: dict[str, int]
+) -> None:
+    """Let the queries use a run that was made elsewhere."""
+    _RUNS[(spark.sparkContext.applicationId, sf_dir)] = cfg, counts
+
+
 def stored(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg, _ = pipeline_run(spark, sf_dir)

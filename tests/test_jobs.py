@@ -1,0 +1,118 @@
+"""The jobs end to end on small input."""
+
+import os
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from rows import many, zones
+from tierline.operators.ingest import GateFailed
+from tierline.plans import jobs
+from tierline.plans.config import PipelineConfig
+from tierline.sources.lookup import RepeatedLookupKey
+from tierline.sources.tables import RawInput, read_gold, read_quarantine, read_silver
+from tierline.trips import GOLD_TABLES
+
+RUN_TS = "2024-07-01 00:00:00"
+MONTH = "make_timestamp(2024, 1 + id % 3, 10, id % 24, id % 60, 0)"
+
+
+def raw_trips(spark, n=900, **expressions):
+    columns = {
+        "tpep_pickup_datetime": f"if(id % 100 = 7, null, {MONTH})",
+        "tpep_dropoff_datetime": f"{MONTH} + interval 5 minutes",
+        "trip_distance": "if(id % 50 = 3, -1, 2)",
+        "total_amount": "id",
+        "PULocationID": "id % 4",
+    }
+    return many(spark, n, **(columns | expressions))
+
+
+@pytest.fixture
+def cfg(spark, tmp_path):
+    raw_trips(spark).write.parquet(str(tmp_path / "raw"))
+    zones(spark).write.option("header", True).csv(str(tmp_path / "zones"))
+    return PipelineConfig(
+        raw=(RawInput(str(tmp_path / "raw")),),
+        zones=str(tmp_path / "zones"),
+        bronze=str(tmp_path / "bronze"),
+        silver=str(tmp_path / "silver"),
+        quarantine=str(tmp_path / "quarantine"),
+        gold=str(tmp_path / "gold"),
+        run_ts=RUN_TS,
+        database=f"db_{abs(hash(str(tmp_path)))}",
+    )
+
+
+def gold_rows(spark, cfg):
+    return {
+        table: sorted(map(str, read_gold(spark, cfg.gold, table).collect()))
+        for table in GOLD_TABLES
+    }
+
+
+def test_pipeline_counts_and_invariants(spark, cfg):
+    counts = jobs.run_pipeline(spark, cfg)
+    assert counts["raw"] == counts["bronze"] == counts["valid"] + counts["rejected"] == 900
+    assert counts["rejected"] == read_quarantine(spark, cfg.quarantine).count() == 18
+    assert counts["silver"] == read_silver(spark, cfg.silver).count() == 882
+    for table in GOLD_TABLES:
+        stored = read_gold(spark, cfg.gold, table)
+        assert stored.count() == counts[table]
+        assert stored.agg(F.sum("total_trips")).first()[0] == counts["silver"]
+    frame = jobs.counts_frame(spark, counts)
+    assert {r["stage"]: r["n_rows"] for r in frame.collect()} == counts
+
+
+def test_running_again_changes_nothing(spark, cfg):
+    first = jobs.run_pipeline(spark, cfg)
+    before = gold_rows(spark, cfg)
+    assert jobs.run_pipeline(spark, cfg) == first
+    assert gold_rows(spark, cfg) == before
+
+
+def test_period_run_touches_its_period_only(spark, cfg):
+    jobs.run_pipeline(spark, cfg)
+    before = gold_rows(spark, cfg)
+    raw_trips(spark, tip_amount="99", trip_distance="2").write.mode("overwrite").parquet(
+        cfg.raw[0].path
+    )
+    jobs.run_bronze(spark, cfg)
+    month = replace(cfg, periods=(("2024", "02"), (None, None)), run_ts="2024-08-01 00:00:00")
+    counts = jobs.run_silver(spark, month)
+    assert counts == {"valid": 306, "rejected": 0, "silver": 306}
+    jobs.run_gold(spark, month)
+    payment = read_gold(spark, cfg.gold, "payment_type_summary")
+    tips = {r["_month"]: r["avg_tip"] for r in payment.collect()}
+    assert tips == {1: 2.0, 2: 99.0, 3: 2.0, None: 99.0}
+    after = gold_rows(spark, cfg)
+    unchanged = [r for r in before["daily_revenue_by_zone"] if "_month=1" in r or "_month=3" in r]
+    assert unchanged and set(unchanged) <= set(after["daily_revenue_by_zone"])
+    left = read_quarantine(spark, cfg.quarantine).groupBy("_month").count().collect()
+    assert {r["_month"] for r in left} == {"01", "03"}
+
+
+def test_failed_gate_writes_nothing(spark, cfg):
+    raw_trips(spark, DOLocationID="if(id % 2 = 0, null, 1)").write.mode("overwrite").parquet(
+        cfg.raw[0].path
+    )
+    with pytest.raises(GateFailed):
+        jobs.run_pipeline(spark, cfg)
+    assert not os.path.exists(cfg.bronze) and not os.path.exists(cfg.gold)
+
+
+def test_repeated_lookup_key_stops_silver(spark, cfg):
+    zones(spark).unionByName(zones(spark)).write.mode("overwrite").option("header", True).csv(
+        cfg.zones
+    )
+    with pytest.raises(RepeatedLookupKey):
+        jobs.run_pipeline(spark, cfg)
+    assert not os.path.exists(cfg.silver) and not os.path.exists(cfg.quarantine)
+
+
+def test_previews_and_rebalanced_bronze(spark, cfg, capsys):
+    jobs.run_pipeline(spark, replace(cfg, previews=True, rebalance_bronze=True))
+    shown = capsys.readouterr().out
+    for column in ("_source_system", "dropoff_zone", "avg_fare", "is_weekend", "tip_rate_pct"):
+        assert column in shown

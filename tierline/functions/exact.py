@@ -6,8 +6,7 @@ minutes have few decimals, so each value is added as a whole number of
 1/10000 units in a ``bigint``: exact, associative, and a plain hash aggregate
 with map-side combine inside generated code.
 
-A measure is carried as four mergeable columns, so that it can be aggregated in
-one step or in several:
+A measure is aggregated into four columns:
 
 ===============  ==========================================================
 ``<m>__units``   sum of the values in 1/10000 units
@@ -36,7 +35,7 @@ def _partial_names(measure: str) -> tuple[str, str, str, str]:
     return tuple(f"{measure}__{part}" for part in ("units", "exact", "n", "float"))
 
 
-def start(measures: Iterable[str]) -> list[Column]:
+def partials(measures: Iterable[str]) -> list[Column]:
     """Aggregates that turn value columns into partial columns."""
     result = []
     for measure in measures:
@@ -53,23 +52,6 @@ def start(measures: Iterable[str]) -> list[Column]:
     return result
 
 
-def merge(measures: Iterable[str]) -> list[Column]:
-    """Aggregates that add up the partial columns of smaller groups."""
-    result = []
-    for measure in measures:
-        names = _partial_names(measure)
-        units, exact, n, floating = names
-        total = F.try_sum(units)
-        columns = (
-            total,
-            F.when(total.isNull(), F.lit(0)).otherwise(F.sum(exact)).cast("bigint"),
-            F.sum(n),
-            F.sum(floating),
-        )
-        result += [c.alias(name) for c, name in zip(columns, names)]
-    return result
-
-
 def total(measure: str, digits: int = 2) -> Column:
     """``round(sum(measure), digits)`` from the partial columns."""
     units, exact, n, floating = map(F.col, _partial_names(measure))

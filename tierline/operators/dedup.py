@@ -14,18 +14,21 @@ def deduplicate(
     df: DataFrame,
     keys: Sequence[str] = trips.TRIP_KEY,
     prefer: Sequence[str] = ("vendor_id",),
+    follows: Sequence[str] = trips.FROM_TRIP_KEY,
 ) -> DataFrame:
     """Keep one row per key: the smallest by ``prefer``, then by all other columns.
 
-    NULL keys are equal to each other and NULLs sort first. Because every column
-    takes part in the order, rows that still tie are identical, and the result is
-    the same for any partitioning of the input.
+    NULL keys are equal to each other and NULLs sort first. Only columns that
+    follow from the key (``follows``) stay out of the order, so rows that still
+    tie are identical and the result is the same for any partitioning of the
+    input. Kept out, those columns need not be shuffled when a later step derives
+    them again.
 
     Catalyst turns ``row_number() == 1`` into a group limit on both sides of the
     shuffle: each map task passes on at most one row per key, so a key that holds
     a large part of the table arrives as one row per map task.
     """
-    first = [*keys, *prefer]
-    order = [*prefer, *(c for c in df.columns if c not in first)]
+    settled = {*keys, *prefer, *follows}
+    order = [*prefer, *(c for c in df.columns if c not in settled)]
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")

@@ -1,12 +1,13 @@
 """The three gold tables.
 
-Sums, counts and maxima of the gold tables can be added up from smaller groups
-without loss (``functions.exact``). So there are two ways to the same result:
-
-* straight from silver, for one table on its own;
-* from ``trip_cells``, one aggregation to the cells all three tables share, for
-  a run that builds all three: the large table is read once instead of three
-  times and the tables are built from the cells.
+Each is one hash aggregate over the few columns it needs: map tasks combine
+first, so a zone or payment type with a large share of the trips is not a hot
+spot, and what is shuffled is the number of groups per map task.
+
+The tables are built from three pruned scans, not from a shared finer table. A
+table fine enough for all three (day, hour, zone and payment type) has hundreds
+of times more groups per map task than the daily table, and with many map tasks
+its shuffle outgrows what reading some columns twice costs.
 """
 
 from __future__ import annotations
@@ -21,43 +22,27 @@ from tierline.functions import exact
 from tierline.functions.calendar import day_name, run_time
 
 ZONE = ("pickup_zone", "pickup_borough", "pickup_service_zone")
-MEASURES = (
-    "total_amount",
-    "fare_amount",
-    "tip_amount",
-    "trip_distance",
-    "trip_duration_minutes",
-    "passenger_count",
-)
-CELL = ("pickup_date", "pickup_hour", *ZONE, "payment_type")
-
-
-def _grouped(
-    df: DataFrame, keys: dict[str, Column], measures: tuple[str, ...], from_cells: bool
-) -> DataFrame:
-    """Group silver rows, or cells, into trips, passengers, maximum and measures."""
-    if from_cells:
-        counts = F.sum("trips"), F.sum("passengers"), F.max("largest_amount")
-        partial = exact.merge(measures)
-    else:
-        counts = F.count(F.lit(1)), F.sum("passenger_count"), F.max("total_amount")
-        partial = exact.start(measures)
-        df = df.withColumns(
-            {"pickup_date": F.to_date("pickup_datetime"), "pickup_hour": F.hour("pickup_datetime")}
-        )
-    names = ("trips", "passengers", "largest_amount")
-    return df.groupBy(*(c.alias(name) for name, c in keys.items())).agg(
-        *(c.alias(name) for c, name in zip(counts, names)), *partial
-    )
 
 
-def trip_cells(silver: DataFrame) -> DataFrame:
-    """Trips per date, hour, zone and payment type, with mergeable measures.
+def _grouped(df: DataFrame, keys: dict[str, Column], measures: tuple[str, ...]) -> DataFrame:
+    """Group trips by ``keys`` into trip count and the partial columns of measures.
 
-    The number of cells is bounded by the calendar and the lookups, not by the
-    number of trips. Map tasks combine first, so a busy zone is not a hot spot.
+    Date and hour of the pickup are there for use in ``keys``.
     """
-    return _grouped(silver, {name: F.col(name) for name in CELL}, MEASURES, from_cells=False)
+    moments = {
+        "pickup_date": F.to_date("pickup_datetime"),
+        "pickup_hour": F.hour("pickup_datetime"),
+    }
+    return (
+        df.withColumns(moments)
+        .groupBy(*(c.alias(name) for name, c in keys.items()))
+        .agg(
+            F.count(F.lit(1)).alias("total_trips"),
+            F.sum("passenger_count").alias("total_passengers"),
+            F.max("total_amount").alias("largest_amount"),
+            *exact.partials(measures),
+        )
+    )
 
 
 def _period() -> dict[str, Column]:
@@ -65,9 +50,7 @@ def _period() -> dict[str, Column]:
     return {"_year": F.year("pickup_date"), "_month": F.month("pickup_date")}
 
 
-def daily_revenue_by_zone(
-    df: DataFrame, run_ts: datetime | str, from_cells: bool = False
-) -> DataFrame:
+def daily_revenue_by_zone(df: DataFrame, run_ts: datetime | str) -> DataFrame:
     """Revenue, trips and averages per day and pickup zone.
 
     Zones are told apart by their names; rows without a zone form a group.
@@ -75,15 +58,15 @@ def daily_revenue_by_zone(
     keys = {name: F.col(name) for name in ("pickup_date", *ZONE)}
     measures = ("total_amount", "fare_amount", "trip_distance", "trip_duration_minutes")
     return (
-        _grouped(df, keys, measures, from_cells)
+        _grouped(df, keys, measures)
         .select(
             *keys,
-            F.col("trips").alias("total_trips"),
+            "total_trips",
             exact.total("total_amount").alias("total_revenue"),
             exact.average("fare_amount").alias("avg_fare"),
             exact.average("trip_distance").alias("avg_trip_distance_miles"),
             exact.average("trip_duration_minutes").alias("avg_trip_duration_mins"),
-            F.col("passengers").alias("total_passengers"),
+            "total_passengers",
             F.round("largest_amount", 2).alias("max_single_fare"),
             run_time(run_ts).alias("processed_at"),
             *(c.alias(name) for name, c in _period().items()),
@@ -91,9 +74,7 @@ def daily_revenue_by_zone(
     )
 
 
-def hourly_demand(
-    df: DataFrame, run_ts: datetime | str, from_cells: bool = False
-) -> DataFrame:
+def hourly_demand(df: DataFrame, run_ts: datetime | str) -> DataFrame:
     """Trips and averages per hour, weekday and month."""
     keys = {
         "pickup_hour": F.col("pickup_hour"),
@@ -102,13 +83,13 @@ def hourly_demand(
     }
     measures = ("total_amount", "trip_distance", "passenger_count")
     return (
-        _grouped(df, keys, measures, from_cells)
+        _grouped(df, keys, measures)
         .select(
             "pickup_hour",
             "day_of_week_num",
             day_name("day_of_week_num").alias("day_of_week_name"),
             F.col("day_of_week_num").isin(1, 7).alias("is_weekend"),
-            F.col("trips").alias("total_trips"),
+            "total_trips",
             exact.average("total_amount").alias("avg_revenue_per_trip"),
             exact.average("trip_distance").alias("avg_distance_miles"),
             exact.average("passenger_count", 1).alias("avg_passengers"),
@@ -119,9 +100,7 @@ def hourly_demand(
     )
 
 
-def payment_type_summary(
-    df: DataFrame, run_ts: datetime | str, from_cells: bool = False
-) -> DataFrame:
+def payment_type_summary(df: DataFrame, run_ts: datetime | str) -> DataFrame:
     """Revenue and tips per payment type and month.
 
     The tip rate is taken over the rounded totals and is NULL without revenue.
@@ -138,11 +117,11 @@ def payment_type_summary(
     )
     tip_rate = F.round(F.try_divide(F.col("total_tips"), F.col("total_revenue")) * 100, 2)
     return (
-        _grouped(df, keys, ("total_amount", "tip_amount"), from_cells)
+        _grouped(df, keys, ("total_amount", "tip_amount"))
         .select(
             "payment_type",
             description.alias("payment_type_desc"),
-            F.col("trips").alias("total_trips"),
+            "total_trips",
             exact.total("total_amount").alias("total_revenue"),
             exact.average("total_amount").alias("avg_fare"),
             exact.total("tip_amount").alias("total_tips"),

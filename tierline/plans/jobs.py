@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.operators import kpi, reports
@@ -11,7 +15,7 @@ from tierline.operators.ingest import enforce_gate, with_lineage, with_period
 from tierline.operators.quality import rejected_rows, valid_rows
 from tierline.operators.standardise import standardise, with_silver_metadata
 from tierline.plans.config import PipelineConfig
-from tierline.session import pin_session, work_folder
+from tierline.session import pin_session
 from tierline.sinks.catalog import register_gold
 from tierline.sinks.tables import write_by_period, write_gold, write_quarantine
 from tierline.sources.lookup import checked_lookup, read_zone_lookup
@@ -25,6 +29,18 @@ from tierline.sources.tables import (
 Counts = dict[str, int]
 
 
+def _together(spark: SparkSession, writes: dict[str, Callable[[], int]]) -> Counts:
+    """Run independent writes at the same time; the first failure is raised.
+
+    Tasks of one fill the cores that another leaves idle at its end and while the
+    driver commits its files.
+    """
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        running = {name: pool.submit(in_session(write)) for name, write in writes.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
 def bronze_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Typed raw trips with lineage and period, one source path per input."""
     parts = [
@@ -71,32 +87,29 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     zones = read_zone_lookup(spark, cfg.zones)
 
     silver = silver_frame(standardised, zones, cfg)
-    kept = write_by_period(silver, cfg.silver, cfg.rebalance_silver)
-    rejected = write_quarantine(
-        rejected_rows(standardised, cfg.rules), cfg.quarantine, cfg.periods
+    rejected = rejected_rows(standardised, cfg.rules)
+    written = _together(
+        spark,
+        {
+            "silver": lambda: write_by_period(silver, cfg.silver, cfg.rebalance_silver),
+            "rejected": lambda: write_quarantine(rejected, cfg.quarantine, cfg.periods),
+        },
     )
     total = bronze.count()
     if cfg.previews:
         reports.preview_silver(read_silver(spark, cfg.silver, cfg.periods)).show(truncate=False)
-    return {"valid": total - rejected, "rejected": rejected, "silver": kept}
+    return {"valid": total - written["rejected"], **written}
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> Counts:
-    """Build the three gold tables from one pass over silver.
-
-    The shared cells are written to the work folder first; a lost executor then
-    costs a task over a small table, not a part of the large scan.
-    """
+    """Build the three gold tables, each from its own columns of silver."""
     pin_session(spark)
     silver = read_silver(spark, cfg.silver, cfg.periods)
-    folder = work_folder(spark, "trip-cells")
-    cells = kpi.trip_cells(silver)
-    cells.write.parquet(folder)
-    stored = spark.read.schema(cells.schema).parquet(folder)
-
-    counts = {}
-    for table, build in kpi.BUILDERS.items():
-        counts[table] = write_gold(build(stored, cfg.run_ts, from_cells=True), cfg.gold, table)
+
+    def writer(table: str) -> Callable[[], int]:
+        return lambda: write_gold(kpi.BUILDERS[table](silver, cfg.run_ts), cfg.gold, table)
+
+    counts = _together(spark, {table: writer(table) for table in kpi.BUILDERS})
     if cfg.previews:
         for table, show in (
             ("daily_revenue_by_zone", reports.preview_daily),

@@ -8,9 +8,25 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: How layers are written. Taken only where the session says nothing else.
+#: * Timestamps as micros keep statistics in the files, the older form does not.
+#: * A task that meets few periods writes them side by side instead of sorting
+#:   its rows by period first; with more of them it falls back to the sort.
+_WRITING = {
+    "spark.sql.parquet.outputTimestampType": ("INT96", "TIMESTAMP_MICROS"),
+    "spark.sql.maxConcurrentOutputFileWriters": ("0", "8"),
+}
+
+
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Fix what the results depend on: calendar columns are taken in UTC."""
+    """Fix what the results depend on, and set how layers are written.
+
+    Calendar columns are taken in UTC.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name, (default, ours) in _WRITING.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, ours)
     return spark
 
 

@@ -105,6 +105,9 @@ TRIP_KEY = (
     "total_amount",
 )
 
+#: Silver columns that follow from the key, so equal for copies of a trip.
+FROM_TRIP_KEY = ("trip_duration_minutes", "_year", "_month")
+
 #: ``dayofweek`` numbers these from 1.
 DAY_NAMES = (
     "Sunday",
