@@ -165,13 +165,6 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, dict
     return _RUNS[key]
 
 
-def share_run(
-    spark: SparkSession, sf_dir: str, cfg: PipelineConfig, counts: dict[str, int]
-) -> None:
-    """Let the queries use a run that was made elsewhere."""
-    _RUNS[(spark.sparkContext.applicationId, sf_dir)] = cfg, counts
-
-
 def stored(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg, _ = pipeline_run(spark, sf_dir)

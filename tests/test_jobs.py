@@ -93,6 +93,20 @@ def test_period_run_touches_its_period_only(spark, cfg):
     assert {r["_month"] for r in left} == {"01", "03"}
 
 
+@pytest.mark.parametrize("months", [1, 3])
+def test_backfill_in_batches_equals_one_run(spark, cfg, months):
+    jobs.run_bronze(spark, cfg)
+    batched = jobs.run_backfill(spark, cfg, months)
+    rows = gold_rows(spark, cfg)
+    whole = replace(cfg, silver=f"{cfg.silver}2", quarantine=f"{cfg.quarantine}2", gold=f"{cfg.gold}2")
+    assert batched == jobs.run_silver(spark, whole) | jobs.run_gold(spark, whole)
+    assert rows == gold_rows(spark, whole)
+    assert (
+        read_quarantine(spark, cfg.quarantine).count()
+        == read_quarantine(spark, whole.quarantine).count()
+    )
+
+
 def test_failed_gate_writes_nothing(spark, cfg):
     raw_trips(spark, DOLocationID="if(id % 2 = 0, null, 1)").write.mode("overwrite").parquet(
         cfg.raw[0].path

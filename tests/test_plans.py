@@ -95,6 +95,12 @@ def test_gate_reads_its_columns_only(spark, run):
     assert len(schema.split(",")) == len(ingest.trips.CRITICAL_COLUMNS)
 
 
+def test_filters_reach_the_raw_scan(spark, run):
+    df = read_raw_trips(spark, run.raw).filter("PULocationID = 5 AND total_amount > 10")
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan(df)).group(1)
+    assert "EqualTo(PULocationID,5)" in pushed and "GreaterThan(total_amount,10.0)" in pushed
+
+
 def test_gate_can_be_answered_from_footers(spark, run):
     """With aggregate pushdown switched on, no column data is read at all."""
     settings = {

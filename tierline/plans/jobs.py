@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ from tierline.sources.tables import (
     read_gold,
     read_raw_trips,
     read_silver,
+    stored_periods,
 )
 
 Counts = dict[str, int]
@@ -129,6 +132,23 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     return counts
 
 
+def run_backfill(spark: SparkSession, cfg: PipelineConfig, months: int = 1) -> Counts:
+    """Silver and gold for everything in bronze, some months at a time.
+
+    The result is that of one run over all periods. Each step shuffles its months
+    only, so the largest shuffle is that of the largest batch, and a run that was
+    interrupted goes on by repeating one batch (give the remaining ``periods``).
+    """
+    periods = cfg.periods or stored_periods(read_bronze(spark, cfg.bronze))
+    total: Counter[str] = Counter()
+    for first in range(0, len(periods), months):
+        batch = replace(cfg, periods=tuple(periods[first : first + months]))
+        total.update(run_silver(spark, batch))
+        total.update(run_gold(spark, batch))
+    register_gold(spark, cfg.gold, cfg.database)
+    return dict(total)
+
+
 def counts_frame(spark: SparkSession, counts: Counts) -> DataFrame:
     """Row counts of a run as a table, one row per stage."""
     return spark.createDataFrame(list(counts.items()), "stage string, n_rows bigint")

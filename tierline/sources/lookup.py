@@ -11,7 +11,7 @@ from tierline import trips
 
 #: A lookup up to these bounds is sent to every executor; see ``LookupFacts``.
 BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 class RepeatedLookupKey(ValueError):

@@ -86,6 +86,12 @@ def read_layer(
     return df if periods is None else df.filter(in_periods(periods))
 
 
+def stored_periods(layer: DataFrame) -> list[Period]:
+    """The periods of a stored layer; one row per month reaches the driver."""
+    rows = layer.select(*trips.PERIOD).distinct().orderBy(*trips.PERIOD).collect()
+    return [tuple(row) for row in rows]
+
+
 def read_bronze(
     spark: SparkSession, path: str, periods: Sequence[Period] | None = None
 ) -> DataFrame:
