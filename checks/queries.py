@@ -12,8 +12,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import fixtures
 from checks.oracle import RERUN_MONTH, RERUN_YEAR, RUN_TS, SOURCE_PATH
-from tierline import fixtures
 from tierline.operators import dedup, enrich, ingest, kpi, quality, reports, standardise
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig

@@ -46,7 +46,7 @@ def test_query_equals_sql(spark, duck, name):
     expected = duck.execute(ORACLE[name])
     expected_columns = [c[0] for c in expected.description]
     assert sorted(result.columns) == sorted(expected_columns)
-    got = bag(result.columns, (tuple(r) for r in result.toLocalIterator()))
+    got = bag(result.columns, (tuple(r) for r in result.collect()))
     want = bag(expected_columns, expected.fetchall())
     assert sum(got.values()) > 0
     missing, surplus = want - got, got - want

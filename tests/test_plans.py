@@ -153,6 +153,34 @@ def test_period_list_and_layout():
     assert two.rebalance_silver and two.gold_periods == ((2024, 2), (None, None))
 
 
+def test_rebalance_splits_a_period_with_most_rows(spark, tmp_path):
+    """Two thirds of the rows are one month; it is written by several tasks."""
+    month = "if(id % 3 < 2, 1, 2 + id % 10)"
+    df = ingest.with_period(
+        ingest.with_lineage(
+            many(
+                spark,
+                120_000,
+                tpep_pickup_datetime=f"make_timestamp(2024, {month}, 1, id % 24, id % 60, 0)",
+                total_amount="xxhash64(id) % 100000 / 100",
+            ),
+            "in/",
+            "2024-07-01",
+        )
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kept = spark.conf.get(size)
+    try:
+        spark.conf.set(size, str(256 * 1024))
+        write_by_period(df, str(tmp_path), rebalance=True)
+    finally:
+        spark.conf.set(size, kept)
+    hot = list((tmp_path / "_year=2024" / "_month=01").glob("*.parquet"))
+    rare = list((tmp_path / "_year=2024" / "_month=05").glob("*.parquet"))
+    assert len(hot) > 2 and len(rare) <= 2
+    assert read_bronze(spark, str(tmp_path)).count() == 120_000
+
+
 def test_rebalanced_write_makes_few_files(spark, tmp_path):
     df = ingest.with_period(
         ingest.with_lineage(

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig
 from tierline.sinks.catalog import register_gold
-from tierline.sources.tables import RawInput
+from tierline.sources.tables import RawInput, schema_drift
 from tierline.trips import RAW_SCHEMA_OLDER, quality_rules
 
 JOBS = {
@@ -32,7 +32,7 @@ def _period(text: str) -> tuple[str | None, str | None]:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tierline")
-    p.add_argument("job", choices=[*JOBS, "register"])
+    p.add_argument("job", choices=[*JOBS, "register", "drift"])
     p.add_argument("--raw", action="append", default=[], help="folder of raw files; repeatable")
     p.add_argument(
         "--raw-older", action="append", default=[], help="folder of raw files with the older types"
@@ -81,6 +81,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tierline-{args.job}").getOrCreate()
     if args.job == "register":
         print(json.dumps(register_gold(spark, cfg.gold, cfg.database)))
+    elif args.job == "drift":
+        for source in cfg.raw:
+            schema_drift(spark, source.path, source.file_schema).show(100, truncate=False)
     else:
         print(json.dumps(JOBS[args.job](spark, cfg)))
 
