@@ -114,7 +114,7 @@ def test_tables_do_not_depend_on_partitioning(spark, parts):
 
 
 def test_registered_tables_answer_sql(spark, tmp_path):
-    root = str(tmp_path / "gold")
+    root = str(tmp_path / "it's gold")
     month = "make_timestamp(2024, 1 + id % 3, 10, id % 24, 0, 0)"
     df = silver(
         spark,
@@ -129,7 +129,7 @@ def test_registered_tables_answer_sql(spark, tmp_path):
     for table, build in kpi.BUILDERS.items():
         write_gold(build(df, RUN), root, table)
     names = register_gold(spark, root, "gold_test")
-    assert register_gold(spark, root, "gold_test") == names
+    assert register_gold(spark, f"file://{root}/", "gold_test") == names
 
     top = reports.top_zones(spark, 2024, 1, table="gold_test.daily_revenue_by_zone")
     assert [tuple(r) for r in top.collect()] == [

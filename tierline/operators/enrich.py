@@ -28,7 +28,10 @@ def join_lookup(df: DataFrame, lookup: DataFrame, key: str, broadcast: bool) ->
     is joined by shuffle on the key and a salt: rows of one location are spread
     over ``SALTS`` sub-keys by the hash of their other columns, and each lookup
     row is there once per sub-key, so a hot location is not one task. Rows
-    without a key match nothing; they are spread the same way.
+    without a key match nothing; they are spread the same way. The salt is a hash
+    and not a random number, so a task that is run again sends every row to the
+    same place; only exact copies share a sub-key, and they are gone after
+    deduplication.
     """
     if broadcast:
         return df.join(F.broadcast(lookup), on=key, how="left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 from tierline.trips import GOLD_TABLES, PERIOD
@@ -16,7 +18,7 @@ def register_gold(spark: SparkSession, root: str, database: str | None = None) -
     Returns the table names to query.
     """
     if database is not None:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_text(root)}")
     names = []
     for table, schema in GOLD_TABLES.items():
         name = f"`{table}`" if database is None else f"`{database}`.`{table}`"
@@ -24,7 +26,7 @@ def register_gold(spark: SparkSession, root: str, database: str | None = None) -
         location = f"{root.rstrip('/')}/{table}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"PARTITIONED BY ({', '.join(PERIOD)}) LOCATION '{location}'"
+            f"PARTITIONED BY ({', '.join(PERIOD)}) LOCATION {_text(location)}"
         )
         _require_location(spark, name, location)
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
@@ -33,12 +35,18 @@ def register_gold(spark: SparkSession, root: str, database: str | None = None) -
     return names
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _require_location(spark: SparkSession, name: str, location: str) -> None:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     found = described.filter("col_name = 'Location'").first()["data_type"]
 
     def plain(path: str) -> str:
-        return path.removeprefix("file:").rstrip("/").replace("//", "/")
+        return re.sub("/+", "/", path.removeprefix("file:")).rstrip("/")
 
     if plain(found) != plain(location):
         raise ValueError(f"{name} is registered over {found}, not over {location}")
