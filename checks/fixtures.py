@@ -54,6 +54,33 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(derived, RAW_SCHEMA)
 
 
+def spread(raw: DataFrame, copies: int, days: int = 182) -> DataFrame:
+    """Each trip at ``copies`` moments from January 2024 on, for timing at size.
+
+    Copies differ in day and minute, so they are other trips. Trips beyond the
+    valid years keep their time.
+    """
+    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
+    day = F.pmod(F.unix_date(pickup.cast("date")) + F.col("copy") * 7, F.lit(days))
+    moved = F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")).cast("timestamp")
+    start = (
+        moved
+        + (pickup - F.date_trunc("day", pickup))
+        + F.make_dt_interval(F.lit(0), F.lit(0), F.col("copy"))
+    )
+    return (
+        raw.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        .withColumn("start", F.when(F.year(pickup) > 2025, pickup).otherwise(start))
+        .withColumns(
+            {
+                "tpep_pickup_datetime": F.col("start"),
+                "tpep_dropoff_datetime": F.col("start") + (dropoff - pickup),
+            }
+        )
+        .drop("copy", "start")
+    )
+
+
 def trips_older(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same trips with the column types of the older files."""
     return conform(trips(spark, sf_dir), RAW_SCHEMA_OLDER)

@@ -135,14 +135,15 @@ def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RUNS: dict[tuple[str, str], tuple[PipelineConfig, dict[str, int]]] = {}
 
 
-def stored_config(spark: SparkSession, sf_dir: str) -> PipelineConfig:
+def stored_config(spark: SparkSession, sf_dir: str, copies: int = 1) -> PipelineConfig:
     """Raw trips and lookup as files, and the settings of a run over them.
 
     Raw files arrive by time, so each holds a stretch of it.
     """
     folder = work_folder(spark, "run")
-    by_time = fixtures.trips(spark, sf_dir).repartitionByRange("tpep_pickup_datetime")
-    by_time.write.parquet(f"{folder}/raw")
+    raw = fixtures.trips(spark, sf_dir)
+    raw = raw if copies == 1 else fixtures.spread(raw, copies)
+    raw.repartitionByRange("tpep_pickup_datetime").write.parquet(f"{folder}/raw")
     fixtures.zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
     return PipelineConfig(
         raw=(RawInput(f"{folder}/raw"),),

@@ -93,6 +93,25 @@ def test_period_run_touches_its_period_only(spark, cfg):
     assert {r["_month"] for r in left} == {"01", "03"}
 
 
+def test_a_period_without_rows(spark, cfg):
+    jobs.run_pipeline(spark, cfg)
+    before = gold_rows(spark, cfg)
+    empty = replace(cfg, periods=(("1999", "01"),))
+    assert jobs.run_silver(spark, empty) == {"valid": 0, "rejected": 0, "silver": 0}
+    assert set(jobs.run_gold(spark, empty).values()) == {0}
+    assert gold_rows(spark, cfg) == before
+    assert read_quarantine(spark, cfg.quarantine).count() == 18
+
+
+def test_no_valid_rows_at_all(spark, cfg):
+    raw_trips(spark, trip_distance="-1").write.mode("overwrite").parquet(cfg.raw[0].path)
+    counts = jobs.run_pipeline(spark, cfg)
+    assert (counts["rejected"], counts["silver"]) == (900, 0)
+    assert {counts[table] for table in GOLD_TABLES} == {0}
+    assert read_quarantine(spark, cfg.quarantine).count() == 900
+    assert spark.table(f"{cfg.database}.hourly_demand").count() == 0
+
+
 @pytest.mark.parametrize("months", [1, 3])
 def test_backfill_in_batches_equals_one_run(spark, cfg, months):
     jobs.run_bronze(spark, cfg)
