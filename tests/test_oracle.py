@@ -9,11 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from checks import oracle, queries
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = queries.registered()
+ORACLE = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -53,5 +54,10 @@ def test_query_equals_sql(spark, duck, name):
     assert (list(missing)[:3], list(surplus)[:3]) == ([], [])
 
 
+def test_entry_points_hold_every_query_and_its_sql():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() > 0
