@@ -40,7 +40,7 @@ WINDOW = 8
 class QualityRules:
     """Parameters. ``trusted_rows`` bounds the sample of trusted documents."""
 
-    buckets: int = 10_000
+    buckets: int = 65_536
     trusted_rows: int = 20_000
     threshold: float = -0.1
     least_words: int = 20
@@ -88,7 +88,7 @@ def quality(
 
 
 def log_ratios(docs, trusted, params, id_column="doc_id", text_column="text") -> list[float]:
-    """log p(target) - log p(raw) of each bucket.
+    """log p(target) - log p(raw) of each bucket, to six decimals.
 
     The raw counts are smoothed by one for each bucket, and the target counts by
     the raw distribution with a weight of one for each bucket. So with few trusted
@@ -119,7 +119,7 @@ def log_ratios(docs, trusted, params, id_column="doc_id", text_column="text") ->
     for r, t in zip(raw, target):
         p = (r + 1) / (all_raw + size)
         q = (t + size * p) / (all_target + size)
-        result.append(math.log(q) - math.log(p))
+        result.append(round(math.log(q) - math.log(p), 6))
     return result
 
 
