@@ -49,7 +49,7 @@ class Mix:
     early: tuple[float, ...] = (1.5, 0.5, 1.0)
     late: tuple[float, ...] = (0.5, 1.5, 1.0)
     #: Rows of a block, about; a plan choice that changes no result.
-    block_rows: int = 20_000
+    block_rows: int = 4_000
 
     def __post_init__(self):
         if not len(self.weights) == len(self.early) == len(self.late):
