@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, mixing, quality_rules
+from tierline.llm import exact_dedup, mixing, packing, quality_rules, warc
 from tierline.llm.common import stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +49,35 @@ def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file that sequences are packed with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, packing.Packing(tokenizer_path()))
+
+
+def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    written = warc.write_archives(pages, warc.archive_folder(spark))
+    records = warc.read_archives(written, payloads=False)
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_pack": pack,
     "op2_quality": quality,
     "op7_mix": mix,
     "op9_exact_dedup": exact,
+    "op10_warc": archive,
 }

@@ -66,7 +66,25 @@ SELECT doc_id, size, source_size, target,
 FROM shares
 """
 
+WARC = r"""
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM firsts
+"""
+
 STATEMENTS: dict[str, str] = {
     "op7_mix": MIX,
     "op9_exact_dedup": EXACT,
+    "op10_warc": WARC,
 }
