@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, mixing, packing, quality_rules, warc
+from tierline.llm import exact_dedup, line_hashing, mixing, packing, quality_rules, warc
 from tierline.llm.common import stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.Packing(tokenizer_path()))
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_hashing.drop_repeated_units(docs, texts=False).drop("kept_text")
+
+
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     written = warc.write_archives(pages, warc.archive_folder(spark))
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op1_pack": pack,
     "op2_quality": quality,
     "op7_mix": mix,
+    "op8_line_hashing": repeated_lines,
     "op9_exact_dedup": exact,
     "op10_warc": archive,
 }
