@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,12 +69,21 @@ def once(rows: DataFrame, columns: list[Column], values: Column) -> DataFrame:
     return rows.select(*columns, F.inline_outer(F.array(values)))
 
 
-def free_name(taken: list[str], wanted: str) -> str:
-    """``wanted``, with underscores before it until no column has that name."""
-    lowered = {name.lower() for name in taken}
-    while wanted.lower() in lowered:
-        wanted = f"_{wanted}"
-    return wanted
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whatever their Python path; once a session."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[2]
+    name = Path(tempfile.mkdtemp(prefix="tierline-")) / "tierline.zip"
+    with zipfile.ZipFile(name, "w") as archive:
+        for path in sorted((top / "tierline").rglob("*.py")):
+            archive.write(path, path.relative_to(top))
+    context.addPyFile(str(name))
+    _shipped.add(context.applicationId)
 
 
 def require_columns(df: DataFrame, *names: str) -> None:

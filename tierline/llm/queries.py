@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, line_hashing, mixing, packing, quality_rules, warc
-from tierline.llm.common import stored, table, word_count
+from tierline.llm import exact_dedup, line_hashing, mixing, near_dedup, packing, quality_rules, warc
+from tierline.llm.common import ship_package, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,10 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_hashing.drop_repeated_units(docs, texts=False).drop("kept_text")
 
 
+def near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     written = warc.write_archives(pages, warc.archive_folder(spark))
@@ -79,11 +83,22 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "op1_pack": pack,
     "op2_quality": quality,
+    "op5_probminhash": near,
     "op7_mix": mix,
     "op8_line_hashing": repeated_lines,
     "op9_exact_dedup": exact,
     "op10_warc": archive,
 }
+
+QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.items()}
