@@ -100,16 +100,33 @@ class WordTokens:
         new: set[bytes] = set()
         for parts in split:
             new.update(set(parts).difference(known))
-        some = [p for p in new if len(p) <= self.LONGEST and self._MARK not in p]
-        for low in range(0, len(some), self._AT_ONCE):
-            portion = some[low : low + self._AT_ONCE]
-            known.update(zip(portion, self._encode_marked(portion)))
+        self._learn(new)
         for parts in split:
             try:
                 yield b"".join(map(known.__getitem__, parts))
             except KeyError:
                 yield b"".join([known[p] if p in known else self._encode(p) for p in parts])
 
+    def _learn(self, new: set[bytes]) -> None:
+        """Remember parts. Closing signs are tokens apart, so a word with them needs
+        no call if the word alone is known."""
+        known, wanted, signed = self._known, set(), []
+        for part in new:
+            word = part.rstrip(_SIGNS)
+            if len(word) < len(part) and b"<|" not in part and _LETTER.search(word):
+                signed.append((part, word, part[len(word) :]))
+                wanted.update(signed[-1][1:])
+            else:
+                wanted.add(part)
+        wanted.difference_update(known)
+        some = [p for p in wanted if len(p) <= self.LONGEST and self._MARK not in p]
+        for low in range(0, len(some), self._AT_ONCE):
+            portion = some[low : low + self._AT_ONCE]
+            known.update(zip(portion, self._encode_marked(portion)))
+        for part, word, signs in signed:
+            if word in known and signs in known:
+                known[part] = known[word] + known[signs]
+
     def _encode(self, text: bytes) -> bytes:
         found = self._tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
         return np.array(found.ids, dtype="<u4").tobytes()
@@ -130,16 +147,18 @@ class WordTokens:
 def _plain(text: bytes) -> bytes:
     """The text with fewer different parts, and the same ids.
 
-    The tokenizer has lower case only, and takes letters and signs apart. A text
-    that may hold its special tokens, which are matched as written, keeps its case.
+    The tokenizer lowers case itself, after composing accents. So a text with
+    combining accents (lead bytes CC, CD), or one that may hold special tokens,
+    which are matched as written, keeps its case.
     """
-    if text.isascii() and b"<|" not in text:
-        text = text.lower()
-    return _CLOSING.sub(rb" \1", text)
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text
+    return text.lower()
 
 
-#: A single sign between a letter and white space.
-_CLOSING = re.compile(rb"(?<=[A-Za-z])([.,;:!?])(?=[\x20\x09-\x0D]|\Z)")
+#: ASCII signs but for the apostrophe and the mark, and a letter or digit at the end.
+_SIGNS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}'
+_LETTER = re.compile(rb"(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
 
 
 @lru_cache(maxsize=1)
