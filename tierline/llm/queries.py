@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, line_hashing, mixing, near_dedup, packing, quality_rules, toxicity, warc
+from tierline.llm import exact_dedup, line_hashing, mixing, near_dedup, packing, quality_rules, repeats, toxicity, warc
 from tierline.llm.common import ship_package, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,13 @@ def near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return repeats.drop_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     written = warc.write_archives(pages, warc.archive_folder(spark))
@@ -100,6 +107,7 @@ _QUERIES: dict[str, Query] = {
     "op2_quality": quality,
     "op4_toxicity": toxic,
     "op5_probminhash": near,
+    "op6_suffix_radix": repeated_bytes,
     "op7_mix": mix,
     "op8_line_hashing": repeated_lines,
     "op9_exact_dedup": exact,
