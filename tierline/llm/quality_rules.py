@@ -41,8 +41,9 @@ class QualityRules:
     """Parameters. ``trusted_rows`` bounds the sample of trusted documents."""
 
     buckets: int = 65_536
+    prior: float = 50.0
     trusted_rows: int = 20_000
-    threshold: float = -0.1
+    threshold: float = -0.08
     least_words: int = 20
     most_repeated: int = 30  # per cent of the words
 
@@ -90,9 +91,10 @@ def quality(
 def log_ratios(docs, trusted, params, id_column="doc_id", text_column="text") -> list[float]:
     """log p(target) - log p(raw) of each bucket, to six decimals.
 
-    The raw counts are smoothed by one for each bucket, and the target counts by
-    the raw distribution with a weight of one for each bucket. So with few trusted
-    documents the ratios shrink to 0.
+    Each bucket has ``prior`` occurrences more in the raw corpus, and as many in
+    the target as the trusted share of all n-grams gives. So a bucket that was seen
+    a few times says little, in whichever documents that was, and the n-grams of a
+    trusted document are not favoured for being its own.
     """
     ids = trusted.select(quoted(id_column).alias("__trusted")).dropna().distinct()
     sample = ids.orderBy(F.xxhash64("__trusted"), "__trusted").limit(params.trusted_rows)
@@ -113,14 +115,14 @@ def log_ratios(docs, trusted, params, id_column="doc_id", text_column="text") ->
     raw, target = [0] * params.buckets, [0] * params.buckets
     for row in counts:
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
-    size = params.buckets
-    all_raw, all_target = sum(raw), sum(target)
-    result = []
-    for r, t in zip(raw, target):
-        p = (r + 1) / (all_raw + size)
-        q = (t + size * p) / (all_target + size)
-        result.append(round(math.log(q) - math.log(p), 6))
-    return result
+    share = sum(target) / max(sum(raw), 1)
+    if not share:
+        return [0.0] * params.buckets
+    prior = params.prior
+    return [
+        round(math.log((t + prior * share) / (r + prior)) - math.log(share), 6)
+        for r, t in zip(raw, target)
+    ]
 
 
 def _hashed(w: Column) -> Column:
