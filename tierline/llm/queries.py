@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, line_hashing, mixing, near_dedup, packing, quality_rules, repeats, toxicity, warc
+from tierline.llm import (
+    alignment,
+    exact_dedup,
+    line_hashing,
+    mixing,
+    near_dedup,
+    packing,
+    quality_rules,
+    repeats,
+    toxicity,
+    warc,
+)
 from tierline.llm.common import ship_package, stored, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +77,10 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_hashing.drop_repeated_units(docs, texts=False).drop("kept_text")
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_spans(table(spark, sf_dir, "documents"))
+
+
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -105,6 +120,7 @@ def _shipped(query: Query) -> Query:
 _QUERIES: dict[str, Query] = {
     "op1_pack": pack,
     "op2_quality": quality,
+    "op3_patience": aligned,
     "op4_toxicity": toxic,
     "op5_probminhash": near,
     "op6_suffix_radix": repeated_bytes,
