@@ -80,7 +80,7 @@ def drop_exact_duplicates(
     staying = (
         exact_duplicates(docs, id_column, text_column)
         .filter("kept")
-        .select(quoted(id_column).alias("__id"))
+        .select(quoted(id_column).alias("__id"), F.col("text_digest").alias("__kept"))
         .distinct()
     )
     rows = docs.select(
@@ -89,7 +89,7 @@ def drop_exact_duplicates(
         sha256(one_space(quoted(text_column))).alias("__digest"),
     )
     # The join deals the rows by id, so the window needs no further shuffle.
-    same = F.col("__own").eqNullSafe(F.col("__id"))
+    same = F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept"))
     joined = rows.join(staying.hint("merge"), same, "left_semi")
     order = Window.partitionBy("__own", "__digest").orderBy(F.xxhash64("__doc"))
     first = joined.withColumn("__n", F.row_number().over(order)).filter("__n = 1")
