@@ -1,0 +1,129 @@
+import random
+from collections import defaultdict
+
+from tests.llm.common import edge_rows, prose, table
+from tierline.llm.alignment import (
+    Alignment,
+    aligned_spans,
+    blocks,
+    drop_aligned_blocks,
+    patience,
+)
+from tests.llm.test_line_hashing import units
+
+
+def test_patience_matches_equal_elements_in_order():
+    draw = random.Random(3)
+    for _ in range(300):
+        x = [draw.randrange(12) for _ in range(draw.randrange(15))]
+        y = [draw.randrange(12) for _ in range(draw.randrange(15))]
+        found = patience(x, y)
+        assert all(x[i] == y[j] for i, j in found)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(found, found[1:]))
+    assert patience(list(range(9)), list(range(9))) == [(i, i) for i in range(9)]
+    # A moved block is aligned once: the longest increasing run of the unique lines stays.
+    assert patience([1, 2, 3, 4, 9], [9, 1, 2, 3, 4]) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    assert patience([5, 1, 6], [5, 2, 6]) == [(0, 0), (2, 2)]
+
+
+def test_unique_elements_in_order_are_all_matched():
+    draw = random.Random(4)
+    for _ in range(100):
+        x = draw.sample(range(100), 20)
+        y = sorted(draw.sample(x, 8), key=x.index)
+        noise = iter(range(1000, 1100))
+        spread = [v for k in y for v in (next(noise), k)]
+        assert [spread[j] for _, j in patience(x, spread)] == y
+
+
+def test_blocks_need_enough_words_and_adjacency():
+    words = [4, 4, 4, 20, 1]
+    assert blocks([(0, 0), (1, 1), (2, 2)], words, 10) == [0, 1, 2]
+    assert blocks([(0, 0), (2, 1), (3, 2)], words, 10) == []
+    assert blocks([(7, 3), (9, 4)], words, 10) == [3]
+
+
+def lines(text):
+    """(start, words) of each line with a word."""
+    data, found, at = (text or "").encode(), [], 0
+    for part in data.split(b"\n"):
+        own = [w for _, ws in units(part.decode("utf-8", "surrogateescape")) for w in ws]
+        if own:
+            found.append((at + len(part) - len(part.lstrip(b" \t\x0b\x0c\r")), tuple(own)))
+        at += len(part) + 1
+    return found
+
+
+def brute(rows, params):
+    """All pairs of documents that share a line of enough words, aligned."""
+    texts = {i: t for i, t in rows}
+    parsed = {i: lines(t) for i, t in texts.items()}
+    holders = defaultdict(set)
+    for i, own in parsed.items():
+        for _, w in own:
+            if len(w) >= params.anchor_words:
+                holders[w].add(i)
+    pairs = set()
+    for ids in holders.values():
+        ids = sorted(ids)
+        pairs |= {(ids[0], b) for b in ids[1:]}
+        if len(ids) <= params.rare:
+            pairs |= {(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :]}
+    gone = defaultdict(set)
+    for a, b in pairs:
+        x, y = [w for _, w in parsed[a]], [w for _, w in parsed[b]]
+        gone[b] |= set(blocks(patience(x, y), [len(w) for w in y], params.block_words))
+    kept = {}
+    for i, own in parsed.items():
+        data = (texts[i] or "").encode()
+        ends = [s for s, _ in own[1:]] + [len(data)]
+        out, at = b"", 0
+        for k, ((s, _), e) in enumerate(zip(own, ends)):
+            if k in gone[i]:
+                out, at = out + data[at:s], e
+        kept[i] = (out + data[at:], len(own), len(gone[i]))
+    return kept
+
+
+def rows():
+    passage = "\n".join(prose(700 + k, 8, 5_000) for k in range(4))
+    found = [(i, "\n".join(prose(20 * i + k, 9, 5_000) for k in range(6))) for i in range(100, 110)]
+    found += [(200 + i, f"{prose(i, 20, 5_000)}\n{passage}\n  {prose(i + 50, 9, 5_000)}\n") for i in range(12)]
+    found += [(300 + i, found[0][1].replace("\n", "\nnew line here\n", i)) for i in range(4)]
+    swapped = found[3][1].split("\n")
+    found += [(320, "\n".join(swapped[3:] + swapped[:3])), (321, "\n".join(swapped).upper())]
+    return found + [r for r in edge_rows() if r[0] not in (None, 6)]
+
+
+def test_spans_equal_brute_force(spark):
+    for params in (Alignment(), Alignment(rare=2, anchor_words=1, block_words=3)):
+        data = rows()
+        want = brute(data, params)
+        texts = dict(data)
+        for r in aligned_spans(table(spark, data), params).collect():
+            text = (texts[r.doc_id] or "").encode()
+            kept, at = b"", 0
+            for a, b in zip(r.span_starts, r.span_ends):
+                kept, at = kept + text[at:a], b
+            kept += text[at:]
+            assert (kept, r.n_lines, r.n_removed_lines) == want[r.doc_id], r.doc_id
+            assert r.n_bytes == len(text) and r.n_removed == len(text) - len(kept)
+
+
+def test_texts_lose_their_blocks_and_all_rows_stay(spark):
+    data = rows() + [(None, "x"), (None, prose(2, 60)), (6, prose(2, 60)), (6, prose(2, 60))]
+    docs = table(spark, data)
+    left = drop_aligned_blocks(docs)
+    assert left.columns == docs.columns
+    want = brute(rows() + [(6, prose(2, 60))], Alignment())
+    found = left.collect()
+    assert len(found) == len(data)
+    for r in found:
+        if r.doc_id is not None and r.doc_id != 1:
+            assert r.text.encode() == want[r.doc_id][0]
+    assert [r.text for r in found if r.doc_id == 1] == [None]
+
+
+def test_empty_table(spark):
+    assert aligned_spans(table(spark, [])).count() == 0
+    assert drop_aligned_blocks(table(spark, [])).count() == 0

@@ -1,0 +1,116 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm.common import WORD, edge_rows, prose, table
+from tierline.llm import arrays
+from tierline.llm.line_hashing import LineHashing, drop_repeated_units, units_of
+
+
+def units(text):
+    """(start, words) of each unit of the text's bytes."""
+    data = (text or "").encode()
+    found, before = [], None
+    for m in re.finditer(rb"[^\x20\x09-\x0D]+", data):
+        new = before is None or b"\n" in data[before.end() : m.start()] or before[0][-1:] in b".!?"
+        if new:
+            found.append((m.start(), []))
+        low = bytes(c + 32 if 65 <= c <= 90 else c for c in m[0])
+        found[-1][1].append(low)
+        before = m
+    return [(s, tuple(w)) for s, w in found]
+
+
+def brute(rows, least):
+    last = max([r[0] for r in rows if r[0] is not None], default=0) + 1
+    owner = defaultdict(lambda: last)
+    for i, text in rows:
+        for _, w in units(text):
+            owner[w] = min(owner[w], last if i is None else i)
+    result = []
+    for i, text in rows:
+        data, own, seen = (text or "").encode(), units(text), set()
+        gone = []
+        for _, w in own:
+            gone.append(owner[w] != (last if i is None else i) or w in seen)
+            seen.add(w)
+        k = 0
+        while k < len(own):
+            j = k
+            while j < len(own) and gone[j]:
+                j += 1
+            if j > k and sum(len(own[x][1]) for x in range(k, j)) < least:
+                gone[k:j] = [False] * (j - k)
+            k = max(j, k + 1)
+        ends = [s for s, _ in own[1:]] + [len(data)]
+        mask = bytearray(len(data))
+        for (s, _), e, g in zip(own, ends, gone):
+            if g:
+                mask[s:e] = b"\1" * (e - s)
+        kept = bytes(c for c, m in zip(data, mask) if not m)
+        result.append((i, len(own), sum(gone), len(data), len(data) - len(kept),
+                       hashlib.sha256(kept).hexdigest()))
+    return sorted(result, key=str)
+
+
+def rows():
+    passage = "\n".join(prose(500 + k, 15) + "." for k in range(4))
+    found = [(i, "\n".join(prose(10 * i + k, 14, 5_000) + "." for k in range(6))) for i in range(100, 130)]
+    found += [(200 + i, f"{prose(i, 20, 5_000)}.\n{passage}\n{prose(i + 50, 9, 5_000)}!") for i in range(20)]
+    found += [(300 + i, f"Short one. {prose(i + 900, 12, 5_000)}. Short  ONE. x") for i in range(10)]
+    found += [(400, "same line of more than ten words is here twice you see\n" * 3)]
+    return found + edge_rows()
+
+
+@pytest.mark.parametrize("least", [1, 10, 40])
+def test_spans_equal_brute_force(spark, least):
+    data = rows()
+    found = drop_repeated_units(table(spark, data), LineHashing(least)).collect()
+    names = ("doc_id", "n_units", "n_removed_units", "n_bytes", "n_removed", "kept_sha256")
+    assert sorted((tuple(r[n] for n in names) for r in found), key=str) == brute(data, least)
+    texts = defaultdict(list)
+    for i, text in data:
+        texts[i].append((text or "").encode())
+    for r in found:
+        spans = list(zip(r.span_starts, r.span_ends))
+        assert all(a < b for a, b in spans) and spans == sorted(spans)
+        if len(texts[r.doc_id]) == 1:
+            text, at, kept = texts[r.doc_id][0], 0, b""
+            for a, b in spans:
+                kept, at = kept + text[at:a], b
+            assert kept + text[at:] == bytes(r.kept_text)
+
+
+def test_empty_table(spark):
+    assert drop_repeated_units(table(spark, [])).count() == 0
+
+
+def test_words_and_units_whatever_the_slices(monkeypatch):
+    texts = [(t or "").encode() for _, t in rows()] + [b"x" * 5_000 + b" y", b"", b" a"]
+    column = pa.array(texts, pa.binary())
+    whole = arrays.words(*arrays.texts_of(column))
+    assert [int(n) for n in np.diff(whole.first)] == [len(WORD.findall(t.decode())) for t in texts]
+    first = units_of(*arrays.texts_of(column))
+    assert np.bincount(first.row, minlength=len(texts)).tolist() == [
+        len(units(t.decode())) for t in texts
+    ]
+    for size in (1, 3, 100):
+        monkeypatch.setattr(arrays, "_SLICE", size)
+        some = texts if size > 1 else texts[-3:] + texts[:2]
+        data = arrays.texts_of(pa.array(some, pa.binary()))
+        sliced = arrays.words(*data)
+        monkeypatch.setattr(arrays, "_SLICE", 1 << 20)
+        again = arrays.words(*data)
+        assert np.array_equal(sliced.start, again.start) and np.array_equal(sliced.hash, again.hash)
+
+
+def test_portions_hold_every_row_once():
+    texts = [b"x" * n for n in (5, 0, 300, 7, 7, 0)]
+    batch = pa.record_batch([pa.array(range(6)), pa.array(texts, pa.binary())], ["i", "t"])
+    for most in (1, 10, 10_000):
+        parts = list(arrays.portions(iter([batch, batch.slice(2, 3)]), 1, most))
+        assert [x for p in parts for x in p.column(0).to_pylist()] == [0, 1, 2, 3, 4, 5, 2, 3, 4]

@@ -291,20 +291,33 @@ def _next_record(file, low: int, high: int, size: int) -> int | None:
 
 def _begins_record(file, at: int) -> bool:
     """Whether a gzip member begins here and opens with a whole record header."""
-    unpacker, head = zlib.decompressobj(31), b""
-    try:
-        for data in _blocks(file, at, 1 << 12):
-            head += unpacker.decompress(data, 1 << 20)
-            if not head.startswith(VERSION[: min(len(head), 7)]) or len(head) > 1 << 20:
-                return False
-            if b"\r\n\r\n" in head:
-                fields = _fields(head)
-                return "warc-type" in fields and fields.get("content-length", "").isdigit()
-            if unpacker.eof:
-                return False
-    except zlib.error:
+    head = _head(file, at, 1 << 12)
+    if head is None:
+        # An error in a piece hides what came before it in that piece.
+        head = _head(file, at, 1)
+    if head is None or not head.startswith(VERSION[:7]) or b"\r\n\r\n" not in head:
         return False
-    return False
+    fields = _fields(head)
+    return "warc-type" in fields and fields.get("content-length", "").isdigit()
+
+
+def _head(file, at: int, piece: int) -> bytes | None:
+    """The member's beginning up to an empty line, or what there is of it; None on an error."""
+    unpacker, head = zlib.decompressobj(31), b""
+    for data in _blocks(file, at, 1 << 12):
+        for low in range(0, len(data), piece):
+            try:
+                head += unpacker.decompress(data[low : low + piece], 1 << 20)
+            except zlib.error:
+                return None
+            if (
+                b"\r\n\r\n" in head
+                or unpacker.eof
+                or len(head) > 1 << 20
+                or not head.startswith(VERSION[: min(len(head), 7)])
+            ):
+                return head
+    return head
 
 
 def _blocks(file, at: int, block: int) -> Iterator[bytes]:
