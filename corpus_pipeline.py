@@ -16,8 +16,9 @@ from tierline.llm.queries import tokenizer_path, trusted_ids
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality rules reject."""
-    judged = quality_rules.quality(docs, trusted_ids(spark, sf_dir))
-    return judged.filter("kept").select(*[quoted(c) for c in docs.columns])
+    row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
+    judged = quality_rules.quality(docs.select("doc_id", "text", row), trusted_ids(spark, sf_dir))
+    return judged.filter("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

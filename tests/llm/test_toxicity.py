@@ -1,0 +1,77 @@
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.common import edge_rows, prose, table
+from tierline.llm.queries import toxic
+from tierline.llm.toxicity import Toxicity, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+def held(i):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % 3 == 1
+
+
+def data():
+    draw, rows, labels = random.Random(2), edge_rows(), []
+    for i in range(100, 500):
+        words = prose(i, 40 + i % 50, 600).split()
+        bad = i % 4 == 0
+        if bad:
+            for _ in range(4):
+                words.insert(draw.randrange(len(words)), draw.choice(["Zorg,", "blarg", "FNORD."]))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    return rows, labels
+
+
+def scores(spark, rows, labels, **more):
+    known = spark.createDataFrame(labels, "doc_id long, toxic int, text string" if more else "doc_id long, toxic int")
+    return {
+        r.doc_id: r for r in toxicity(table(spark, rows), known, Toxicity()).collect()
+    }
+
+
+def test_held_out_documents_are_told_apart(spark):
+    rows, labels = data()
+    found = scores(spark, rows, labels)
+    for i, kind in labels:
+        assert found[i].held_out == held(i)
+        assert 0 <= found[i].score <= 1
+        assert found[i].predicted == int(found[i].score >= 0.7)
+    wrong = [i for i, kind in labels if held(i) and found[i].predicted != kind]
+    assert len(wrong) <= 2
+    for i in (1, 2, 3):  # no words
+        assert found[i].score == found[1].score and found[i].predicted == 0
+
+
+def test_held_out_labels_are_not_learned_from(spark):
+    rows, labels = data()
+    turned = [(i, 1 - k if held(i) else k) for i, k in labels] + [(None, 1), (7, None)]
+    a, b = scores(spark, rows, labels), scores(spark, rows, turned)
+    assert all(a[i].score == b[i].score for i in a)
+
+
+@pytest.mark.parametrize("labels", [[], [(i, 0) for i in range(100, 120)]])
+def test_without_both_classes_every_score_is_zero(spark, labels):
+    rows, _ = data()
+    assert {r.score for r in scores(spark, rows, labels).values()} == {0.0}
+
+
+def test_empty_table(spark):
+    _, labels = data()
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert toxicity(table(spark, []), known).count() == 0
+
+
+def test_held_out_accuracy_over_a_given_table(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    found = toxic(spark, SF).join(labels, "doc_id").filter("held_out")
+    r = found.agg(
+        F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))).alias("recall"),
+        F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("false"),
+    ).first()
+    assert r["recall"] > 0.85 and r["false"] < 0.01
