@@ -10,6 +10,7 @@ from __future__ import annotations
 RUN_TS = "2024-07-01 00:00:00"
 SOURCE_PATH = "raw/trips"
 RERUN_YEAR, RERUN_MONTH = "2022", "03"
+_RERUN = f"coalesce(_year = '{RERUN_YEAR}' AND _month = '{RERUN_MONTH}', false)"
 
 _LEG = """
 leg AS (
@@ -394,5 +395,25 @@ FROM payment
 ORDER BY total_revenue DESC, payment_type_desc, total_trips LIMIT 10""",
         ),
         "period_rerun": daily,
+        "rejected_month": _after(
+            "silver",
+            f"""
+SELECT layer, _year, _month, CAST(count(*) AS BIGINT) AS n_rows FROM (
+  SELECT 'silver' AS layer, _year, _month FROM silver
+  WHERE NOT ({_RERUN})
+  UNION ALL
+  SELECT 'gold' AS layer, _year, _month FROM silver
+  WHERE NOT ({_RERUN})
+  UNION ALL
+  SELECT 'quarantine' AS layer, _year, _month FROM tagged WHERE NOT is_valid OR ({_RERUN}))
+GROUP BY layer, _year, _month""",
+        ),
+        "fine_decimals": """
+SELECT l_returnflag, l_linestatus,
+       CAST((2 * s + 10000) // 20000 AS DOUBLE) / 100 AS total,
+       CAST((2 * s + 100 * n) // (200 * n) AS DOUBLE) / 10000 AS average
+FROM (SELECT l_returnflag, l_linestatus, CAST(sum(l_partkey) AS HUGEINT) AS s,
+             CAST(count(*) AS HUGEINT) AS n
+      FROM lineitem GROUP BY l_returnflag, l_linestatus)""",
         "stage_counts": _after("payment", _STAGE_COUNTS),
     }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures
 from checks.oracle import RERUN_MONTH, RERUN_YEAR, RUN_TS, SOURCE_PATH
+from tierline.functions import exact
 from tierline.operators import dedup, enrich, ingest, kpi, quality, reports, standardise
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig
@@ -214,6 +215,55 @@ def period_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold(spark, cfg.gold, "daily_revenue_by_zone")
 
 
+def rejected_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full run, then one month lands again with trips that all break a rule.
+
+    Rows by layer and period: the month is in quarantine and nowhere else.
+    """
+    cfg = stored_config(spark, sf_dir)
+    jobs.run_pipeline(spark, cfg)
+    again = RawInput(f"{work_folder(spark, 'raw')}/again")
+    trips_again = ingest.with_period(fixtures.trips(spark, sf_dir)).filter(in_periods(RERUN))
+    wrong = trips_again.withColumn("trip_distance", F.lit(-1.0)).drop("_year", "_month")
+    wrong.write.parquet(again.path)
+    month = replace(cfg, periods=RERUN, raw=(again,), null_rate_limit=1.0)
+    jobs.run_bronze(spark, month)
+    jobs.run_silver(spark, month)
+    jobs.run_gold(spark, month)
+    daily = read_gold(spark, cfg.gold, "daily_revenue_by_zone")
+    layers = {
+        "silver": read_silver(spark, cfg.silver).withColumn("n", F.lit(1).cast("long")),
+        "quarantine": read_quarantine(spark, cfg.quarantine).withColumn("n", F.lit(1).cast("long")),
+        "gold": daily.withColumns(
+            {
+                "n": F.col("total_trips"),
+                "_year": F.col("_year").cast("string"),
+                "_month": F.lpad(F.col("_month").cast("string"), 2, "0"),
+            }
+        ),
+    }
+    parts = [
+        layer.groupBy(F.lit(name).alias("layer"), "_year", "_month").agg(F.sum("n").alias("n_rows"))
+        for name, layer in layers.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def fine_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and averages of values with six decimals."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    values = items.select(
+        "l_returnflag", "l_linestatus", (F.col("l_partkey") / F.lit(1e6)).alias("x")
+    )
+    sums = values.groupBy("l_returnflag", "l_linestatus").agg(*exact.partials(["x"]))
+    return sums.select(
+        "l_returnflag",
+        "l_linestatus",
+        exact.total("x").alias("total"),
+        exact.average("x", 4).alias("average"),
+    )
+
+
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, counts = pipeline_run(spark, sf_dir)
     return jobs.counts_frame(spark, counts)
@@ -258,6 +308,8 @@ _QUERIES: dict[str, Query] = {
         kpi.payment_type_summary(silver(s, d), RUN_TS)
     ),
     "period_rerun": period_rerun,
+    "rejected_month": rejected_month,
+    "fine_decimals": fine_decimals,
     "stage_counts": stage_counts,
 }
 

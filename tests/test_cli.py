@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from rows import many, zones
 from tierline import __main__ as cli
 from tierline.sources.tables import read_gold
@@ -21,6 +23,22 @@ def test_settings():
     assert cli.config(cli.parser().parse_args(["gold"])).periods is None
 
 
+@pytest.mark.parametrize(
+    "line, missing",
+    [
+        ("gold --silver s", "--gold"),
+        ("bronze --bronze b", "--raw"),
+        ("backfill --zones z --bronze b --silver s --quarantine q --gold g --months 0", "--months"),
+        ("pipeline", "--raw"),
+    ],
+)
+def test_missing_paths_are_refused_before_a_session_starts(line, missing, capsys, monkeypatch):
+    monkeypatch.setattr(cli, "SparkSession", None)
+    with pytest.raises(SystemExit):
+        cli.main(line.split())
+    assert missing in capsys.readouterr().err
+
+
 def test_pipeline_from_the_command_line(spark, tmp_path, capsys):
     many(spark, 40, PULocationID="id % 4", total_amount="id").write.parquet(str(tmp_path / "raw"))
     zones(spark).write.option("header", True).csv(str(tmp_path / "zones"))
@@ -34,5 +52,7 @@ def test_pipeline_from_the_command_line(spark, tmp_path, capsys):
     assert read_gold(spark, str(tmp_path / "gold"), "payment_type_summary").count() == 1
     cli.main(["register", *paths, "--database", "from_cli"])
     assert spark.sql("SELECT sum(total_trips) FROM from_cli.hourly_demand").first()[0] == 40
+    cli.main(["backfill", *paths, "--database", "from_cli", "--months", "2"])
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["silver"] == 40
     cli.main(["drift", *paths])
     assert "retyped" not in capsys.readouterr().out

@@ -6,6 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierline.functions import exact
 
@@ -69,6 +70,39 @@ def test_values_without_exact_form_use_double_sums(spark):
     assert got["past_bigint"] == (2.7e15, 9.0e14)
 
 
+def test_no_digit_is_dropped(spark):
+    rows = spark.range(1_000_000).select(F.lit("g").alias("g"), F.lit(0.00004).alias("x"))
+    partial = rows.groupBy("g").agg(*exact.partials(["x"]))
+    assert partial.select(exact.total("x")).first()[0] == 40.0
+    got = aggregate(spark, {"twice": [1.00496, 1.00496], "tie": [0.00125] * 4, "tiny": [1e-20] * 3})
+    assert got["twice"] == (2.01, 1.0)
+    assert got["tie"] == (0.01, 0.0)
+    assert got["tiny"] == (0.0, 0.0)
+
+
+@pytest.mark.parametrize("decimals", [0, 2, 4])
+def test_many_decimals_and_any_unit(spark, decimals):
+    rng = random.Random(5)
+    groups = {f"g{i}": [rng.randint(-(10**9), 10**9) / 10**6 for _ in range(30)] for i in range(40)}
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    partial = df.groupBy("g").agg(*exact.partials(["x"], decimals))
+    result = partial.select(
+        "g", exact.total("x", 3, decimals).alias("s"), exact.average("x", 3, decimals).alias("a")
+    )
+    for r in result.collect():
+        total = sum((Fraction(str(v)) for v in groups[r["g"]]), Fraction(0))
+        assert (r["s"], r["a"]) == (half_up(total, 3), half_up(total / 30, 3))
+
+
+def test_large_values_add_up_the_same_in_any_order(spark):
+    values = [9.0e10, -9.0e10, 9.0e10, 0.01, 9.9e10] * 50
+    orders = [sorted(values), sorted(values, reverse=True), values]
+    results = {aggregate(spark, {"g": order})["g"] for order in orders}
+    total = sum((Fraction(str(v)) for v in values), Fraction(0))
+    assert results == {(half_up(total, 2), half_up(total / len(values), 2))}
+
+
 def test_digits_out_of_range():
     with pytest.raises(ValueError):
-        exact._half_up(None, None, 5)
+        exact.total("x", 15)

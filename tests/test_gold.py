@@ -1,11 +1,14 @@
 """Edge cases of the gold tables, the reports and registration."""
 
+import math
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from rows import many, raw, zones
+from tierline import session, trips
 from tierline.operators import kpi, reports
 from tierline.operators.enrich import enrich_with_zones
 from tierline.operators.standardise import standardise, with_silver_metadata
@@ -169,3 +172,42 @@ def test_previews_are_ordered_and_bounded(spark):
     assert revenue == sorted(revenue, reverse=True)
     assert reports.preview_silver(df).columns == list(reports.SILVER_PREVIEW)
     assert reports.preview_silver(df).count() == 5
+
+
+def test_nan_and_infinity_carry_through_the_roll_up(spark):
+    rows = [("a", math.nan, 1), ("a", 2.0, 1), ("b", math.inf, 1), ("c", 1e27, 1), ("c", 1.5, 1)]
+    daily = spark.createDataFrame(rows, "pickup_zone string, total_revenue double, total_trips long")
+    daily = daily.withColumn("pickup_borough", F.lit("x"))
+    found = {r["pickup_zone"]: r["revenue"] for r in reports.revenue_by_zone(daily).collect()}
+    assert math.isnan(found["a"]) and found["b"] == math.inf and found["c"] == 1e27
+
+
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}", "relative"])
+def test_registration_takes_any_form_of_a_path(spark, tmp_path, form):
+    root = tmp_path / "gold"
+    for table, schema in trips.GOLD_TABLES.items():
+        spark.createDataFrame([], schema).write.partitionBy(*trips.PERIOD).parquet(f"{root}/{table}")
+    here = os.path.relpath(root) if form == "relative" else form.format(root)
+    database = f"form_{abs(hash((str(tmp_path), form)))}"
+    for _ in range(2):
+        register_gold(spark, here, database)
+    with pytest.raises(ValueError, match="registered over"):
+        register_gold(spark, str(tmp_path / "other"), database)
+
+
+def test_work_folder_of_a_session_without_a_shared_one():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master, applicationId = "local[2]", "some-application"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    first, second = (session.work_folder(Session(), "x") for _ in range(2))
+    assert first != second and os.path.dirname(first) == os.path.dirname(second)
+    Context.master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        session.work_folder(Session(), "x")

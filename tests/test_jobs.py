@@ -1,6 +1,7 @@
 """The jobs end to end on small input."""
 
 import os
+import time
 from dataclasses import replace
 
 import pytest
@@ -11,7 +12,7 @@ from tierline.operators.ingest import GateFailed
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig
 from tierline.sources.lookup import RepeatedLookupKey
-from tierline.sources.tables import RawInput, read_gold, read_quarantine, read_silver
+from tierline.sources.tables import RawInput, read_bronze, read_gold, read_quarantine, read_silver
 from tierline.trips import GOLD_TABLES
 
 RUN_TS = "2024-07-01 00:00:00"
@@ -149,3 +150,59 @@ def test_previews_and_rebalanced_bronze(spark, cfg, capsys):
     shown = capsys.readouterr().out
     for column in ("_source_system", "dropoff_zone", "avg_fare", "is_weekend", "tip_rate_pct"):
         assert column in shown
+
+
+def test_periods_whose_rows_are_all_rejected_are_emptied(spark, cfg):
+    jobs.run_pipeline(spark, cfg)
+    raw_trips(spark, trip_distance="if(month(tpep_pickup_datetime) = 2, -1, 2)").write.mode(
+        "overwrite"
+    ).parquet(cfg.raw[0].path)
+    counts = jobs.run_pipeline(spark, cfg)
+    silver, rejected = read_silver(spark, cfg.silver), read_quarantine(spark, cfg.quarantine)
+    assert counts["silver"] == silver.count() and counts["rejected"] == rejected.count() > 0
+    assert silver.filter("_month = '02'").isEmpty()
+    for table in GOLD_TABLES:
+        stored = read_gold(spark, cfg.gold, table)
+        assert stored.filter("_month = 2").isEmpty() and stored.count() == counts[table]
+        assert spark.table(f"{cfg.database}.{table}").filter("_month = 2").isEmpty()
+
+
+def test_a_month_of_bronze_is_not_wiped_by_a_stray_row(spark, cfg, tmp_path):
+    jobs.run_bronze(spark, cfg)
+    before = read_bronze(spark, cfg.bronze).groupBy("_month").count().collect()
+    raw_trips(spark, 300, tpep_pickup_datetime="make_timestamp(2024, if(id = 5, 1, 2), 3, 1, 1, 0)"
+              ).write.mode("overwrite").parquet(cfg.raw[0].path)
+    month = replace(cfg, periods=(("2024", "02"),))
+    with pytest.raises(jobs.StrayRows):
+        jobs.run_bronze(spark, month)
+    assert read_bronze(spark, cfg.bronze).groupBy("_month").count().collect() == before
+    strays = str(tmp_path / "strays")
+    counts = jobs.run_bronze(spark, replace(month, strays=strays))
+    assert counts == {"raw": 300, "strays": 1, "bronze": 299}
+    assert spark.read.parquet(strays).count() == 1
+    after = {r["_month"]: r["count"] for r in read_bronze(spark, cfg.bronze).groupBy("_month").count().collect()}
+    assert after == {r["_month"]: r["count"] for r in before} | {"02": 299}
+
+
+def test_each_input_is_gated_alone(spark, cfg, tmp_path):
+    empty = raw_trips(spark, 20, DOLocationID="cast(null as int)")
+    empty.write.parquet(str(tmp_path / "bad"))
+    two = replace(cfg, raw=(*cfg.raw, RawInput(str(tmp_path / "bad"))))
+    with pytest.raises(GateFailed):
+        jobs.run_bronze(spark, two)
+    assert not os.path.exists(cfg.bronze)
+
+
+def test_a_failed_write_ends_the_others(spark):
+    def slow() -> int:
+        spark.range(200).repartition(200).foreach(lambda _: time.sleep(1))
+        return 1
+
+    def failing() -> int:
+        time.sleep(2)
+        raise OSError("disk")
+
+    began = time.time()
+    with pytest.raises(OSError, match="disk"):
+        jobs._together(spark, {"slow": slow, "failing": failing})
+    assert time.time() - began < 15

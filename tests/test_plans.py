@@ -53,13 +53,24 @@ def test_silver_does_not_carry_what_it_derives_again(silver_plan):
     assert "_year" not in below[: below.index("FileScan")]
 
 
-def test_large_lookup_is_joined_by_salted_shuffle(spark):
+def test_large_lookup_is_joined_by_shuffle_without_copies(spark):
     df = standardise.standardise(many(spark, 100, PULocationID="id % 5", DOLocationID="id % 7"))
     large = LookupFacts(rows=10**9, text_bytes=0, repeated_keys=0)
     text = plan(enrich.enrich_with_zones(df, zones(spark), large))
-    assert re.search(r"hashpartitioning\(pickup_location_id#\d+, _salt#\d+", text)
-    assert re.search(r"hashpartitioning\(dropoff_location_id#\d+, _salt#\d+", text)
-    assert not re.search("Broadcast|Cartesian|NestedLoop", text)
+    assert text.count("SortMergeJoin") == 2
+    assert re.search(r"hashpartitioning\(pickup_location_id#\d+, ", text)
+    assert not re.search("Broadcast|Cartesian|NestedLoop|Generate", text)
+
+
+def test_large_lookup_with_one_busy_location(spark):
+    df = standardise.standardise(
+        many(spark, 4_000, PULocationID="if(id % 2 = 0, 1, id % 300)", DOLocationID="id % 7")
+    )
+    large = LookupFacts(rows=10**9, text_bytes=0, repeated_keys=0)
+    small = LookupFacts(rows=1, text_bytes=0, repeated_keys=0)
+    found, expected = (enrich.enrich_with_zones(df, zones(spark), f) for f in (large, small))
+    assert found.count() == 4_000
+    assert found.exceptAll(expected.select(found.columns)).isEmpty()
 
 
 @pytest.mark.parametrize("table", list(kpi.BUILDERS))

@@ -149,6 +149,13 @@ def test_null_and_signed_zero_keys_are_one_trip(spark):
     assert vendors(standardise(zeros)) == [1]
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_of_signed_zeros_the_same_one_is_kept(spark, parts):
+    zeros = raw(spark, *[{"total_amount": x} for x in (0.0, -0.0, -0.0, 0.0)])
+    kept = deduplicate(standardise(zeros).repartition(parts)).collect()
+    assert [str(r["total_amount"]) for r in kept] == ["-0.0"]
+
+
 @pytest.mark.parametrize("parts", [1, 5, 16])
 def test_dedup_does_not_depend_on_partitioning(spark, parts):
     copies = [{"tip_amount": float(9 - i), "payment_type": i % 3} for i in range(9)]

@@ -22,6 +22,18 @@ JOBS = {
 }
 
 
+#: Paths that each job needs.
+NEEDS = {
+    "bronze": ("raw", "bronze"),
+    "silver": ("zones", "bronze", "silver", "quarantine"),
+    "gold": ("silver", "gold"),
+    "pipeline": ("raw", "zones", "bronze", "silver", "quarantine", "gold"),
+    "backfill": ("zones", "bronze", "silver", "quarantine", "gold"),
+    "register": ("gold",),
+    "drift": ("raw",),
+}
+
+
 def _period(text: str) -> tuple[str | None, str | None]:
     """``2024-02``, or ``none`` for rows without a pickup time."""
     if text == "none":
@@ -38,7 +50,9 @@ def parser() -> argparse.ArgumentParser:
         "--raw-older", action="append", default=[], help="folder of raw files with the older types"
     )
     for name in ("zones", "bronze", "silver", "quarantine", "gold"):
-        p.add_argument(f"--{name}", default="", help=f"path of the {name} table")
+        p.add_argument(f"--{name}", help=f"path of the {name} table")
+    p.add_argument("--strays", help="table for input rows outside of the periods")
+    p.add_argument("--months", type=int, default=1, help="months of a backfill batch")
     p.add_argument("--period", action="append", type=_period, help="YYYY-MM or none; repeatable")
     p.add_argument("--run-ts", help="time recorded on the rows, UTC; default now")
     p.add_argument("--database", help="catalog database of the gold tables")
@@ -50,6 +64,19 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def arguments(argv: list[str] | None) -> argparse.Namespace:
+    """Parsed arguments; a path that the job needs and nobody gave is an error."""
+    p = parser()
+    args = p.parse_args(argv)
+    given = {"raw": args.raw or args.raw_older}
+    missing = [n for n in NEEDS[args.job] if not given.get(n, getattr(args, n))]
+    if missing:
+        p.error(f"{args.job} needs {', '.join(f'--{n}' for n in missing)}")
+    if args.months < 1:
+        p.error("--months must be 1 or more")
+    return args
+
+
 def config(args: argparse.Namespace) -> PipelineConfig:
     years = {k: getattr(args, k) for k in ("min_year", "max_year") if getattr(args, k) is not None}
     given = {
@@ -62,13 +89,14 @@ def config(args: argparse.Namespace) -> PipelineConfig:
             *(RawInput(path) for path in args.raw),
             *(RawInput(path, RAW_SCHEMA_OLDER) for path in args.raw_older),
         ),
-        zones=args.zones,
-        bronze=args.bronze,
-        silver=args.silver,
-        quarantine=args.quarantine,
-        gold=args.gold,
+        zones=args.zones or "",
+        bronze=args.bronze or "",
+        silver=args.silver or "",
+        quarantine=args.quarantine or "",
+        gold=args.gold or "",
         rules=quality_rules(**years),
         database=args.database,
+        strays=args.strays,
         rebalance_bronze=args.rebalance_bronze,
         previews=args.previews,
         **{name: value for name, value in given.items() if value is not None},
@@ -76,7 +104,7 @@ def config(args: argparse.Namespace) -> PipelineConfig:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    args = arguments(argv)
     cfg = config(args)
     spark = SparkSession.builder.appName(f"tierline-{args.job}").getOrCreate()
     if args.job == "register":
@@ -84,6 +112,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "drift":
         for source in cfg.raw:
             schema_drift(spark, source.path, source.file_schema).show(100, truncate=False)
+    elif args.job == "backfill":
+        print(json.dumps(jobs.run_backfill(spark, cfg, args.months)))
     else:
         print(json.dumps(JOBS[args.job](spark, cfg)))
 

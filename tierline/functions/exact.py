@@ -1,23 +1,26 @@
 """Sums and averages of doubles that do not depend on the order of the rows.
 
 Adding doubles gives a result that changes with the partitioning, and a rounded
-average can then land on either side of a half unit. Money, distances and
-minutes have few decimals, so each value is added as a whole number of
-1/10000 units in a ``bigint``: exact, associative, and a plain hash aggregate
-with map-side combine inside generated code.
-
-A measure is aggregated into four columns:
-
-===============  ==========================================================
-``<m>__units``   sum of the values in 1/10000 units
-``<m>__exact``   how many values that sum holds
-``<m>__n``       how many values are not NULL
-``<m>__float``   plain double sum, the fallback
-===============  ==========================================================
-
-A value without such a representation (NaN, infinity, beyond a ``bigint``) or a
-sum past the ``bigint`` range leaves ``__exact`` short of ``__n``; the result
-then comes from the double sum, so such rows count as they would in ``sum``.
+average can then land on either side of a half unit. A value is therefore taken
+as the decimal number it prints as:
+
+* Most values have few decimals. They are whole numbers of 1/10000 units, added
+  up in two ``bigint`` columns (high and low part), so that no order of rows can
+  overflow: plain hash aggregates with map-side combine in generated code.
+* A value with more decimals is added up as a decimal with 14 of them.
+* What has no such form (NaN, infinity, a value of 10^11 or more in size, digits past
+  the 14th) is added up as a double and added to the rest at the end.
+
+Which way a value goes depends on that value alone. A measure is aggregated into:
+
+================  =======================================================
+``<m>__high``     sum of the units divided by 2^26, rounded down
+``<m>__low``      sum of what that leaves
+``<m>__fine``     sum of the values with more decimals
+``<m>__float``    sum of the values, or parts, without a decimal form
+``<m>__floats``   how many values have such a part
+``<m>__n``        how many values are not NULL
+================  =======================================================
 """
 
 from __future__ import annotations
@@ -27,56 +30,85 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Decimals of a unit; the usual values have no more. A choice of speed only.
 DECIMALS = 4
-_UNITS = 10**DECIMALS
+#: Decimals that are added up exactly.
+FINE = 14
+#: Bits of the low part, and the size from which values count as floating.
+_LOW = 26
+_LARGE = 1e11
 
 
-def _partial_names(measure: str) -> tuple[str, str, str, str]:
-    return tuple(f"{measure}__{part}" for part in ("units", "exact", "n", "float"))
+def _partial_names(measure: str) -> tuple[str, ...]:
+    return tuple(f"{measure}__{p}" for p in ("high", "low", "fine", "float", "floats", "n"))
 
 
-def partials(measures: Iterable[str]) -> list[Column]:
+def partials(measures: Iterable[str], decimals: int = DECIMALS) -> list[Column]:
     """Aggregates that turn value columns into partial columns."""
+    scale = float(10**decimals)
     result = []
     for measure in measures:
-        value = F.col(measure)
-        units = F.rint(value * F.lit(float(_UNITS))).try_cast("bigint")
-        total = F.try_sum(units)
+        value = F.col(measure).cast("double")
+        bounded = F.abs(value) < _LARGE  # false for NaN too
+        small = F.when(bounded, value).otherwise(F.lit(0.0))
+        units = F.rint(small * scale).cast("bigint")
+        whole = units.cast("double") / scale == small
+        fine = F.when(~whole, small.cast(f"decimal(26,{FINE})"))
+        left = F.when(~whole, small - fine.cast("double")).otherwise(F.lit(0.0))
+        floating = F.when(bounded, left).otherwise(value)
+        floats = F.count_if(~bounded | (left != 0))
         columns = (
-            total,
-            F.when(total.isNull(), F.lit(0)).otherwise(F.count(units)).cast("bigint"),
+            F.sum(F.when(whole, F.shiftright(units, _LOW)).otherwise(F.lit(0).cast("bigint"))),
+            F.sum(
+                F.when(whole, units.bitwiseAND(F.lit(2**_LOW - 1).cast("bigint"))).otherwise(
+                    F.lit(0).cast("bigint")
+                )
+            ),
+            F.sum(fine),
+            F.sum(floating),
+            floats,
             F.count(value),
-            F.sum(value.cast("double")),
         )
         result += [c.alias(name) for c, name in zip(columns, _partial_names(measure))]
     return result
 
 
-def total(measure: str, digits: int = 2) -> Column:
-    """``round(sum(measure), digits)`` from the partial columns."""
-    units, exact, n, floating = map(F.col, _partial_names(measure))
-    return F.when(exact == n, _half_up(units, F.lit(1), digits)).otherwise(
-        F.round(floating, digits)
-    )
+def total(measure: str, digits: int = 2, decimals: int = DECIMALS) -> Column:
+    """``round(sum(measure), digits)`` from the partial columns; NULL without values."""
+    return _rounded(measure, F.lit(1).cast("bigint"), digits, decimals)
+
 
+def average(measure: str, digits: int = 2, decimals: int = DECIMALS) -> Column:
+    """``round(avg(measure), digits)`` from the partial columns; NULL without values."""
+    return _rounded(measure, F.col(f"{measure}__n"), digits, decimals)
 
-def average(measure: str, digits: int = 2) -> Column:
-    """``round(avg(measure), digits)`` from the partial columns."""
-    units, exact, n, floating = map(F.col, _partial_names(measure))
-    count = F.nullif(n, F.lit(0))
-    return F.when(exact == n, _half_up(units, count, digits)).otherwise(
-        F.round(F.try_divide(floating, count), digits)
+
+def _rounded(measure: str, count: Column, digits: int, decimals: int) -> Column:
+    if not 0 <= digits <= FINE:
+        raise ValueError(f"digits must be between 0 and {FINE}, not {digits}")
+    high, low, fine, floating, floats, n = map(F.col, _partial_names(measure))
+    units = high.cast("decimal(20,0)") * F.lit(2**_LOW) + low.cast("decimal(20,0)")
+    # Both parts in units of the last exact decimal, as whole numbers.
+    whole = (units * F.lit(10 ** (FINE - decimals)).cast("decimal(15,0)")).cast("decimal(38,0)")
+    extra = F.coalesce(fine * F.lit(10**FINE).cast("decimal(15,0)"), F.lit(0)).cast("decimal(38,0)")
+    exact = (whole + extra).cast("decimal(38,0)")
+    divisor = F.nullif(count, F.lit(0).cast("bigint"))
+    inexact = F.round(
+        (exact.cast("double") / float(10**FINE) + floating) / divisor.cast("double"), digits
+    )
+    return F.when(n == 0, F.lit(None).cast("double")).otherwise(
+        F.when(floats > 0, inexact).otherwise(_half_up(exact, divisor, digits))
     )
 
 
-def _half_up(units: Column, count: Column, digits: int) -> Column:
-    """``units / count`` rounded half away from zero, in whole-number steps."""
-    if not 0 <= digits <= DECIMALS:
-        raise ValueError(f"digits must be between 0 and {DECIMALS}, not {digits}")
-    divisor = count.cast("bigint") * F.lit(10 ** (DECIMALS - digits)).cast("bigint")
-    size = F.abs(units)
-    rounded = F.call_function("div", size, divisor) + F.when(
-        (size % divisor) * 2 >= divisor, F.lit(1)
+def _half_up(exact: Column, count: Column, digits: int) -> Column:
+    """``exact / count`` rounded half away from zero, in whole-number steps."""
+    step = F.lit(10 ** (FINE - digits)).cast("decimal(15,0)")
+    divisor = (count.cast("decimal(19,0)") * step).cast("decimal(38,0)")
+    size = F.abs(exact)
+    rest = size % divisor
+    rounded = F.call_function("div", size - rest, divisor) + F.when(
+        rest >= divisor - rest, F.lit(1)
     ).otherwise(F.lit(0))
     value = rounded.cast("double") / F.lit(float(10**digits))
-    return F.when(units < 0, -value).otherwise(value)
+    return F.when(exact < 0, -value).otherwise(value)

@@ -30,5 +30,11 @@ def deduplicate(
     """
     settled = {*keys, *prefer, *follows}
     order = [*prefer, *(c for c in df.columns if c not in settled)]
+    # 0.0 and -0.0 are one key and two values.
+    order += [
+        F.when(F.col(c) == 0, F.col(c).cast("string"))
+        for c, kind in df.dtypes
+        if c in keys and kind in ("double", "float")
+    ]
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")

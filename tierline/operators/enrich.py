@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from tierline.sources.lookup import LookupFacts, checked_lookup
 
-#: Sub-keys per location when the lookup is too large to be sent everywhere.
-SALTS = 64
-
-
 def lookup_role(zones: DataFrame, role: str) -> DataFrame:
     """The lookup under the column names of one role (``pickup``, ``dropoff``)."""
     return zones.select(
@@ -25,20 +21,13 @@ def join_lookup(df: DataFrame, lookup: DataFrame, key: str, broadcast: bool) ->
     """Left join on ``key`` that keeps every row of ``df``.
 
     A lookup of proven size is broadcast and ``df`` is not shuffled. A larger one
-    is joined by shuffle on the key and a salt: rows of one location are spread
-    over ``SALTS`` sub-keys by the hash of their other columns, and each lookup
-    row is there once per sub-key, so a hot location is not one task. Rows
-    without a key match nothing; they are spread the same way. The salt is a hash
-    and not a random number, so a task that is run again sends every row to the
-    same place; only exact copies share a sub-key, and they are gone after
-    deduplication.
+    is joined by shuffle on the key. Adaptive execution splits the trips of a hot
+    location over several tasks and gives each the few lookup rows it needs, which
+    a left join allows; nothing is copied beforehand.
     """
     if broadcast:
         return df.join(F.broadcast(lookup), on=key, how="left")
-    others = [c for c in df.columns if c != key]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, on=[key, "_salt"], how="left").drop("_salt")
+    return df.join(lookup.hint("merge"), on=key, how="left")
 
 
 def enrich_with_zones(

@@ -7,18 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most valuable zones of one month. Revenue is added up as decimals because
-#: the stored totals have two digits and a sum of doubles would drift.
-TOP_ZONES_SQL = """
-SELECT pickup_zone, pickup_borough,
-       sum(total_trips) AS trips,
-       CAST(sum(CAST(total_revenue AS DECIMAL(28, 2))) AS DOUBLE) AS revenue
-FROM {table}
-WHERE _year = :year AND _month = :month
-GROUP BY pickup_zone, pickup_borough
-ORDER BY revenue DESC, pickup_zone, pickup_borough
-LIMIT {n}
-"""
+from tierline.functions import exact
 
 #: Busiest hours of the working week in one year.
 PEAK_HOURS_SQL = """
@@ -37,9 +26,13 @@ def top_zones(
     n: int = 10,
     table: str = "daily_revenue_by_zone",
 ) -> DataFrame:
-    """Top ``n`` zones by revenue; the period predicate prunes partitions."""
-    query = TOP_ZONES_SQL.format(table=table, n=int(n))
-    return spark.sql(query, args={"year": year, "month": month})
+    """Top ``n`` zones by revenue; the period predicate prunes partitions.
+
+    A zone whose revenue is NaN comes first, as in the order of doubles.
+    """
+    month_rows = spark.table(table).filter((F.col("_year") == year) & (F.col("_month") == month))
+    order = (F.desc("revenue"), "pickup_zone", "pickup_borough")
+    return revenue_by_zone(month_rows).orderBy(*order).limit(n)
 
 
 def peak_weekday_hours(
@@ -50,10 +43,12 @@ def peak_weekday_hours(
 
 
 def revenue_by_zone(daily: DataFrame) -> DataFrame:
-    """Daily table rolled up to zones."""
-    return daily.groupBy("pickup_zone", "pickup_borough").agg(
-        F.sum("total_trips").alias("trips"),
-        F.sum(F.col("total_revenue").cast("decimal(28,2)")).cast("double").alias("revenue"),
+    """Daily table rolled up to zones; NaN and infinity carry through."""
+    sums = daily.groupBy("pickup_zone", "pickup_borough").agg(
+        F.sum("total_trips").alias("trips"), *exact.partials(["total_revenue"])
+    )
+    return sums.select(
+        "pickup_zone", "pickup_borough", "trips", exact.total("total_revenue").alias("revenue")
     )
 
 

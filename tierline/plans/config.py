@@ -17,9 +17,12 @@ def _now() -> datetime:
 class PipelineConfig:
     """Paths and settings; the defaults are those of taxi trips.
 
-    ``periods`` limits silver and gold to some months. That is exact: the pickup
-    time is part of the trip key and the period derives from it, so duplicates
-    never cross periods.
+    ``periods`` limits a run to some months. For silver and gold that is exact: the
+    pickup time is part of the trip key and the period derives from it, so
+    duplicates never cross periods. Bronze then lands those months only; input
+    rows of other months go to ``strays``, and without such a path they stop
+    the run before anything is written. A bronze run without ``periods`` replaces
+    every month that its input has a row of.
     """
 
     raw: tuple[RawInput, ...]
@@ -37,6 +40,8 @@ class PipelineConfig:
     critical_columns: tuple[str, ...] = trips.CRITICAL_COLUMNS
     null_rate_limit: float = trips.NULL_RATE_LIMIT
     database: str | None = None
+    #: Table for input rows outside of ``periods``, added to by each run.
+    strays: str | None = None
     #: Set where raw files mix many months; costs a shuffle of the raw table.
     rebalance_bronze: bool = False
     #: Print a sample after each layer; an extra read of the layer just written.

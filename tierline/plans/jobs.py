@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators import kpi, reports
 from tierline.operators.dedup import deduplicate
@@ -22,25 +24,44 @@ from tierline.sinks.catalog import register_gold
 from tierline.sinks.tables import write_by_period, write_gold, write_quarantine
 from tierline.sources.lookup import checked_lookup, read_zone_lookup
 from tierline.sources.tables import (
+    in_periods,
     read_bronze,
     read_gold,
     read_raw_trips,
     read_silver,
     stored_periods,
 )
+from tierline.trips import PERIOD
 
 Counts = dict[str, int]
 
 
 def _together(spark: SparkSession, writes: dict[str, Callable[[], int]]) -> Counts:
-    """Run independent writes at the same time; the first failure is raised.
+    """Run independent writes at the same time; the first failure ends them all.
 
     Tasks of one fill the cores that another leaves idle at its end and while the
-    driver commits its files.
+    driver commits its files. When one fails, the jobs of the others are
+    cancelled and waited for, and the failure that came first is raised.
     """
     in_session = inheritable_thread_target(spark)
+    tag = f"tierline-{uuid.uuid4().hex}"
+
+    def tagged(write: Callable[[], int]) -> Callable[[], int]:
+        def run() -> int:
+            spark.sparkContext.addJobTag(tag)
+            return write()
+
+        return run
+
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        running = {name: pool.submit(in_session(write)) for name, write in writes.items()}
+        running = {name: pool.submit(in_session(tagged(w))) for name, w in writes.items()}
+        done, rest = wait(running.values(), return_when=FIRST_EXCEPTION)
+        failed = [f for f in done if f.exception() is not None]
+        if failed:
+            while rest:  # a write may start further jobs after it was cancelled
+                spark.sparkContext.cancelJobsWithTag(tag)
+                rest = wait(rest, timeout=1).not_done
+            raise failed[0].exception()
         return {name: future.result() for name, future in running.items()}
 
 
@@ -66,21 +87,50 @@ def silver_frame(
 
 
 def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> Counts:
-    """Gate the raw input and land it. Nothing is written when the gate fails."""
+    """Gate each raw input and land it. Nothing is written when a gate fails.
+
+    With ``periods`` only those are landed and replaced, see ``PipelineConfig``.
+    """
     pin_session(spark)
-    gate = enforce_gate(
-        read_raw_trips(spark, cfg.raw), cfg.critical_columns, cfg.null_rate_limit
+    rows = 0
+    for source in cfg.raw:
+        gate = enforce_gate(
+            read_raw_trips(spark, [source]), cfg.critical_columns, cfg.null_rate_limit
+        )
+        rows += gate[0]["total_rows"]
+    frame, counts = bronze_frame(spark, cfg), {"raw": rows}
+    if cfg.periods is not None:
+        inside = in_periods(cfg.periods)
+        outside = frame.filter(~F.coalesce(inside, F.lit(False)))
+        strays = outside.count()
+        if strays and cfg.strays is None:
+            raise StrayRows(f"{strays} input row(s) outside of the periods of this run")
+        if strays:
+            outside.write.mode("append").partitionBy(*PERIOD).parquet(cfg.strays)
+        counts["strays"] = strays
+        frame = frame.filter(inside)
+    counts["bronze"] = write_by_period(
+        frame, cfg.bronze, cfg.rebalance_bronze, replace=cfg.periods
     )
-    landed = write_by_period(bronze_frame(spark, cfg), cfg.bronze, cfg.rebalance_bronze)
     if cfg.previews:
-        reports.preview_bronze(read_bronze(spark, cfg.bronze)).show(truncate=False)
-    return {"raw": gate[0]["total_rows"], "bronze": landed}
+        _sample(read_bronze(spark, cfg.bronze, cfg.periods), reports.BRONZE_PREVIEW)
+    return counts
+
+
+class StrayRows(ValueError):
+    """The input of a run over some periods has rows of others."""
+
+
+def _sample(layer: DataFrame, columns: tuple[str, ...], n: int = 5) -> None:
+    """Print some rows of a layer; reading stops when there are enough."""
+    layer.select(*columns).limit(n).show(truncate=False)
 
 
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     """Build silver and quarantine from bronze.
 
-    Two passes over bronze, one per output. The number of bronze rows comes from
+    The periods of the run, or all stored ones, are replaced also where no row is
+    left in them. Two passes over bronze, one per output. The number of bronze rows comes from
     the file footers, and that of valid rows from it and the rejects, so neither
     is counted below a shuffle.
     """
@@ -94,13 +144,15 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     written = _together(
         spark,
         {
-            "silver": lambda: write_by_period(silver, cfg.silver, cfg.rebalance_silver),
+            "silver": lambda: write_by_period(
+                silver, cfg.silver, cfg.rebalance_silver, replace=cfg.periods or "all"
+            ),
             "rejected": lambda: write_quarantine(rejected, cfg.quarantine, cfg.periods),
         },
     )
     total = bronze.count()
     if cfg.previews:
-        reports.preview_silver(read_silver(spark, cfg.silver, cfg.periods)).show(truncate=False)
+        _sample(read_silver(spark, cfg.silver, cfg.periods), reports.SILVER_PREVIEW)
     return {"valid": total - written["rejected"], **written}
 
 
@@ -110,7 +162,8 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     silver = read_silver(spark, cfg.silver, cfg.periods)
 
     def writer(table: str) -> Callable[[], int]:
-        return lambda: write_gold(kpi.BUILDERS[table](silver, cfg.run_ts), cfg.gold, table)
+        built = kpi.BUILDERS[table](silver, cfg.run_ts)
+        return lambda: write_gold(built, cfg.gold, table, replace=cfg.gold_periods or "all")
 
     counts = _together(spark, {table: writer(table) for table in kpi.BUILDERS})
     if cfg.previews:

@@ -18,6 +18,10 @@ _WRITING = {
 }
 
 
+#: Folder of a local application that names no shared one.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def pin_session(spark: SparkSession) -> SparkSession:
     """Fix what the results depend on, and set how layers are written.
 
@@ -41,6 +45,8 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tierline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tierline-")
+        shared = _LOCAL_FOLDERS[application]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
 from tierline.trips import GOLD_TABLES, PERIOD
@@ -17,6 +15,7 @@ def register_gold(spark: SparkSession, root: str, database: str | None = None) -
     silently left there. A database that does not exist yet is created over ``root``.
     Returns the table names to query.
     """
+    root = qualified(spark, root)
     if database is not None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_text(root)}")
     names = []
@@ -45,8 +44,13 @@ def _require_location(spark: SparkSession, name: str, location: str) -> None:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     found = described.filter("col_name = 'Location'").first()["data_type"]
 
-    def plain(path: str) -> str:
-        return re.sub("/+", "/", path.removeprefix("file:")).rstrip("/")
-
-    if plain(found) != plain(location):
+    if qualified(spark, found) != qualified(spark, location):
         raise ValueError(f"{name} is registered over {found}, not over {location}")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as the session's file systems resolve it."""
+    context = spark.sparkContext
+    given = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = given.getFileSystem(context._jsc.hadoopConfiguration())
+    return str(system.makeQualified(given)).rstrip("/")

@@ -6,7 +6,7 @@ different paths.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -44,32 +44,77 @@ def _rows(seen: Observation) -> int:
     return seen.get.get("n_rows", 0)
 
 
-def write_by_period(df: DataFrame, path: str, rebalance: bool = False) -> int:
-    """Replace the periods present in ``df`` and no others; returns rows written."""
-    counted, seen = _counted(by_period(df) if rebalance else df)
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PERIOD)
-        .parquet(path)
-    )
-    return _rows(seen)
+def write_by_period(
+    df: DataFrame,
+    path: str,
+    rebalance: bool = False,
+    replace: Sequence[Period] | str | None = None,
+) -> int:
+    """Replace the periods present in ``df``; returns rows written.
 
+    Periods without rows in ``df`` stay, unless ``replace`` names them: a list of
+    periods, or ``"all"`` for every period that is stored. Those are emptied after
+    the write has been committed.
+    """
+    return _write_periods(by_period(df) if rebalance else df, path, replace)
 
-def write_gold(df: DataFrame, root: str, table: str) -> int:
-    """A gold table: few, sorted files per period."""
+
+def write_gold(
+    df: DataFrame, root: str, table: str, replace: Sequence[Period] | str | None = None
+) -> int:
+    """A gold table: few, sorted files per period; ``replace`` as in :func:`write_by_period`."""
     laid_out = by_period(df)
     order = [*PERIOD, *(c for c in df.columns if c not in (*PERIOD, "processed_at"))]
-    counted, seen = _counted(laid_out.sortWithinPartitions(*order))
+    path = f"{root.rstrip('/')}/{table}"
+    return _write_periods(laid_out.sortWithinPartitions(*order), path, replace)
+
+
+def _write_periods(df: DataFrame, path: str, replace: Sequence[Period] | str | None) -> int:
+    seen = Observation()
+    folder = F.concat_ws(
+        "/",
+        *(
+            F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)))
+            for k in PERIOD
+        ),
+    )
+    # One entry for each period that is written.
+    counted = df.observe(
+        seen, F.count(F.lit(1)).alias("n_rows"), F.collect_set(folder).alias("folders")
+    )
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PERIOD)
-        .parquet(f"{root.rstrip('/')}/{table}")
+        .parquet(path)
     )
+    if replace is not None:
+        written = set(seen.get.get("folders") or ())
+        named = None if replace == "all" else {period_folder(p) for p in replace}
+        _empty(df, path, lambda found: found not in written and (named is None or found in named))
     return _rows(seen)
 
 
+def period_folder(period: Period) -> str:
+    """Folder of a period below a table's path."""
+    return "/".join(f"{k}={NULL_PARTITION if v is None else v}" for k, v in zip(PERIOD, period))
+
+
+def _empty(df: DataFrame, path: str, unwanted: Callable[[str], bool]) -> None:
+    """Delete the folders of stored periods that ``unwanted`` holds for."""
+    context = df.sparkSession.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(context._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return
+    for year in system.listStatus(root):
+        name = year.getPath().getName()
+        if year.isDirectory() and name.startswith(f"{PERIOD[0]}="):
+            for month in system.listStatus(year.getPath()):
+                if unwanted(f"{name}/{month.getPath().getName()}"):
+                    system.delete(month.getPath(), True)
+
+
 def write_quarantine(
     rejected: DataFrame, path: str, periods: Sequence[Period] | None = None
 ) -> int:
@@ -91,7 +136,7 @@ def write_quarantine(
 
 
 def _write_quarantine_period(rejected: DataFrame, path: str, period: Period) -> int:
-    folder = "/".join(f"{k}={NULL_PARTITION if v is None else v}" for k, v in zip(PERIOD, period))
+    folder = period_folder(period)
     rows = rejected.filter(in_periods([period])).drop(*PERIOD).hint("rebalance")
     counted, seen = _counted(rows)
     counted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
