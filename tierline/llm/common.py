@@ -73,7 +73,10 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, whatever their Python path; once a session."""
+    """Send this package to the executors, whatever their Python path; once a session.
+
+    The archive lies with the driver, from which Spark hands it to the executors.
+    """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
