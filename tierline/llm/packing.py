@@ -13,8 +13,8 @@ most with much padding.
 
 from __future__ import annotations
 
+import gc
 import os
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -113,7 +113,7 @@ class WordTokens:
         known, wanted, signed = self._known, set(), []
         for part in new:
             word = part.rstrip(_SIGNS)
-            if len(word) < len(part) and b"<|" not in part and _LETTER.search(word):
+            if word and len(word) < len(part) and b"<|" not in part and _ends_word(word):
                 signed.append((part, word, part[len(word) :]))
                 wanted.update(signed[-1][1:])
             else:
@@ -156,9 +156,16 @@ def _plain(text: bytes) -> bytes:
     return text.lower()
 
 
-#: ASCII signs but for the apostrophe and the mark, and a letter or digit at the end.
+#: ASCII signs but for the apostrophe and the mark.
 _SIGNS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}'
-_LETTER = re.compile(rb"(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
+
+
+def _ends_word(part: bytes) -> bool:
+    """Whether the last character is an ASCII letter or digit, or a letter of Latin-1."""
+    last = part[-1]
+    if last < 0x80:
+        return part[-1:].isalnum()
+    return len(part) > 1 and part[-2] == 0xC3 and last not in (0x97, 0xB7)  # not the signs x and :
 
 
 @lru_cache(maxsize=1)
@@ -222,15 +229,22 @@ def _pieces(batches: Iterator[pa.RecordBatch], params: Packing) -> Iterator[pa.R
     tokens = _tokens(params.tokenizer)
     task = TaskContext.get()
     packer = _Packer(params, (task.partitionId() if task else 0) << 33)
-    for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        for low, high in _portions(texts):
-            some = (texts[i].as_py() for i in range(low, high))
-            for i, found in zip(range(low, high), tokens.ids(some)):
-                packer.add(ids[i].as_py(), found)
+    # Nothing here makes cycles, and the collector would walk all parts again and again.
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1)
+            for low, high in _portions(texts):
+                some = (texts[i].as_py() for i in range(low, high))
+                for i, found in zip(range(low, high), tokens.ids(some)):
+                    packer.add(ids[i].as_py(), found)
+            yield packer.rows()
+        packer.flush()
         yield packer.rows()
-    packer.flush()
-    yield packer.rows()
+    finally:
+        if collecting:
+            gc.enable()
 
 
 def _portions(texts: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
