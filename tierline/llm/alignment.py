@@ -1,13 +1,18 @@
-"""Overlapping documents by shared rare lines, aligned by patience diff.
-
-Lines are hashed, and how many documents a line is in is counted over the whole
-corpus. Documents that share a rare line are paired, all with all: a rare line is
-in a few at most. Those that share a frequent line are each paired with the first
-document that has it, so the number of pairs grows with the lines and no sharing
-of a line goes unseen. A pair is aligned by patience diff: lines that both have
-once are anchors, the longest increasing run of them is kept, and the parts
-between are aligned in the same way. Aligned blocks of enough words are deleted
-from the document with the larger id.
+"""Overlapping documents by shared runs of lines, aligned by patience diff.
+
+A block that is deleted is a run of consecutive lines of enough words that two
+documents share. So the runs that just reach these words are hashed, from each
+line on and up to each line: every line of a block is in one that lies within the
+block. Each document is paired with the first holder of each of its runs, which
+makes no more pairs than there are runs. Where patience diff leaves a line of a
+shared run in place (because the order differs, say), the document is paired with
+the further earlier holders of that run too, some at a time, until the line goes or
+no earlier holder is left. What is deleted is thus the same as over all pairs.
+
+A pair is aligned by patience diff: lines that both have once are anchors, the
+longest increasing run of them is kept, and the parts between are aligned in the
+same way. Aligned blocks of enough words are deleted from the document with the
+larger id.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm import arrays
@@ -28,8 +33,11 @@ from tierline.llm.line_hashing import NO_ID, merged, table_batch, units_of
 
 LINES = (
     "doc long, n_bytes long, lines array<long>, words array<long>, starts array<long>, "
-    "anchors array<long>"
+    "keys array<long>"
 )
+#: Of the base of ``arrays.powers``, modulo 2^64.
+_INVERSE = np.uint64(pow(int(arrays._BASE), -1, 2**64))
+
 SPANS = (
     "doc long, n_bytes long, n_lines long, n_removed_lines long, n_removed long, "
     "span_starts array<long>, span_ends array<long>"
@@ -38,17 +46,26 @@ SPANS = (
 
 @dataclass(frozen=True)
 class Alignment:
-    """Parameters: documents that a rare line is in at most, words that a line has
-    at least to pair documents, and words of a block that is deleted."""
+    """Parameters: words of a block that is deleted, and whether all documents that
+    share one are followed up.
+
+    Without ``every_block`` only those are paired that share a line of
+    ``anchor_words``: all of up to ``rare`` documents, of more each with the first.
+    That can miss blocks.
+    """
 
     rare: int = 6
     anchor_words: int = 5
     block_words: int = 10
+    every_block: bool = False
+
+
+WHOLE = Alignment(every_block=True)
 
 
 def aligned_spans(
     docs: DataFrame,
-    params: Alignment = Alignment(),
+    params: Alignment = WHOLE,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -72,16 +89,12 @@ def aligned_spans(
         F.coalesce(quoted(text_column), F.lit("")).cast("binary").alias("text"),
     )
     lines = stored(rows.mapInArrow(lambda b: _lines(b, params), LINES), "aligned-lines")
-    pairs = stored(_pairs(lines, params), "aligned-pairs")
-    parts = lines.select("doc", "lines", "words")
-    later = pairs.join(parts.toDF("b", "b_lines", "b_words"), "b")
-    both = later.join(parts.drop("words").toDF("a", "a_lines"), "a")
-    found = both.select("b", "a_lines", "b_lines", "b_words").mapInArrow(
-        lambda x: _aligned(x, params.block_words), "b long, removed array<long>"
-    )
-    removed = stored(found, "aligned-blocks").groupBy("b").agg(
-        F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed")
-    )
+    if params.every_block:
+        removed = _all_removed(lines, params.block_words)
+    else:
+        pairs = stored(_pairs(lines, params), "aligned-pairs")
+        removed = _compared(pairs, lines, params.block_words)
+    removed = _gathered(removed)
     joined = lines.join(removed, lines["doc"] == removed["b"], "left").select(
         "doc", "n_bytes", "starts", "removed"
     )
@@ -93,7 +106,7 @@ def aligned_spans(
 
 def drop_aligned_blocks(
     docs: DataFrame,
-    params: Alignment = Alignment(),
+    params: Alignment = WHOLE,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -127,9 +140,78 @@ def drop_aligned_blocks(
     )
 
 
+def _all_removed(lines: DataFrame, least: int) -> DataFrame:
+    """Lines ``removed`` from documents ``b``, in any number of rows for each."""
+    shared = stored(_shared(lines), "aligned-runs")
+    removed = _compared(shared.select(F.explode("firsts").alias("a"), "b"), lines, least)
+    left = stored(_uncovered(shared.select("b", "runs"), lines, removed, least), "aligned-left")
+    if left.isEmpty():
+        return removed
+    owned = lines.select("doc", F.explode("keys").alias("run"))
+    of_left = owned.join(left.select("run").distinct(), "run", "left_semi").distinct()
+    place = F.row_number().over(Window.partitionBy("run").orderBy("doc")) - 1
+    holders = stored(of_left.withColumn("place", place), "aligned-holders")
+    own = holders.select("run", F.col("doc").alias("b"), F.col("place").alias("own"))
+    low, high = 1, 5  # place 0 is the first holder
+    while True:
+        # Earlier holders of a run have the places before that of ``b``.
+        left = stored(left.join(own, ["run", "b"]).filter(F.col("own") > low).drop("own"), "aligned-open")
+        if left.isEmpty():
+            return removed
+        some = holders.filter(F.col("place").between(low, high - 1)).select("run", F.col("doc").alias("a"))
+        pairs = left.join(some, "run").filter("a < b").select("a", "b").distinct()
+        removed = removed.union(_compared(pairs, lines, least))
+        runs = left.groupBy("b").agg(F.collect_list("run").alias("runs"))
+        left = _uncovered(runs, lines, removed, least)
+        low, high = high, 4 * high
+
+
+def _shared(lines: DataFrame) -> DataFrame:
+    """For documents ``b``: their ``runs`` that an earlier one has too, and the ``firsts`` of these."""
+    owned = lines.select("doc", F.explode("keys").alias("run"))
+    shared = (
+        owned.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+        .filter("first < last")
+        .drop("last")
+    )
+    return (
+        owned.join(shared, "run")
+        .filter("first < doc")
+        .groupBy(F.col("doc").alias("b"))
+        .agg(F.collect_list("run").alias("runs"), F.collect_set("first").alias("firsts"))
+    )
+
+
+def _compared(pairs: DataFrame, lines: DataFrame, least: int) -> DataFrame:
+    """Lines ``removed`` from ``b`` for pairs (a, b) of documents, where there are any."""
+    parts = lines.select("doc", "lines", "words")
+    later = pairs.join(parts.toDF("b", "b_lines", "b_words"), "b")
+    both = later.join(parts.drop("words").toDF("a", "a_lines"), "a")
+    found = both.select("b", "a_lines", "b_lines", "b_words").mapInArrow(
+        lambda x: _aligned(x, least), "b long, removed array<long>"
+    )
+    return stored(found, "aligned-blocks")
+
+
+def _gathered(removed: DataFrame) -> DataFrame:
+    """A row per document with all its removed lines."""
+    lines = F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed")
+    return removed.groupBy("b").agg(lines)
+
+
+def _uncovered(runs: DataFrame, lines: DataFrame, removed: DataFrame, least: int) -> DataFrame:
+    """(b, run) for those of ``runs`` of which a line stays."""
+    own = lines.select(F.col("doc").alias("b"), "lines", "words")
+    joined = runs.join(own, "b").join(_gathered(removed), "b", "left")
+    found = joined.select("b", "lines", "words", "runs", "removed").mapInArrow(
+        lambda x: _staying(x, least), "b long, runs array<long>"
+    )
+    return found.select("b", F.explode("runs").alias("run")).distinct()
+
+
 def _pairs(lines: DataFrame, params: Alignment) -> DataFrame:
-    """Distinct pairs (a, b) of documents that share a line, a before b."""
-    owned = lines.select("doc", F.explode("anchors").alias("line")).distinct()
+    """Distinct pairs (a, b) of documents that share an anchor, a before b, as ``Alignment`` limits them."""
+    owned = lines.select("doc", F.explode("keys").alias("line")).distinct()
     shared = (
         owned.groupBy("line")
         .agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -161,6 +243,10 @@ def _lines(batches: Iterator[pa.RecordBatch], params: Alignment) -> Iterator[pa.
         for i in range(batch.num_rows):
             part = slice(first[i], first[i + 1])
             own = hashes[part]
+            if params.every_block:
+                keys = runs_of(own, units.words[part], params.block_words)[2]
+            else:
+                keys = own[long_enough[part]]
             out.append(
                 (
                     docs[i],
@@ -168,7 +254,7 @@ def _lines(batches: Iterator[pa.RecordBatch], params: Alignment) -> Iterator[pa.
                     own,
                     units.words[part],
                     units.start[part] - offsets[i],
-                    np.unique(own[long_enough[part]]),
+                    np.unique(keys),
                 )
             )
         yield table_batch(out, LINES, names)
@@ -178,6 +264,43 @@ def _values(column: pa.Array, i: int) -> np.ndarray:
     return column[i].values.to_numpy() if column[i].is_valid else np.empty(0, np.int64)
 
 
+def runs_of(hashes: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, line after the last, and hash of the runs of just enough words.
+
+    The shortest from each line on and the shortest up to each line; a run of
+    enough words has each of its lines in one of them that lies within it.
+    """
+    n, total = len(hashes), np.concatenate(([0], np.cumsum(words)))
+    least = max(least, 1)
+    low = np.arange(n)
+    high = np.searchsorted(total, total[:-1] + least)
+    up_to = np.arange(1, n + 1)
+    since = np.searchsorted(total, total[1:] - least, side="right") - 1
+    low = np.concatenate((low[high <= n], since[since >= 0]))
+    high = np.concatenate((high[high <= n], up_to[since >= 0]))
+    # Sums of line hashes times powers, moved to where the run begins.
+    terms = hashes.view(np.uint64) * arrays.powers(n)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+    value = (sums[high] - sums[low]) * arrays.powers(n + 1, _INVERSE)[low]
+    return low, high, arrays.mixed(value + (high - low).astype(np.uint64)).view(np.int64)
+
+
+def _staying(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The given runs of each document that have a line which is not removed."""
+    for batch in batches:
+        b, out = batch.column(0).to_pylist(), []
+        for i in range(batch.num_rows):
+            hashes, words, asked, removed = (_values(batch.column(k), i) for k in (1, 2, 3, 4))
+            low, high, run = runs_of(hashes, words, least)
+            stays = np.ones(len(hashes), dtype=np.int64)
+            stays[removed[removed < len(hashes)]] = 0
+            total = np.concatenate(([0], np.cumsum(stays)))
+            left = np.unique(run[(total[high] > total[low]) & np.isin(run, asked)])
+            if len(left):
+                out.append((b[i], left))
+        yield table_batch(out, "b long, runs array<long>", ["b", "runs"])
+
+
 def _aligned(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         b, out = batch.column(0).to_pylist(), []
