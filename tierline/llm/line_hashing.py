@@ -3,9 +3,11 @@
 A unit is a sentence of a line: it ends at a line end, or after a word that ends
 in ``.``, ``!`` or ``?``. Units are normalised (white space, ASCII case) and
 hashed; of equal units the one in the document with the smallest id is kept, and
-there the first. The others are removed where, together with their removed
-neighbours, they have enough words: a short sentence that recurs by chance stays,
-and a passage goes with its short sentences. Offsets are those of the original.
+there the first. The others are removed, at any length where their line has no
+unit that stays for being new. Inside a line that has one they need enough words
+together with their removed neighbours: a short sentence that recurs by chance (or
+an abbreviation, which ends one too) stays there, and a passage goes with its short
+sentences. Offsets are those of the original.
 """
 
 from __future__ import annotations
@@ -36,14 +38,19 @@ CLEANED = (
 
 @dataclass(frozen=True)
 class LineHashing:
-    """Parameters: words that a removed run of units has at least."""
+    """Parameters: words that a removed run of units has at least, and whether that
+    holds only for lines that have a new unit as well (``whole_lines``)."""
 
     least_words: int = 10
+    whole_lines: bool = False
+
+
+WHOLE = LineHashing(whole_lines=True)
 
 
 def drop_repeated_units(
     docs: DataFrame,
-    params: LineHashing = LineHashing(),
+    params: LineHashing = WHOLE,
     id_column: str = "doc_id",
     text_column: str = "text",
     texts: bool = True,
@@ -79,19 +86,20 @@ def drop_repeated_units(
         repeated.groupBy("doc").agg(F.collect_list("one").alias("repeated")), "repeated-units"
     )
     joined = rows.join(by_doc, "doc", "left").select("doc", "text", "repeated")
-    least = params.least_words
-    return joined.mapInArrow(lambda b: _cleaned(b, least, texts), CLEANED)
+    return joined.mapInArrow(lambda b: _cleaned(b, params, texts), CLEANED)
 
 
 @dataclass(frozen=True)
 class Units:
-    """Byte ranges, words and hashes of the units of all rows; ``row`` of each."""
+    """Byte ranges, words and hashes of the units of all rows; ``row`` of each, and
+    whether it ``opens`` a line."""
 
     row: np.ndarray
     start: np.ndarray
     words: np.ndarray
     one: np.ndarray
     two: np.ndarray
+    opens: np.ndarray
 
 
 def units_of(data: np.ndarray, offsets: np.ndarray, sentences: bool = True) -> Units:
@@ -100,15 +108,18 @@ def units_of(data: np.ndarray, offsets: np.ndarray, sentences: bool = True) -> U
     n = len(w.start)
     if not n:
         none = np.empty(0, np.int64)
-        return Units(none, none, none, np.empty(0, np.uint64), np.empty(0, np.uint64))
+        return Units(
+            none, none, none, np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
+        )
     breaks = np.zeros(n, dtype=bool)
     line_ends = np.flatnonzero(data == 10)
     # A line end between two words: as many of them before one as before the other, or not.
     lines = np.searchsorted(line_ends, w.start)
     breaks[1:] = lines[1:] != lines[:-1]
+    breaks[w.first[:-1][w.first[:-1] < n]] = True
+    opens = breaks.copy()
     if sentences:
         breaks[1:] |= _ENDS[data[w.end[:-1] - 1]]
-    breaks[w.first[:-1][w.first[:-1] < n]] = True
     first = np.flatnonzero(breaks)
     return Units(
         np.searchsorted(w.first, first, side="right") - 1,
@@ -116,6 +127,7 @@ def units_of(data: np.ndarray, offsets: np.ndarray, sentences: bool = True) -> U
         np.diff(np.append(first, n)),
         arrays.hash_runs(w.hash, first, 1),
         arrays.hash_runs(w.hash, first, 2),
+        opens[first],
     )
 
 
@@ -139,7 +151,7 @@ def _unit_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cleaned(
-    batches: Iterator[pa.RecordBatch], least: int, texts: bool
+    batches: Iterator[pa.RecordBatch], params: LineHashing, texts: bool
 ) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in CLEANED.split(", ")]
     for batch in arrays.portions(batches, 1):
@@ -151,7 +163,10 @@ def _cleaned(
         for i in range(batch.num_rows):
             part = slice(first[i], first[i + 1])
             elsewhere = np.array(repeated[i].as_py() or [], dtype=np.int64).view(np.uint64)
-            removed = _removed(units.one[part], units.words[part], elsewhere, least)
+            opens = units.opens[part] if params.whole_lines else None
+            removed = _removed(
+                units.one[part], units.words[part], elsewhere, params.least_words, opens
+            )
             begins = units.start[part] - offsets[i]
             ends = np.append(begins[1:], offsets[i + 1] - offsets[i]) if len(begins) else begins
             text = data[offsets[i] : offsets[i + 1]]
@@ -174,8 +189,9 @@ def _cleaned(
         yield table_batch(out, CLEANED, names)
 
 
-def _removed(hashes, words, elsewhere, least: int) -> np.ndarray:
-    """Which units of a document go: repeated ones, in runs of enough words."""
+def _removed(hashes, words, elsewhere, least: int, opens=None) -> np.ndarray:
+    """Which units of a document go: repeated ones, in runs of enough words, or in a
+    line without others if it is known which ones open lines."""
     again = np.isin(hashes, elsewhere)
     _, seen_first = np.unique(hashes, return_index=True)
     later = np.ones(len(hashes), dtype=bool)
@@ -183,12 +199,16 @@ def _removed(hashes, words, elsewhere, least: int) -> np.ndarray:
     again |= later
     if not again.any():
         return again
+    whole = np.zeros(len(hashes), dtype=bool)
+    if opens is not None:
+        line = np.cumsum(opens) - 1
+        whole = np.bincount(line, weights=~again)[line] == 0
     edges = np.flatnonzero(np.diff(np.concatenate(([False], again, [False])).astype(np.int8)))
     total = np.concatenate(([0], np.cumsum(words)))
     for low, high in edges.reshape(-1, 2):
         if total[high] - total[low] < least:
             again[low:high] = False
-    return again
+    return again | whole
 
 
 def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
