@@ -40,19 +40,15 @@ class Toxicity:
 
     ``class_rows`` labelled documents of each class and fold are counted at most,
     those with the smallest hash of the id; copies count once, and a pair once
-    for each document. The models know ``vocabulary`` words, those in most of the
-    toxic documents, and up to ``pairs`` pairs with counts of their own. These bound
-    what is sent to the tasks. ``factor`` is how far the rates of the classes must
+    for each document. The models know every word and pair of these documents; other
+    words have no class counts. ``factor`` is how far the rates of the classes must
     be apart, with one expected occurrence added. ``discount`` is that of Kneser
     and Ney.
     """
 
     class_rows: int = 5_000
-    vocabulary: int = 5_000
-    pairs: int = 100_000
     factor: float = 16.0
     discount: float = 0.75
-    least_documents: int = 2
     threshold: float = 0.7
 
 
@@ -64,7 +60,7 @@ class Model:
     that its first word leaves for backing off is taken as equal in both classes.
     """
 
-    vocabulary: np.ndarray  # sorted word hashes; place 0 stands for all others
+    vocabulary: np.ndarray  # sorted word hashes; place 0 for all others, the last for a text's start
     word: np.ndarray
     pairs: np.ndarray  # sorted h * size + w
     extra: np.ndarray
@@ -154,7 +150,7 @@ def _fit(learned: DataFrame, texts: DataFrame, params: Toxicity):
     by_class = {r["toxic"]: r["n"] for r in learned.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not (by_class.get(0) and by_class.get(1)):
         return None
-    vocabulary = _vocabulary(learned, params)
+    vocabulary = _vocabulary(learned)
     context = learned.sparkSession.sparkContext
     words = context.broadcast(vocabulary)
     counts = learned.select("text", "toxic", "fold").mapInArrow(
@@ -162,10 +158,9 @@ def _fit(learned: DataFrame, texts: DataFrame, params: Toxicity):
     )
     counts = stored(counts.groupBy("toxic", "fold", "pair").agg(F.sum("n").alias("n")), "toxic-pairs")
     # Shared by both classes and gathered from every document.
-    pairs = texts.mapInArrow(lambda b: _distinct_pairs(b, words.value), "pair long").distinct()
-    size = len(vocabulary) + 1
-    shared = np.zeros(size)
-    follows = pairs.groupBy((F.col("pair") % size).cast("int").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = texts.mapInArrow(lambda b: _distinct_pairs(b, words.value), "w int, pair long").distinct()
+    shared = np.zeros(_size(vocabulary))
+    follows = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     for part in follows.toArrow().to_batches():
         shared[part.column(0).to_numpy()] = part.column(1).to_numpy()
     whole = _model(counts, shared, vocabulary, params)
@@ -188,24 +183,20 @@ def _fit(learned: DataFrame, texts: DataFrame, params: Toxicity):
     return whole, slope, shift
 
 
-def _vocabulary(learned: DataFrame, params: Toxicity) -> np.ndarray:
-    """Hashes of the words that are in most toxic documents."""
-    found = (
-        learned.filter("toxic = 1")
-        .select("text")
-        .mapInArrow(_distinct_words, "word long")
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("documents"))
-        .filter(F.col("documents") >= params.least_documents)
-        .orderBy(F.col("documents").desc(), "word")
-        .limit(params.vocabulary)
-    )
-    return np.sort(found.select("word").toArrow().column(0).to_numpy().view(np.uint64))
+def _vocabulary(learned: DataFrame) -> np.ndarray:
+    """Hashes of all words of the documents to learn from."""
+    found = learned.select("text").mapInArrow(_distinct_words, "word long").distinct()
+    return np.sort(found.toArrow().column(0).to_numpy().view(np.uint64))
+
+
+def _size(vocabulary: np.ndarray) -> int:
+    """Places: other words, those of the vocabulary, the start of a text."""
+    return len(vocabulary) + 2
 
 
 def _model(counts, shared, vocabulary, params: Toxicity) -> Model | None:
     """Kneser-Ney models of both classes, as one table of log ratios."""
-    size, d = len(vocabulary) + 1, params.discount
+    size, d = _size(vocabulary), params.discount
     both = counts.groupBy("pair").agg(
         *[F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)]
     )
@@ -235,8 +226,6 @@ def _model(counts, shared, vocabulary, params: Toxicity) -> Model | None:
     far = F.abs(F.log(ratio[1]) - F.log(ratio[0]))
     pairs = (
         both.filter(far > float(np.log(params.factor)))
-        .orderBy(far.desc(), "pair")
-        .limit(params.pairs)
         .select("pair", "n0", "n1")
         .toArrow()
     )
@@ -249,7 +238,19 @@ def _model(counts, shared, vocabulary, params: Toxicity) -> Model | None:
             np.maximum(n[k][order] - d, 0), first[k][h], out=np.zeros(len(h)), where=first[k][h] > 0
         )
         extra += sign * np.log((direct + after[k][h] * word[k][w]) / word[k][w])
-    return Model(vocabulary, np.log(word[1]) - np.log(word[0]), pair[order], extra)
+    return _moving(Model(vocabulary, np.log(word[1]) - np.log(word[0]), pair[order], extra))
+
+
+def _moving(model: Model) -> Model:
+    """The same scores, without the words that add nothing: no ratio and in no pair."""
+    size = _size(model.vocabulary)
+    h, w = model.pairs // size, model.pairs % size
+    stays = model.word != 0
+    stays[h] = stays[w] = True
+    stays[[0, -1]] = True
+    place = np.cumsum(stays) - 1
+    kept = model.vocabulary[stays[1:-1]]
+    return Model(kept, model.word[stays], place[h] * _size(kept) + place[w], model.extra)
 
 
 def _table(grouped: DataFrame, size: int) -> np.ndarray:
@@ -314,13 +315,13 @@ def _known(words: arrays.Words, vocabulary: np.ndarray) -> np.ndarray:
 def _pairs(words: arrays.Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code of each word with the one before it, and which row it is in.
 
-    The first word of a text comes after one that is not in the vocabulary.
+    The first word of a text comes after the place of a start.
     """
     known = _known(words, vocabulary)
     before = np.concatenate(([0], known[:-1])) if len(known) else known
-    before[words.first[:-1][np.diff(words.first) > 0]] = 0
+    before[words.first[:-1][np.diff(words.first) > 0]] = len(vocabulary) + 1
     row = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
-    return before * (len(vocabulary) + 1) + known, row
+    return before * _size(vocabulary) + known, row
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,14 +365,20 @@ def _pair_counts(
 def _distinct_pairs(
     batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
+    """Each pair of words of any kind by its hash, with the place of the second."""
     for batch in arrays.portions(batches, 0):
-        codes, _ = _pairs(_words(batch.column(0)), vocabulary)
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(codes))], ["pair"])
+        words = _words(batch.column(0))
+        before = np.concatenate((np.zeros(1, np.uint64), words.hash))[:-1]
+        before[words.first[:-1][np.diff(words.first) > 0]] = 0
+        pair = arrays.mixed(arrays.mixed(before + np.uint64(1)) + words.hash)
+        pair, at = np.unique(pair, return_index=True)
+        w = _known(words, vocabulary)[at].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(pair.view(np.int64))], ["w", "pair"])
 
 
 def _means(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """The first column, and the mean log ratio of the words of the second."""
-    size = len(model.vocabulary) + 1
+    size = _size(model.vocabulary)
     for batch in batches:
         text = 1
         for part in arrays.portions(iter([batch]), text):
