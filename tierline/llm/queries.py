@@ -16,6 +16,7 @@ from tierline.llm import (
     packing,
     quality_rules,
     repeats,
+    search,
     toxicity,
     warc,
 )
@@ -109,6 +110,10 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -128,6 +133,7 @@ _QUERIES: dict[str, Query] = {
     "op8_line_hashing": repeated_lines,
     "op9_exact_dedup": exact,
     "op10_warc": archive,
+    "op11_reversed_search": ranked,
 }
 
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.items()}

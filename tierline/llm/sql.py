@@ -83,8 +83,44 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+SEARCH = r"""
+WITH words AS (
+  SELECT doc_id, row AS doc, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS row FROM documents)
+),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+lengths AS (SELECT doc, count(*) AS n FROM words GROUP BY doc),
+sizes AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+counts AS (SELECT doc_id, doc, term, count(*) AS tf FROM words GROUP BY doc_id, doc, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * max(docs) + 2 AS DOUBLE)
+                                    / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counts, sizes GROUP BY term
+),
+scored AS (
+  SELECT a.item_id, c.doc_id, c.doc,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM counts c JOIN asked a USING (term) JOIN weights USING (term) JOIN lengths USING (doc), sizes
+  GROUP BY a.item_id, c.doc_id, c.doc
+),
+ranked AS (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (
+           PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 STATEMENTS: dict[str, str] = {
     "op7_mix": MIX,
     "op9_exact_dedup": EXACT,
     "op10_warc": WARC,
+    "op11_reversed_search": SEARCH,
 }
