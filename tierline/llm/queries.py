@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierline.llm import (
     alignment,
     exact_dedup,
+    factors,
     line_hashing,
     mixing,
     near_dedup,
@@ -114,6 +115,11 @@ def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return factors.quality_scores(docs, labels, metadata=("n_chars",))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -134,6 +140,7 @@ _QUERIES: dict[str, Query] = {
     "op9_exact_dedup": exact,
     "op10_warc": archive,
     "op11_reversed_search": ranked,
+    "op12_factorisation_machine": good,
 }
 
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.items()}
