@@ -1,0 +1,129 @@
+"""Phrases mined by partitions against plain counting of every phrase."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm.common import edge_rows, prose
+from tierline.llm import arrays, phrases
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, params):
+    counts, sizes = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            sizes[lang] += len(words)
+            for k in range(1, params.longest + 1):
+                for i in range(len(words) - k + 1):
+                    counts.setdefault(lang, Counter())[tuple(words[i : i + k])] += 1
+    out = set()
+    for lang, f in counts.items():
+        wanted = {p: a for p, a in f.items() if len(p) > 1 and a >= params.support}
+        kept, longer = [], Counter()
+        for q, b in wanted.items():
+            for part in {q[i:j] for i in range(len(q)) for j in range(i + 2, len(q) + 1)} - {q}:
+                longer[part] = max(longer[part], b)
+        for p, a in wanted.items():
+            inside = p in longer and 100 * longer[p] >= params.inside * a
+            if not inside:
+                score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+                kept.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(kept)[: params.most], 1):
+            out.add((lang, rank, p.decode(), -a, left, right, sizes[lang], -score))
+    return out
+
+
+def docs_of(spark, rows):
+    schema = "lang string, text string, a int, n string, phrase string, words int"
+    return spark.createDataFrame([(*r, 0, "x", "y", 1) for r in rows], schema)
+
+
+def mined(spark, rows, params, parts=5):
+    result = phrases.collocations(docs_of(spark, rows).repartition(parts), params)
+    assert result.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    found = [tuple(r) for r in result.collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def corpus(seed, n=150):
+    draw = random.Random(seed)
+    stock = ["new york city", "in spite of", "as well as", "The  European\tUnion", "a b a b a", "ñandú çok “x”"]
+    rows = []
+    for i in range(n):
+        parts = [draw.choice(stock) if draw.random() < 0.4 else prose(draw.random(), 3, 25) for _ in range(12)]
+        rows.append((draw.choice(["en", "en", "de", None, "und", ""]), draw.choice([" ", ", ", "\n", ". "]).join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("shards", [1, 4, 7, 50])
+def test_equals_plain_counting_with_any_number_of_shards(spark, shards):
+    params = phrases.Phrases(support=4, shards=shards, most=40)
+    rows = corpus(1)
+    want = brute(rows, params)
+    assert len(want) > 50
+    assert mined(spark, rows, params) == want
+
+
+def test_a_full_filter_changes_nothing(spark):
+    rows = corpus(2, 80)
+    params = phrases.Phrases(support=5, shards=3, filter_bits=6, longest=5, most=500)
+    assert mined(spark, rows, params) == brute(rows, params)
+
+
+def test_edge_rows_and_ties(spark):
+    rows = [("en", r[1]) for r in edge_rows()]
+    rows += [(None, "a b. b a! a  b"), ("und", "A B;c d"), ("xx", None), ("yy", ".,"), ("xx", "\x1c x \x0b\x1c x")] * 3
+    rows += [("tie", "p q"), ("tie", "r s"), ("tie", "P\tq"), ("tie", "r s"), ("tie", "é z"), ("tie", "é z")]
+    params = phrases.Phrases(support=2, shards=3)
+    assert mined(spark, rows, params) == brute(rows, params)
+
+
+def test_one_passage_holds_a_third_of_all(spark):
+    rows = [("en", prose(i, 40, 60)) for i in range(60)] + [("en", prose(1, 30, 60))] * 40
+    params = phrases.Phrases(support=20, shards=6, most=100)
+    assert mined(spark, rows, params, 12) == brute(rows, params)
+
+
+def test_overlapping_occurrences_count(spark):
+    rows = [("en", "x " * 50 + "y")] * 2
+    params = phrases.Phrases(support=3, shards=2)
+    assert mined(spark, rows, params) == brute(rows, params)
+
+
+def test_empty_tables_and_parameters(spark):
+    params = phrases.Phrases()
+    assert mined(spark, [], params) == set()
+    assert mined(spark, [("en", None), ("en", "")], params) == set()
+    with pytest.raises(ValueError):
+        phrases.Phrases(shards=0)
+    with pytest.raises(ValueError):
+        phrases.Phrases(filter_bits=4)
+
+
+def test_scores_beyond_64_bits(spark):
+    big = 4 * 10**13
+    rows = [("en", 1, "a", big), ("en", 1, "b", big), ("en", 2, "a b", big - 1), ("en", 2, "b a", 31)]
+    table = spark.createDataFrame(rows, "lang string, words int, phrase string, a long")
+    sizes = spark.createDataFrame([("en", 2 * big)], "lang string, n long")
+    found = phrases._best(table, sizes, phrases.Phrases()).orderBy("rank").collect()
+    assert [r.score for r in found] == [2_000_000 * (big - 1) // (2 * big), 2_000_000 * 31 // (2 * big)]
+
+
+def test_words_of_one_hash_are_told_apart():
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"]), pa.array([b"one two ONE three two one"])], ["lang", "text"]
+    )
+    text = phrases._read(batch)
+    assert phrases._word_ids(text).tolist()[:3] in ([0, 1, 0], [1, 0, 1], [1, 2, 1], [2, 1, 2], [0, 2, 0], [2, 0, 2])
+    same = arrays.Words(text.words.start, text.words.end, np.full(6, 7, dtype=np.uint64), text.words.first)
+    ids = phrases._word_ids(phrases._Text(text.data, same, text.next, text.lang, text.names))
+    assert ids.tolist() == [0, 1, 0, 2, 1, 0]

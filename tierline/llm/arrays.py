@@ -79,6 +79,11 @@ def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
     return np.multiply.accumulate(values)
 
 
+def places(length: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of several runs of the given lengths."""
+    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = None,
           separator: np.ndarray = IS_SPACE) -> Words:
     """The words of all rows: runs of bytes that are no ``separator``.

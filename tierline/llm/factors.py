@@ -244,7 +244,7 @@ def _descend(row, feature, value, good, edges, params: Factors) -> Machine:
     for low in range(0, len(good), params.batch):
         rows = np.sort(deal[low : low + params.batch])
         length = first[rows + 1] - first[rows]
-        at = np.repeat(first[rows], length) + _within(length)
+        at = np.repeat(first[rows], length) + arrays.places(length)
         used, local = np.unique(feature[at], return_inverse=True)
         order = np.argsort(local, kind="stable")
         begins = np.searchsorted(local[order], np.arange(len(used)))
@@ -272,10 +272,6 @@ def _descend(row, feature, value, good, edges, params: Factors) -> Machine:
     return Machine(float(bias), weight.astype(np.float32), vectors.astype(np.float32), edges)
 
 
-def _within(length: np.ndarray) -> np.ndarray:
-    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-
-
 # --- in tasks --------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ from tierline.llm import (
     mixing,
     near_dedup,
     packing,
+    phrases,
     quality_rules,
     repeats,
     search,
@@ -120,6 +121,10 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factors.quality_scores(docs, labels, metadata=("n_chars",))
 
 
+def collocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -141,6 +146,7 @@ _QUERIES: dict[str, Query] = {
     "op10_warc": archive,
     "op11_reversed_search": ranked,
     "op12_factorisation_machine": good,
+    "op13_son_phrases": collocated,
 }
 
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.items()}

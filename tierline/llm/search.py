@@ -184,18 +184,13 @@ def _index(entries: pa.Table) -> Index:
     of = place[terms.indices.to_numpy()]
     by_term = np.argsort(of, kind="stable")
     length = np.diff(at)[order]
-    source = np.repeat(at[:-1][order], length) + _within(length)
+    source = np.repeat(at[:-1][order], length) + arrays.places(length)
     ends = np.concatenate(([0], np.cumsum(length)))
     first = np.searchsorted(of[by_term], np.arange(len(order) + 1))
     item = items.indices.to_numpy()[by_term].astype(np.int64)
     return Index(words.hash[order], letters[source], ends, first, item, items.dictionary)
 
 
-def _within(length: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each run of the given lengths."""
-    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-
-
 # --- in tasks --------------------------------------------------------------
 
 
@@ -224,7 +219,7 @@ def _place(data: np.ndarray, w: arrays.Words, index: Index) -> np.ndarray:
     length = w.end - w.start
     same = (index.hash[at] == w.hash) & (np.diff(index.at)[at] == length)
     which = np.flatnonzero(same)
-    length, within = length[which], _within(length[which])
+    length, within = length[which], arrays.places(length[which])
     ours = arrays.LOWER[data[np.repeat(w.start[which], length) + within]]
     differs = ours != index.letters[np.repeat(index.at[at[which]], length) + within]
     if differs.any():
@@ -325,7 +320,7 @@ def _heaps(
             rows_at_once = min(2 * rows_at_once, max(1, _AT_ONCE // items))
             part = slice(first[low], first[high])
             many = entries[term[part]]
-            at = np.repeat(index.first[term[part]], many) + _within(many)
+            at = np.repeat(index.first[term[part]], many) + arrays.places(many)
             scores = np.zeros((high - low) * items, dtype=np.int64)
             cell = np.repeat((row[part] - low) * items, many) + index.item[at]
             np.add.at(scores, cell, np.repeat(gain[part], many))

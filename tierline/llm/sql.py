@@ -118,9 +118,65 @@ ranked AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^.,;:!?\x0A-\x0D]+')) AS piece
+    FROM documents
+  )
+),
+places AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM pieces, (VALUES (1), (2), (3), (4)) lengths(k)
+  WHERE len(w) >= k
+),
+counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM places GROUP BY lang, k, phrase
+),
+sizes AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND a >= 30
+),
+cuts AS (
+  SELECT lang, k, phrase, a, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates)
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, h.a AS l, t.a AS r, j,
+         CAST(c.a AS HUGEINT) * 2000000 // (CAST(h.a AS HUGEINT) + t.a) AS score
+  FROM cuts c
+  JOIN counts h ON h.lang = c.lang AND h.phrase = c.head
+  JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail
+),
+weakest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS i
+        FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates WHERE k > 2))
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT lang, phrase, w.a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, w.a DESC, phrase COLLATE "binary") AS rank
+  FROM weakest w LEFT JOIN inside USING (lang, phrase)
+  WHERE longer IS NULL OR CAST(longer AS HUGEINT) * 100 < CAST(w.a AS HUGEINT) * 80
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang)
+WHERE rank <= 2000
+"""
+
 STATEMENTS: dict[str, str] = {
     "op7_mix": MIX,
     "op9_exact_dedup": EXACT,
     "op10_warc": WARC,
     "op11_reversed_search": SEARCH,
+    "op13_son_phrases": PHRASES,
 }
