@@ -7,7 +7,8 @@ least one of any shards the texts are dealt to. So:
    after another: words, then pairs of words that passed, then what consists of such
    pairs. A shard is a group of the tasks that read texts and is counted by all of
    them, by hashes; no task holds one.
-2. What is frequent in any shard is united into a filter of fixed size.
+2. What is frequent in any shard, and can reach the support with the most that the other
+   shards may have of it, is united into a filter of fixed size.
 3. The phrases that pass are counted over all texts, by their words and not by hashes.
 
 The filter and the hashes can let too much through, never too little, and step 3 counts
@@ -39,6 +40,9 @@ _END[list(b".,;:!?\n\x0b\x0c\r")] = True
 _SEPARATOR = _END.copy()
 _SEPARATOR[[9, 32]] = True
 
+#: Parts of a language that are ranked on their own.
+_PARTS = 64
+
 _HASHED = "shard int, key long, n long"
 
 
@@ -110,7 +114,15 @@ def frequent(rows: DataFrame, params: Phrases) -> DataFrame:
         known = spark.sparkContext.broadcast(passed)
         mined = rows.mapInArrow(lambda b: _hashed(b, lengths, known.value, params), _HASHED)  # noqa: B023
         counts = mined.groupBy("shard", "key").agg(F.sum("n").alias("n"))
-        passed = _united(passed, counts.filter(F.col("n") >= local), params)
+        # Shards in which a phrase is rare have less than the local support of it each.
+        rest = (params.shards - F.count(F.lit(1))) * (local - 1)
+        candidates = (
+            counts.filter(F.col("n") >= local)
+            .groupBy("key")
+            .agg((F.sum("n") + rest).alias("most"))
+            .filter(F.col("most") >= params.support)
+        )
+        passed = _united(passed, candidates, params)
         known.unpersist()
     known = spark.sparkContext.broadcast(passed)
     exact = rows.mapInArrow(
@@ -126,7 +138,7 @@ def _passes(longest: int) -> list[tuple[int, ...]]:
     return [(1,), (2,)] + ([rest] if rest else [])
 
 
-def _united(passed: np.ndarray, local: DataFrame, params: Phrases) -> np.ndarray:
+def _united(passed: np.ndarray, candidates: DataFrame, params: Phrases) -> np.ndarray:
     """The filter with the bits of these keys: two of each, from either half."""
     mask = (1 << params.filter_bits) - 1
     at = F.explode(
@@ -135,7 +147,7 @@ def _united(passed: np.ndarray, local: DataFrame, params: Phrases) -> np.ndarray
             F.expr(f"shiftrightunsigned(key, 32) & {mask}L"),
         )
     )
-    bits = local.select(at.alias("at")).select(
+    bits = candidates.select(at.alias("at")).select(
         F.expr("cast(shiftright(at, 6) AS int)").alias("word"),
         F.expr("shiftleft(1L, cast(at & 63 AS int))").alias("bit"),
     )
@@ -191,11 +203,13 @@ def _best(phrases: DataFrame, sizes: DataFrame, params: Phrases) -> DataFrame:
             f"longer IS NULL OR 100 * cast(longer AS decimal(20,0)) < {int(params.inside)} * cast(a AS decimal(20,0))"
         )
     )
-    order = Window.partitionBy("lang").orderBy(
-        F.col("cut.score").desc(), F.col("a").desc(), F.col("phrase")
-    )
-    ranked = staying.withColumn("rank", F.row_number().over(order))
-    ranked = ranked.filter(F.col("rank") <= params.most)
+    order = (F.col("cut.score").desc(), F.col("a").desc(), F.col("phrase"))
+    # The best of parts of a language first, so that one task never meets all of a large one.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(_PARTS))
+    in_part = F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))
+    in_lang = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = staying.withColumn("rank", in_part).filter(F.col("rank") <= params.most)
+    ranked = ranked.withColumn("rank", in_lang).filter(F.col("rank") <= params.most)
     return ranked.join(sizes, "lang").select(
         "lang",
         F.col("rank").cast("long").alias("rank"),
