@@ -86,6 +86,21 @@ def trips_older(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(trips(spark, sf_dir), RAW_SCHEMA_OLDER)
 
 
+def misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older trips with numbers that are too large for an id, or no whole numbers."""
+    return trips_older(spark, sf_dir).withColumns(
+        {
+            "VendorID": F.expr("if(payment_type = 1, VendorID + 1099511627776, VendorID)"),
+            "DOLocationID": F.expr("if(DOLocationID = 4, 30000000000, DOLocationID)"),
+            "passenger_count": F.expr("if(payment_type = 2, passenger_count + 0.5, passenger_count)"),
+            "RatecodeID": F.expr(
+                "case payment_type when 3 then double('nan') when 4 then 1e300 "
+                "when 5 then RatecodeID + 0.25 else RatecodeID end"
+            ),
+        }
+    )
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup from nations and regions."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")

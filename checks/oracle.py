@@ -291,6 +291,71 @@ _GOLD_PERIODS = "\nUNION ALL ".join(
 )
 
 
+_TIPS_AGAIN = "tip_amount + 1"
+_STRAYS = f"""
+SELECT place, _year, _month, count(*) AS n_rows, sum(tips) AS tips FROM (
+  SELECT 'bronze' AS place, _year, _month,
+         CASE WHEN {_RERUN} THEN {_TIPS_AGAIN} ELSE tip_amount END AS tips FROM bronze
+  UNION ALL
+  SELECT 'strays' AS place, _year, _month, {_TIPS_AGAIN} AS tips FROM bronze WHERE NOT ({_RERUN}))
+GROUP BY place, _year, _month"""
+
+
+def _losses(column: str, nulled: str, changed: str) -> str:
+    """Lost values of the older files, which hold the trips of vendor 2."""
+    return (
+        f"SELECT '{column}' AS column_name, count(*) AS n_rows, "
+        f"count(*) FILTER (WHERE VendorID = 2 AND {nulled}) AS nulled, "
+        f"count(*) FILTER (WHERE VendorID = 2 AND {changed}) AS changed FROM trips"
+    )
+
+
+_CASTS = "\nUNION ALL ".join(
+    _losses(*line)
+    for line in (
+        ("VendorID", "payment_type = 1", "false"),
+        ("passenger_count", "false", "payment_type = 2 AND passenger_count IS NOT NULL"),
+        ("RatecodeID", "payment_type = 4", "payment_type = 5"),
+        ("PULocationID", "false", "false"),
+        ("DOLocationID", "DOLocationID = 4", "false"),
+    )
+)
+
+# The types of both generations of files.
+_TYPES_OF_FILES = {
+    "VendorID": ("int", "bigint"),
+    "tpep_pickup_datetime": ("timestamp", "timestamp"),
+    "tpep_dropoff_datetime": ("timestamp", "timestamp"),
+    "passenger_count": ("bigint", "double"),
+    "trip_distance": ("double", "double"),
+    "RatecodeID": ("bigint", "double"),
+    "store_and_fwd_flag": ("string", "string"),
+    "PULocationID": ("int", "bigint"),
+    "DOLocationID": ("int", "bigint"),
+    "payment_type": ("bigint", "bigint"),
+    "fare_amount": ("double", "double"),
+    "extra": ("double", "double"),
+    "mta_tax": ("double", "double"),
+    "tip_amount": ("double", "double"),
+    "tolls_amount": ("double", "double"),
+    "improvement_surcharge": ("double", "double"),
+    "total_amount": ("double", "double"),
+    "congestion_surcharge": ("double", "double"),
+    "airport_fee": ("double", "double"),
+}
+#: Vendor 1 is in three current files, vendor 2 in two older ones.
+_CENSUS = (
+    "SELECT column_name, type, CAST(sum(files) AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows FROM (\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{name}' AS column_name, '{kind}' AS type, {files} AS files, "
+        f"(SELECT count(*) FROM trips WHERE VendorID = {vendor}) AS n"
+        for name, kinds in _TYPES_OF_FILES.items()
+        for vendor, (kind, files) in enumerate(zip(kinds, (3, 2)), 1)
+    )
+    + ")\nGROUP BY column_name, type"
+)
+
+
 def statements() -> dict[str, str]:
     daily = _after("daily", "SELECT * FROM daily")
     hourly = _after("hourly", "SELECT * FROM hourly")
@@ -310,6 +375,9 @@ SELECT _year, _month, count(*) AS n_rows,
                              THEN 1 ELSE 0 END) AS tips
 FROM bronze GROUP BY _year, _month""",
         ),
+        "bronze_with_strays": _after("bronze", _STRAYS),
+        "cast_audit": _after("trips", _CASTS),
+        "schema_census": _after("trips", _CENSUS),
         "standardised": _after("standardised", "SELECT * FROM standardised"),
         "dq_tagged": _after("tagged", "SELECT * FROM tagged"),
         "dq_issue_counts": _after(

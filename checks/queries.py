@@ -21,17 +21,20 @@ from tierline.plans.config import PipelineConfig
 from tierline.session import pin_session, work_folder
 from tierline.sinks.catalog import register_gold
 from tierline.sinks.tables import write_by_period, write_quarantine
+from tierline.sources.census import schema_census
 from tierline.sources.lookup import LookupFacts, read_zone_lookup
 from tierline.sources.tables import (
     RawInput,
+    audited_fields,
     in_periods,
     read_bronze,
     read_gold,
+    read_layer,
     read_quarantine,
     read_raw_trips,
     read_silver,
 )
-from tierline.trips import RAW_SCHEMA_OLDER
+from tierline.trips import BRONZE_SCHEMA, RAW_SCHEMA, RAW_SCHEMA_OLDER
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +134,78 @@ def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, folder)
 
 
+def bronze_with_strays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything lands; then one month lands again, from an input of all months, twice.
+
+    Rows and tips by period of bronze and of the strays: each row of the second input
+    is in one of them, once.
+    """
+    folder = work_folder(spark, "strays")
+    rows = fixtures.trips(spark, sf_dir)
+    first, again = RawInput(f"{folder}/first"), RawInput(f"{folder}/again")
+    rows.write.parquet(first.path)
+    rows.withColumn("tip_amount", F.col("tip_amount") + 1).write.parquet(again.path)
+    cfg = _landing(folder, first)
+    jobs.run_bronze(spark, cfg)
+    month = replace(cfg, raw=(again,), periods=RERUN, strays=f"{folder}/other")
+    for _ in range(2):
+        jobs.run_bronze(spark, month)
+    tables = {"bronze": read_bronze(spark, cfg.bronze)}
+    tables["strays"] = read_layer(spark, month.strays, BRONZE_SCHEMA)
+    parts = [
+        table.groupBy(F.lit(name).alias("place"), "_year", "_month").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("tip_amount").alias("tips")
+        )
+        for name, table in tables.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _landing(folder: str, *raw: RawInput) -> PipelineConfig:
+    """Settings of a run that stops after bronze."""
+    return PipelineConfig(
+        raw=raw,
+        zones="",
+        bronze=f"{folder}/bronze",
+        silver="",
+        quarantine="",
+        gold="",
+        run_ts=RUN_TS,
+        null_rate_limit=1.0,
+    )
+
+
+def cast_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landing both generations of files has lost, by column.
+
+    Vendor 1 is in current files, vendor 2 in older ones, some of whose numbers fit no
+    column of bronze.
+    """
+    folder = work_folder(spark, "casts")
+    current, older = RawInput(f"{folder}/current"), RawInput(f"{folder}/older", RAW_SCHEMA_OLDER)
+    fixtures.trips(spark, sf_dir).filter("VendorID = 1").write.parquet(current.path)
+    misfits = fixtures.misfits(spark, sf_dir).filter("VendorID % 1099511627776 = 2")
+    misfits.write.parquet(older.path)
+    cfg = replace(_landing(folder, current, older), cast_loss_limit=1.0)
+    counts = jobs.run_bronze(spark, cfg)
+    lines = [
+        (name, counts["raw"], counts[f"nulled {name}"], counts[f"changed {name}"])
+        for name in audited_fields(cfg.raw, RAW_SCHEMA)
+    ]
+    return spark.createDataFrame(
+        lines, "column_name string, n_rows bigint, nulled bigint, changed bigint"
+    )
+
+
+def census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns by type of a folder in which both generations of files were mixed."""
+    folder = work_folder(spark, "mixed")
+    fixtures.trips(spark, sf_dir).filter("VendorID = 1").repartition(3).write.parquet(folder)
+    older = fixtures.trips_older(spark, sf_dir).filter("VendorID = 2")
+    older.repartition(2).write.mode("append").parquet(folder)
+    return schema_census(spark, folder).drop("a_file")
+
+
 # --- queries over a full run of the pipeline --------------------------------
 
 _RUNS: dict[tuple[str, str], tuple[PipelineConfig, dict[str, int]]] = {}
@@ -275,6 +350,9 @@ _QUERIES: dict[str, Query] = {
     "bronze_lineage": bronze,
     "bronze_null_gate": lambda s, d: ingest.null_rates(fixtures.trips(s, d)),
     "bronze_roundtrip": bronze_roundtrip,
+    "bronze_with_strays": bronze_with_strays,
+    "cast_audit": cast_audit,
+    "schema_census": census,
     "standardised": standardised,
     "dq_tagged": tagged,
     "dq_issue_counts": lambda s, d: quality.issue_counts(tagged(s, d)),

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig
 from tierline.sinks.catalog import register_gold
+from tierline.sources.census import check_files, schema_census
 from tierline.sources.tables import RawInput, schema_drift
 from tierline.trips import RAW_SCHEMA_OLDER, quality_rules
 
@@ -59,6 +60,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--min-year", type=int)
     p.add_argument("--max-year", type=int)
     p.add_argument("--null-rate-limit", type=float)
+    p.add_argument("--cast-loss-limit", type=float, help="share of values a cast may change")
+    p.add_argument("--allow-empty", action="store_true", help="empty periods without input rows")
+    p.add_argument("--allow-shrinking", action="store_true", help="replace months by fewer rows")
     p.add_argument("--rebalance-bronze", action="store_true")
     p.add_argument("--previews", action="store_true")
     return p
@@ -82,6 +86,7 @@ def config(args: argparse.Namespace) -> PipelineConfig:
     given = {
         "run_ts": args.run_ts,
         "null_rate_limit": args.null_rate_limit,
+        "cast_loss_limit": args.cast_loss_limit,
         "periods": tuple(args.period) if args.period else None,
     }
     return PipelineConfig(
@@ -97,6 +102,8 @@ def config(args: argparse.Namespace) -> PipelineConfig:
         rules=quality_rules(**years),
         database=args.database,
         strays=args.strays,
+        allow_empty=args.allow_empty,
+        allow_shrinking=args.allow_shrinking,
         rebalance_bronze=args.rebalance_bronze,
         previews=args.previews,
         **{name: value for name, value in given.items() if value is not None},
@@ -111,6 +118,8 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(register_gold(spark, cfg.gold, cfg.database)))
     elif args.job == "drift":
         for source in cfg.raw:
+            schema_census(spark, source.path).orderBy("column_name", "type").show(1000, truncate=False)
+            check_files(spark, source)
             schema_drift(spark, source.path, source.file_schema).show(100, truncate=False)
     elif args.job == "backfill":
         print(json.dumps(jobs.run_backfill(spark, cfg, args.months)))

@@ -43,6 +43,25 @@ class GateFailed(ValueError):
     """The input is not fit to be landed."""
 
 
+class LossyCast(ValueError):
+    """Casts of the landing have lost more values than a run allows."""
+
+
+def enforce_casts(losses: dict[str, int], rows: int, limit: float) -> None:
+    """Raise ``LossyCast`` where a column has lost more than ``limit`` of all rows.
+
+    ``losses`` has ``nulled <column>`` and ``changed <column>``.
+    """
+    columns = dict.fromkeys(name.split(" ", 1)[1] for name in losses)
+    broken = []
+    for name in columns:
+        nulled, changed = losses.get(f"nulled {name}", 0), losses.get(f"changed {name}", 0)
+        if nulled + changed > limit * rows:
+            broken.append(f"{name}: {nulled} made NULL, {changed} changed, of {rows}")
+    if broken:
+        raise LossyCast(f"values do not fit the columns they land in; {'; '.join(broken)}")
+
+
 def null_counts(df: DataFrame, columns: Sequence[str] = trips.CRITICAL_COLUMNS) -> DataFrame:
     """One row: ``total`` and the NULLs of each column, from a single pass.
 

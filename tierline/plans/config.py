@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -21,8 +22,10 @@ class PipelineConfig:
     pickup time is part of the trip key and the period derives from it, so
     duplicates never cross periods. Bronze then lands those months only; input
     rows of other months go to ``strays``, and without such a path they stop
-    the run before anything is written. A bronze run without ``periods`` replaces
-    every month that its input has a row of.
+    the run before anything of bronze changes. A named month without input rows stops
+    it too, unless ``allow_empty`` asks for the month to be emptied. A bronze run
+    without ``periods`` replaces every month that its input has a row of; one that
+    has fewer rows than are stored stops the run, unless ``allow_shrinking``.
     """
 
     raw: tuple[RawInput, ...]
@@ -39,14 +42,31 @@ class PipelineConfig:
     rules: tuple[trips.Rule, ...] = field(default_factory=trips.quality_rules)
     critical_columns: tuple[str, ...] = trips.CRITICAL_COLUMNS
     null_rate_limit: float = trips.NULL_RATE_LIMIT
+    #: Share of the rows of a run whose value a cast may change, for each column.
+    cast_loss_limit: float = 0.0
+    #: Compare the columns of every raw file with its input's schema first.
+    check_files: bool = True
+    #: Empty the named months that the input has no row of.
+    allow_empty: bool = False
+    #: Let a run without named months replace a stored month by fewer rows.
+    allow_shrinking: bool = False
     database: str | None = None
-    #: Table for input rows outside of ``periods``, added to by each run.
+    #: Table for input rows outside of ``periods``. Each run has its own folder in it,
+    #: which a repeat of the run replaces.
     strays: str | None = None
     #: Set where raw files mix many months; costs a shuffle of the raw table.
     rebalance_bronze: bool = False
     #: Print a sample after each layer; an extra read of the layer just written.
     previews: bool = False
 
+    @property
+    def run_key(self) -> str:
+        """Name of a run by what it lands: equal for a repeat, whenever that is."""
+        months = ["all"] if self.periods is None else ["-".join(map(str, p)) for p in self.periods]
+        what = repr((sorted(i.path for i in self.raw), months))
+        named = "+".join(months) if len(months) < 4 else f"{len(months)}-months"
+        return f"{named}-{hashlib.sha256(what.encode()).hexdigest()[:12]}"
+
     @property
     def rebalance_silver(self) -> bool:
         """One month needs no further shuffle to be written in few files."""

@@ -10,28 +10,33 @@ from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tierline.operators import kpi, reports
 from tierline.operators.dedup import deduplicate
 from tierline.operators.enrich import enrich_with_zones
-from tierline.operators.ingest import enforce_gate, with_lineage, with_period
+from tierline.operators.ingest import enforce_casts, enforce_gate, with_lineage, with_period
 from tierline.operators.quality import rejected_rows, valid_rows
 from tierline.operators.standardise import standardise, with_silver_metadata
 from tierline.plans.config import PipelineConfig
 from tierline.session import pin_session
 from tierline.sinks.catalog import register_gold
+from tierline.sinks.files import Folders
+from tierline.sinks.landing import Staged, discard, move_in, rows_by_period, stage, write_strays
 from tierline.sinks.tables import write_by_period, write_gold, write_quarantine
+from tierline.sources.census import check_files
 from tierline.sources.lookup import checked_lookup, read_zone_lookup
 from tierline.sources.tables import (
-    in_periods,
+    Period,
+    audit_columns,
+    audited_fields,
+    loss_counts,
     read_bronze,
     read_gold,
     read_raw_trips,
     read_silver,
     stored_periods,
 )
-from tierline.trips import PERIOD
+from tierline.trips import RAW_SCHEMA
 
 Counts = dict[str, int]
 
@@ -65,10 +70,12 @@ def _together(spark: SparkSession, writes: dict[str, Callable[[], int]]) -> Coun
         return {name: future.result() for name, future in running.items()}
 
 
-def bronze_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+def bronze_frame(spark: SparkSession, cfg: PipelineConfig, audit: bool = False) -> DataFrame:
     """Typed raw trips with lineage and period, one source path per input."""
     parts = [
-        with_lineage(read_raw_trips(spark, [i]), i.path, cfg.run_ts, cfg.source_system)
+        with_lineage(
+            read_raw_trips(spark, [i], audit=audit), i.path, cfg.run_ts, cfg.source_system
+        )
         for i in cfg.raw
     ]
     whole = parts[0]
@@ -87,40 +94,90 @@ def silver_frame(
 
 
 def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> Counts:
-    """Gate each raw input and land it. Nothing is written when a gate fails.
+    """Check each raw input and land it. When a check fails, bronze stays as it was.
 
-    With ``periods`` only those are landed and replaced, see ``PipelineConfig``.
+    Files are compared with the schema of their input, NULLs are counted, and all rows
+    are then written beside bronze, by period. The rows of each period and the values
+    that casts have changed, counted on the way, decide whether the periods are moved
+    in; see ``PipelineConfig`` for what a run accepts. Rows are read twice, five
+    columns for the gate and all of them for the write.
     """
     pin_session(spark)
     rows = 0
     for source in cfg.raw:
+        if cfg.check_files:
+            check_files(spark, source)
         gate = enforce_gate(
             read_raw_trips(spark, [source]), cfg.critical_columns, cfg.null_rate_limit
         )
         rows += gate[0]["total_rows"]
-    frame, counts = bronze_frame(spark, cfg), {"raw": rows}
-    if cfg.periods is not None:
-        inside = in_periods(cfg.periods)
-        outside = frame.filter(~F.coalesce(inside, F.lit(False)))
-        strays = outside.count()
-        if strays and cfg.strays is None:
-            raise StrayRows(f"{strays} input row(s) outside of the periods of this run")
-        if strays:
-            outside.write.mode("append").partitionBy(*PERIOD).parquet(cfg.strays)
-        counts["strays"] = strays
-        frame = frame.filter(inside)
-    counts["bronze"] = write_by_period(
-        frame, cfg.bronze, cfg.rebalance_bronze, replace=cfg.periods
+    audited = audited_fields(cfg.raw, RAW_SCHEMA)
+    hidden = audit_columns(RAW_SCHEMA) if audited else []
+    frame = bronze_frame(spark, cfg, audit=bool(audited))
+    staged = stage(
+        frame,
+        cfg.bronze,
+        cfg.run_key,
+        observe=loss_counts(audited, RAW_SCHEMA),
+        hidden=hidden,
+        rebalance=cfg.rebalance_bronze,
     )
+    counts = {"raw": rows, **staged.observed}
+    try:
+        enforce_casts(staged.observed, rows, cfg.cast_loss_limit)
+        periods = _landed_periods(spark, cfg, staged)
+        if cfg.periods is not None:
+            outside = sum(n for p, n in staged.rows.items() if p not in periods)
+            if outside and cfg.strays is None:
+                raise StrayRows(f"{outside} input row(s) outside of the periods of this run")
+            if cfg.strays is not None:
+                counts["strays"] = write_strays(staged, frame.drop(*hidden), cfg.strays, periods)
+            else:
+                counts["strays"] = 0
+    except ValueError:
+        discard(staged)
+        raise
+    counts["bronze"] = move_in(staged, periods)
     if cfg.previews:
         _sample(read_bronze(spark, cfg.bronze, cfg.periods), reports.BRONZE_PREVIEW)
     return counts
 
 
+def _landed_periods(spark: SparkSession, cfg: PipelineConfig, staged: Staged) -> list[Period]:
+    """The periods to move in, none of which may lose rows unasked."""
+    if cfg.periods is not None:
+        empty = [p for p in cfg.periods if not staged.rows.get(p)]
+        if empty and not cfg.allow_empty:
+            raise EmptyPeriods(f"the input has no row of {_named(empty)}")
+        return list(dict.fromkeys(cfg.periods))
+    periods = list(staged.rows)
+    if not cfg.allow_shrinking and Folders(spark, cfg.bronze).exists():
+        stored = rows_by_period(read_bronze(spark, cfg.bronze))
+        fewer = [p for p in periods if staged.rows[p] < stored.get(p, 0)]
+        if fewer:
+            raise ShrinkingPeriods(
+                f"the input has fewer rows than are stored of {_named(fewer)}; name the "
+                "periods of the run to replace them"
+            )
+    return periods
+
+
+def _named(periods: list[Period]) -> str:
+    return ", ".join("-".join(map(str, p)) if p != (None, None) else "no period" for p in periods)
+
+
 class StrayRows(ValueError):
     """The input of a run over some periods has rows of others."""
 
 
+class EmptyPeriods(ValueError):
+    """The input of a run over some periods has no rows of one of them."""
+
+
+class ShrinkingPeriods(ValueError):
+    """A run without named periods would replace a month by fewer rows."""
+
+
 def _sample(layer: DataFrame, columns: tuple[str, ...], n: int = 5) -> None:
     """Print some rows of a layer; reading stops when there are enough."""
     layer.select(*columns).limit(n).show(truncate=False)

@@ -11,12 +11,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tierline.sinks.files import NULL_PARTITION, Folders, period_folder
 from tierline.sources.tables import Period, in_periods
 from tierline.trips import PERIOD
 
-#: Folder name Spark gives a NULL partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 
 def by_period(df: DataFrame) -> DataFrame:
     """Bring the rows of a period together, in as many tasks as they need.
@@ -95,24 +93,12 @@ def _write_periods(df: DataFrame, path: str, replace: Sequence[Period] | str | N
     return _rows(seen)
 
 
-def period_folder(period: Period) -> str:
-    """Folder of a period below a table's path."""
-    return "/".join(f"{k}={NULL_PARTITION if v is None else v}" for k, v in zip(PERIOD, period))
-
-
 def _empty(df: DataFrame, path: str, unwanted: Callable[[str], bool]) -> None:
     """Delete the folders of stored periods that ``unwanted`` holds for."""
-    context = df.sparkSession.sparkContext
-    root = context._jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(context._jsc.hadoopConfiguration())
-    if not system.exists(root):
-        return
-    for year in system.listStatus(root):
-        name = year.getPath().getName()
-        if year.isDirectory() and name.startswith(f"{PERIOD[0]}="):
-            for month in system.listStatus(year.getPath()):
-                if unwanted(f"{name}/{month.getPath().getName()}"):
-                    system.delete(month.getPath(), True)
+    folders = Folders(df.sparkSession, path)
+    for period in list(folders.periods()):
+        if unwanted(period):
+            folders.delete(period)
 
 
 def write_quarantine(

@@ -34,31 +34,84 @@ class RawInput:
     file_schema: T.StructType = trips.RAW_SCHEMA
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, audit: bool = False) -> DataFrame:
     """Project to exactly ``schema``: drop extra columns, add absent ones as NULL.
 
     Values outside the target type become NULL. Where the types agree the cast
-    disappears from the plan and filters still reach the scan.
+    disappears from the plan and filters still reach the scan. With ``audit`` further
+    columns (``audit_columns``) say which values a cast has changed.
     """
     present = {name.lower(): name for name in df.columns}
-    return df.select(
-        *(
-            (F.col(f"`{present[f.name.lower()]}`") if f.name.lower() in present else F.lit(None))
-            .try_cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        )
+    types = {f.name: f.dataType for f in df.schema.fields}
+    columns, losses = [], [F.lit(0).cast("bigint") for _ in audit_columns(schema)]
+    for place, field in enumerate(schema.fields):
+        name = present.get(field.name.lower())
+        value = F.lit(None) if name is None else F.col(f"`{name}`")
+        columns.append(value.try_cast(field.dataType).alias(field.name))
+        if audit and name is not None and types[name] != field.dataType:
+            chunk, bit = divmod(2 * place, _AUDIT_BITS)
+            losses[chunk] = losses[chunk] + _loss(value, types[name], field.dataType, bit)
+    if audit:
+        columns += [loss.alias(name) for loss, name in zip(losses, audit_columns(schema))]
+    return df.select(*columns)
+
+
+#: Bits of a column that says what casts have lost; two for each column of the schema.
+_AUDIT_BITS = 62
+
+
+def audit_columns(schema: T.StructType) -> list[str]:
+    """Names of the columns that ``conform`` adds with ``audit``."""
+    return [f"_lost_{k}" for k in range(-(-2 * len(schema.fields) // _AUDIT_BITS))]
+
+
+def _loss(value: Column, there: T.DataType, wanted: T.DataType, bit: int) -> Column:
+    """``2**bit`` where the cast gives NULL, twice that where it gives another value.
+
+    NaN has no counterpart among whole numbers; NULL says the same and is no loss.
+    """
+    got = value.try_cast(wanted)
+    floating = isinstance(there, (T.DoubleType, T.FloatType))
+    given = value.isNotNull() & ~F.isnan(value) if floating else value.isNotNull()
+    nulled = given & got.isNull()
+    changed = got.isNotNull() & ~got.try_cast(there).eqNullSafe(value)
+    none = F.lit(0).cast("bigint")
+    return F.when(nulled, F.lit(1 << bit).cast("bigint")).otherwise(
+        F.when(changed, F.lit(2 << bit).cast("bigint")).otherwise(none)
     )
 
 
+def audited_fields(inputs: Sequence[RawInput], schema: T.StructType) -> list[str]:
+    """Columns that some input has in another type than ``schema``."""
+    return [
+        f.name
+        for f in schema.fields
+        for i in inputs
+        if any(g.name.lower() == f.name.lower() and g.dataType != f.dataType for g in i.file_schema)
+    ]
+
+
+def loss_counts(fields: Sequence[str], schema: T.StructType) -> list[Column]:
+    """Aggregates ``nulled <column>`` and ``changed <column>`` over the audit columns."""
+    counts = []
+    for name in dict.fromkeys(fields):
+        chunk, bit = divmod(2 * schema.names.index(name), _AUDIT_BITS)
+        flags = F.col(audit_columns(schema)[chunk])
+        for step, kind in enumerate(("nulled", "changed")):
+            hit = flags.bitwiseAND(F.lit(1 << (bit + step)).cast("bigint")) != 0
+            counts.append(F.count_if(hit).alias(f"{kind} {name}"))
+    return counts
+
+
 def read_raw_trips(
     spark: SparkSession,
     inputs: Sequence[RawInput],
     schema: T.StructType = trips.RAW_SCHEMA,
+    audit: bool = False,
 ) -> DataFrame:
-    """Raw trips of all inputs under one schema."""
+    """Raw trips of all inputs under one schema; ``audit`` as in :func:`conform`."""
     frames = [
-        conform(spark.read.schema(i.file_schema).parquet(i.path), schema) for i in inputs
+        conform(spark.read.schema(i.file_schema).parquet(i.path), schema, audit) for i in inputs
     ]
     return reduce(DataFrame.unionByName, frames)
 
