@@ -323,14 +323,14 @@ def _counted(
         yield _counted_rows(names, 0, pa.nulls(len(names), pa.string()), total)
         ids = _word_ids(text)
         many = int(ids.max(initial=0)) + 1
-        same = text.lang.astype(np.int64) * many + ids  # numbers of equal words of a language
         for length, key, good in _grams(text, languages, passed, params.longest, params.filter_bits):
-            if length > 1:
-                # Numbers of equal phrases: that of the phrase without its last word, and that.
-                same = _numbered(same[: len(key)] * many + ids[length - 1 :])
             at = np.flatnonzero(good)
             at = at[_may_pass(passed, key[at], params.filter_bits)]
-            _, first, n = np.unique(same[at], return_index=True, return_counts=True)
+            same = text.lang[at].astype(np.int64) * many + ids[at]  # equal words of a language
+            for k in range(1, length):
+                # Equal phrases: equal without their last word, and in that.
+                same = _numbered(same) * many + ids[at + k]
+            _, first, n = np.unique(same, return_index=True, return_counts=True)
             at = at[first]
             yield _counted_rows(names.take(pa.array(text.lang[at])), length, _strings(text, at, length), n)
 
