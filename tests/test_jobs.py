@@ -1,5 +1,6 @@
 """The jobs end to end on small input."""
 
+import glob
 import os
 import time
 from dataclasses import replace
@@ -127,6 +128,38 @@ def test_backfill_in_batches_equals_one_run(spark, cfg, months):
     )
 
 
+@pytest.mark.parametrize("most", [1, 350])
+def test_batches_of_months_equal_one_batch(spark, cfg, most):
+    """Months alone and together, side by side; files follow the months."""
+    jobs.run_bronze(spark, cfg)
+    whole = replace(cfg, silver=f"{cfg.silver}2", quarantine=f"{cfg.quarantine}2")
+    small = replace(cfg, batch_rows=most, batches_at_once=3)
+    assert jobs.run_silver(spark, small) == jobs.run_silver(spark, whole)
+    for read, mine, other in (
+        (read_silver, small.silver, whole.silver),
+        (read_quarantine, small.quarantine, whole.quarantine),
+    ):
+        got, want = read(spark, mine), read(spark, other)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    for folder in (whole.silver, small.silver):
+        files = glob.glob(f"{folder}/*/*/*.parquet")
+        assert len(files) == len(set(map(os.path.dirname, files))) == 4
+
+
+def test_silver_of_months_that_left_bronze_goes(spark, cfg):
+    jobs.run_pipeline(spark, cfg)
+    raw_trips(spark, 300, tpep_pickup_datetime="make_timestamp(2024, 2, 3, 1, 1, 0)").write.mode(
+        "overwrite"
+    ).parquet(cfg.raw[0].path)
+    fresh = replace(cfg, bronze=f"{cfg.bronze}2")
+    assert jobs.run_bronze(spark, fresh)["bronze"] == 300
+    counts = jobs.run_silver(spark, fresh)
+    silver, rejected = read_silver(spark, cfg.silver), read_quarantine(spark, cfg.quarantine)
+    assert counts["silver"] == silver.count() and counts["rejected"] == rejected.count() > 0
+    assert {r["_month"] for r in silver.select("_month").distinct().collect()} == {"02"}
+    assert {r["_month"] for r in rejected.select("_month").distinct().collect()} == {"02"}
+
+
 def test_failed_gate_writes_nothing(spark, cfg):
     raw_trips(spark, DOLocationID="if(id % 2 = 0, null, 1)").write.mode("overwrite").parquet(
         cfg.raw[0].path

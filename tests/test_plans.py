@@ -11,8 +11,9 @@ from tierline.operators import dedup, enrich, ingest, kpi, quality, reports, sta
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig
 from tierline.session import work_folder
+from tierline.sinks.landing import rows_by_period
 from tierline.sinks.tables import write_by_period
-from tierline.sources.lookup import LookupFacts
+from tierline.sources.lookup import LookupFacts, checked_lookup, read_zone_lookup
 from tierline.sources.tables import RawInput, read_bronze, read_raw_trips, read_silver
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -157,11 +158,42 @@ def test_period_list_and_layout():
     base = PipelineConfig(
         raw=(RawInput("r"),), zones="z", bronze="b", silver="s", quarantine="q", gold="g"
     )
-    assert base.rebalance_silver and base.gold_periods is None
+    assert base.gold_periods is None
     one = replace(base, periods=(("2024", "02"),))
-    assert not one.rebalance_silver and one.gold_periods == ((2024, 2),)
+    assert one.gold_periods == ((2024, 2),)
     two = replace(base, periods=(("2024", "02"), (None, None)))
-    assert two.rebalance_silver and two.gold_periods == ((2024, 2), (None, None))
+    assert two.gold_periods == ((2024, 2), (None, None))
+    assert one.run_key != two.run_key and one.run_key == replace(one, run_ts="2024-01-01").run_key
+
+
+def test_months_are_batched_by_their_rows():
+    rows = {("2024", f"{m:02d}"): n for m, n in enumerate((5, 5, 30, 1, 2, 3, 9), 1)} | {(None, None): 2}
+    assert jobs.month_batches(rows, 10) == [
+        (("2024", "01"), ("2024", "02")),
+        (("2024", "03"),),
+        (("2024", "04"), ("2024", "05"), ("2024", "06")),
+        (("2024", "07"),),
+        ((None, None),),
+    ]
+    assert jobs.month_batches({}, 10) == []
+
+
+@pytest.mark.parametrize("most", [1, 700, 10**9])
+def test_a_full_silver_run_shuffles_its_trips_once(spark, run, most):
+    """Of each batch: one exchange over trips, whatever the size of the months."""
+    lookup = read_zone_lookup(spark, run.zones)
+    facts = checked_lookup(lookup)
+    rows = rows_by_period(read_bronze(spark, run.bronze))
+    batches = jobs.month_batches(rows, most)
+    assert (most > 1) == any(len(b) > 1 for b in batches)
+    for batch in (batches[0], max(batches, key=len), batches[-1]):
+        text = plan(jobs.silver_batch(spark, run, lookup, facts, batch))
+        exchanges = re.findall(r"(?<!Broadcast)Exchange (\w+)\(([^)]*)\)", text)
+        dealt = [what for how, what in exchanges if how == "hashpartitioning"]
+        assert len(exchanges) == len(dealt) == 1 and text.count("BroadcastExchange") == 2
+        # A large month is dealt by trip, small ones by month.
+        assert ("pickup_datetime" in dealt[0]) == (len(batch) == 1)
+        assert ("_month" in dealt[0]) == (len(batch) > 1)
 
 
 def test_rebalance_splits_a_period_with_most_rows(spark, tmp_path):

@@ -15,6 +15,7 @@ def deduplicate(
     keys: Sequence[str] = trips.TRIP_KEY,
     prefer: Sequence[str] = ("vendor_id",),
     follows: Sequence[str] = trips.FROM_TRIP_KEY,
+    dealt_by: Sequence[str] = (),
 ) -> DataFrame:
     """Keep one row per key: the smallest by ``prefer``, then by all other columns.
 
@@ -27,6 +28,11 @@ def deduplicate(
     Catalyst turns ``row_number() == 1`` into a group limit on both sides of the
     shuffle: each map task passes on at most one row per key, so a key that holds
     a large part of the table arrives as one row per map task.
+
+    With ``dealt_by``, columns that follow from the key, the one shuffle brings their
+    rows together instead, so that a write by them needs no second one. There is no
+    limit before that shuffle; it is meant for as many rows of one value as a task
+    can hold.
     """
     settled = {*keys, *prefer, *follows}
     order = [*prefer, *(c for c in df.columns if c not in settled)]
@@ -36,5 +42,7 @@ def deduplicate(
         for c, kind in df.dtypes
         if c in keys and kind in ("double", "float")
     ]
-    ranked = Window.partitionBy(*keys).orderBy(*order)
+    if dealt_by:
+        df = df.repartition(*dealt_by)
+    ranked = Window.partitionBy(*dealt_by, *keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")

@@ -56,6 +56,11 @@ class PipelineConfig:
     strays: str | None = None
     #: Set where raw files mix many months; costs a shuffle of the raw table.
     rebalance_bronze: bool = False
+    #: Rows up to which neighbouring months are cleaned in one batch; a month with more
+    #: is a batch of its own.
+    batch_rows: int = 2_000_000
+    #: Batches that are cleaned at the same time.
+    batches_at_once: int = 4
     #: Print a sample after each layer; an extra read of the layer just written.
     previews: bool = False
 
@@ -67,11 +72,6 @@ class PipelineConfig:
         named = "+".join(months) if len(months) < 4 else f"{len(months)}-months"
         return f"{named}-{hashlib.sha256(what.encode()).hexdigest()[:12]}"
 
-    @property
-    def rebalance_silver(self) -> bool:
-        """One month needs no further shuffle to be written in few files."""
-        return self.periods is None or len(self.periods) > 1
-
     @property
     def gold_periods(self) -> tuple[tuple[int | None, int | None], ...] | None:
         if self.periods is None:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import replace
 
@@ -20,11 +21,16 @@ from tierline.operators.standardise import standardise, with_silver_metadata
 from tierline.plans.config import PipelineConfig
 from tierline.session import pin_session
 from tierline.sinks.catalog import register_gold
-from tierline.sinks.files import Folders
+from tierline.sinks.files import Folders, period_folder
 from tierline.sinks.landing import Staged, discard, move_in, rows_by_period, stage, write_strays
-from tierline.sinks.tables import write_by_period, write_gold, write_quarantine
+from tierline.sinks.tables import (
+    empty_periods,
+    write_by_period,
+    write_gold,
+    write_quarantine,
+)
 from tierline.sources.census import check_files
-from tierline.sources.lookup import checked_lookup, read_zone_lookup
+from tierline.sources.lookup import LookupFacts, checked_lookup, read_zone_lookup
 from tierline.sources.tables import (
     Period,
     audit_columns,
@@ -36,12 +42,14 @@ from tierline.sources.tables import (
     read_silver,
     stored_periods,
 )
-from tierline.trips import RAW_SCHEMA
+from tierline.trips import PERIOD, RAW_SCHEMA
 
 Counts = dict[str, int]
 
 
-def _together(spark: SparkSession, writes: dict[str, Callable[[], int]]) -> Counts:
+def _together(
+    spark: SparkSession, writes: dict[str, Callable[[], int]], at_once: int | None = None
+) -> Counts:
     """Run independent writes at the same time; the first failure ends them all.
 
     Tasks of one fill the cores that another leaves idle at its end and while the
@@ -50,19 +58,23 @@ def _together(spark: SparkSession, writes: dict[str, Callable[[], int]]) -> Coun
     """
     in_session = inheritable_thread_target(spark)
     tag = f"tierline-{uuid.uuid4().hex}"
+    ended = threading.Event()
 
     def tagged(write: Callable[[], int]) -> Callable[[], int]:
         def run() -> int:
+            if ended.is_set():
+                raise RuntimeError("not begun, as another write had failed")
             spark.sparkContext.addJobTag(tag)
             return write()
 
         return run
 
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+    with ThreadPoolExecutor(max_workers=at_once or len(writes)) as pool:
         running = {name: pool.submit(in_session(tagged(w))) for name, w in writes.items()}
         done, rest = wait(running.values(), return_when=FIRST_EXCEPTION)
         failed = [f for f in done if f.exception() is not None]
         if failed:
+            ended.set()
             while rest:  # a write may start further jobs after it was cancelled
                 spark.sparkContext.cancelJobsWithTag(tag)
                 rest = wait(rest, timeout=1).not_done
@@ -85,11 +97,20 @@ def bronze_frame(spark: SparkSession, cfg: PipelineConfig, audit: bool = False)
 
 
 def silver_frame(
-    standardised: DataFrame, zones: DataFrame, cfg: PipelineConfig
+    standardised: DataFrame,
+    zones: DataFrame,
+    cfg: PipelineConfig,
+    facts: LookupFacts | None = None,
+    small_months: bool = False,
 ) -> DataFrame:
-    """Valid, deduplicated and enriched trips from standardised ones."""
-    trips_once = deduplicate(valid_rows(standardised, cfg.rules))
-    enriched = enrich_with_zones(trips_once, zones, checked_lookup(zones))
+    """Valid, deduplicated and enriched trips from standardised ones.
+
+    One shuffle deals the trips. That of ``small_months`` deals them by month, so that a
+    month is written by one task; otherwise by trip, and any number of tasks write a month.
+    """
+    dealt_by = PERIOD if small_months else ()
+    trips_once = deduplicate(valid_rows(standardised, cfg.rules), dealt_by=dealt_by)
+    enriched = enrich_with_zones(trips_once, zones, facts or checked_lookup(zones))
     return with_silver_metadata(enriched, cfg.run_ts, cfg.silver_version)
 
 
@@ -183,34 +204,71 @@ def _sample(layer: DataFrame, columns: tuple[str, ...], n: int = 5) -> None:
     layer.select(*columns).limit(n).show(truncate=False)
 
 
+def month_batches(rows: dict[Period, int], most: int) -> list[tuple[Period, ...]]:
+    """Months in order, put together as long as a batch has ``most`` rows at the most."""
+    batches: list[list[Period]] = []
+    size = 0
+    for period in sorted(rows, key=lambda p: tuple(map(str, p))):
+        if not batches or size + rows[period] > most:
+            batches.append([])
+            size = 0
+        batches[-1].append(period)
+        size += rows[period]
+    return [tuple(batch) for batch in batches]
+
+
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> Counts:
-    """Build silver and quarantine from bronze.
+    """Build silver and quarantine from bronze, in batches of months.
+
+    The pickup time is part of the trip key and gives the month, so copies of a trip
+    never lie in two batches. Each batch has one shuffle of its trips: neighbouring
+    small months are dealt by month, a large month by trip and with copies cut on both
+    sides of the shuffle. Files follow a month's size either way. Batches run side by side.
 
     The periods of the run, or all stored ones, are replaced also where no row is
-    left in them. Two passes over bronze, one per output. The number of bronze rows comes from
-    the file footers, and that of valid rows from it and the rejects, so neither
-    is counted below a shuffle.
+    left in them. Rows of each month come from the file footers, and that of valid rows
+    from them and the rejects, so neither is counted below a shuffle.
     """
     pin_session(spark)
-    bronze = read_bronze(spark, cfg.bronze, cfg.periods)
-    standardised = standardise(bronze)
+    rows = rows_by_period(read_bronze(spark, cfg.bronze, cfg.periods))
     zones = read_zone_lookup(spark, cfg.zones)
-
-    silver = silver_frame(standardised, zones, cfg)
-    rejected = rejected_rows(standardised, cfg.rules)
-    written = _together(
-        spark,
-        {
-            "silver": lambda: write_by_period(
-                silver, cfg.silver, cfg.rebalance_silver, replace=cfg.periods or "all"
-            ),
-            "rejected": lambda: write_quarantine(rejected, cfg.quarantine, cfg.periods),
-        },
-    )
-    total = bronze.count()
+    facts = checked_lookup(zones)
+    writes: dict[str, Callable[[], int]] = {}
+    for k, batch in enumerate(month_batches(rows, cfg.batch_rows) or [cfg.periods]):
+        replaced = batch or "all"
+        writes[f"silver {k}"] = lambda b=batch, r=replaced: write_by_period(
+            silver_batch(spark, cfg, zones, facts, b), cfg.silver, replace=r
+        )
+        writes[f"rejected {k}"] = lambda b=batch: write_quarantine(
+            rejected_rows(standardise(read_bronze(spark, cfg.bronze, b)), cfg.rules),
+            cfg.quarantine,
+            b,
+        )
+    written = _together(spark, writes, 2 * cfg.batches_at_once)
+    found = {period_folder(p) for p in rows}
+    named = None if cfg.periods is None else {period_folder(p) for p in cfg.periods}
+    for path in (cfg.silver, cfg.quarantine):
+        empty_periods(spark, path, lambda p: p not in found and (named is None or p in named))
     if cfg.previews:
         _sample(read_silver(spark, cfg.silver, cfg.periods), reports.SILVER_PREVIEW)
-    return {"valid": total - written["rejected"], **written}
+    counts = {
+        layer: sum(n for name, n in written.items() if name.startswith(layer))
+        for layer in ("silver", "rejected")
+    }
+    return {"valid": sum(rows.values()) - counts["rejected"], **counts}
+
+
+def silver_batch(
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    zones: DataFrame,
+    facts: LookupFacts,
+    periods: Sequence[Period] | None,
+) -> DataFrame:
+    """Silver of some months, as it is written."""
+    bronze = read_bronze(spark, cfg.bronze, periods)
+    several = periods is None or len(periods) > 1
+    return silver_frame(standardise(bronze), zones, cfg, facts, small_months=several)
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> Counts:

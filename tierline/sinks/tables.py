@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.sinks.files import NULL_PARTITION, Folders, period_folder
@@ -89,13 +89,17 @@ def _write_periods(df: DataFrame, path: str, replace: Sequence[Period] | str | N
     if replace is not None:
         written = set(seen.get.get("folders") or ())
         named = None if replace == "all" else {period_folder(p) for p in replace}
-        _empty(df, path, lambda found: found not in written and (named is None or found in named))
+        empty_periods(
+            df.sparkSession,
+            path,
+            lambda found: found not in written and (named is None or found in named),
+        )
     return _rows(seen)
 
 
-def _empty(df: DataFrame, path: str, unwanted: Callable[[str], bool]) -> None:
+def empty_periods(spark: SparkSession, path: str, unwanted: Callable[[str], bool]) -> None:
     """Delete the folders of stored periods that ``unwanted`` holds for."""
-    folders = Folders(df.sparkSession, path)
+    folders = Folders(spark, path)
     for period in list(folders.periods()):
         if unwanted(period):
             folders.delete(period)
@@ -104,26 +108,19 @@ def _empty(df: DataFrame, path: str, unwanted: Callable[[str], bool]) -> None:
 def write_quarantine(
     rejected: DataFrame, path: str, periods: Sequence[Period] | None = None
 ) -> int:
-    """Replace the rejected rows of the whole table, or of each listed period.
+    """Replace the rejected rows of the whole table, or of the listed periods.
 
     The write happens even when there are none, so rejects of an earlier run do
     not stay behind.
     """
-    if periods is None:
-        counted, seen = _counted(by_period(rejected))
-        (
-            counted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*PERIOD)
-            .parquet(path)
-        )
-        return _rows(seen)
-    return sum(_write_quarantine_period(rejected, path, period) for period in periods)
-
-
-def _write_quarantine_period(rejected: DataFrame, path: str, period: Period) -> int:
-    folder = period_folder(period)
-    rows = rejected.filter(in_periods([period])).drop(*PERIOD).hint("rebalance")
-    counted, seen = _counted(rows)
-    counted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
+    if periods is not None:
+        rows = rejected.filter(in_periods(periods))
+        return _write_periods(by_period(rows), path, replace=periods)
+    counted, seen = _counted(by_period(rejected))
+    (
+        counted.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*PERIOD)
+        .parquet(path)
+    )
     return _rows(seen)
