@@ -104,3 +104,45 @@ def test_equal_strings_have_equal_hashes():
     every = hashes.all(30)
     assert len(set(every.tolist())) == 3 and (every[:3] == every[3:6]).all()
     assert (hashes.of(np.array([0, 3, 7]), 30) == every[[0, 3, 7]]).all()
+
+
+@pytest.mark.parametrize("size", [0, 1, 150, 199, 200, 201, 399, 400, 401])
+def test_short_texts_alone_in_a_task(spark, size):
+    text = prose(3, 400)[:size]
+    for data in ([(1, text)], [(1, text), (2, text)]):
+        assert got(drop_repeats(table(spark, data).coalesce(1))) == brute(data, 400)
+
+
+def test_every_text_in_a_task_of_its_own(spark):
+    passage = prose(5, 200)
+    data = [(i, passage[: 90 * i]) for i in range(12)]
+    assert got(drop_repeats(table(spark, data).repartition(40))) == brute(data, 400)
+
+
+def test_a_portion_without_any_window(spark):
+    data = [(i, f"{i:040d}") for i in range(10_001)]
+    found = drop_repeats(table(spark, data).coalesce(1))
+    assert found.count() == 10_001 and found.filter("n_removed > 0").isEmpty()
+
+
+@pytest.mark.parametrize("rest", [0, 1, 14, 15, 38, 39, 40, 41])
+def test_last_slice_may_be_shorter_than_a_gram(monkeypatch, rest):
+    monkeypatch.setattr(repeats, "_SLICE", 256)
+    data = prose(8, 200).encode()[: 512 + rest]
+    r = runs_of(*arrays.texts_of(pa.array([data])), Repeats(40, 15))
+    assert sum(r["count"]) == len(data) - 39
+
+
+@pytest.mark.parametrize("rest", [1, 50, 198, 199, 399, 400])
+def test_last_slice_of_a_megabyte(rest):
+    data = np.random.default_rng(rest).integers(97, 123, (1 << 20) + rest, dtype=np.uint8).tobytes()
+    r = runs_of(*arrays.texts_of(pa.array([data])), Repeats())
+    assert sum(r["count"]) == len(data) - 399
+
+
+def test_different_texts_under_one_id_lose_their_own_spans(spark):
+    passage = prose(6, 150)[:600]
+    data = [(1, f"first {passage} one"), (1, prose(7, 50)[:250]), (2, f"other {passage}"), (1, ""),
+            (None, f"no id {passage}"), (None, prose(9, 60)), (1, f"{passage} last")]
+    found = drop_repeats(table(spark, data).repartition(3))
+    assert got(found) == brute(data, 400)

@@ -95,7 +95,7 @@ def near(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return repeats.drop_repeats(docs).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "span_starts", "span_ends"
     )
 
 

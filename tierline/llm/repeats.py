@@ -43,7 +43,7 @@ _SLICE = 1 << 20
 
 #: What a text loses: spans are byte ranges of the original, in order.
 SPANS = (
-    "doc long, n_removed long, span_starts array<long>, span_ends array<long>, "
+    "doc long, version long, n_removed long, span_starts array<long>, span_ends array<long>, "
     "kept_sha256 string, kept binary"
 )
 
@@ -80,9 +80,8 @@ def drop_repeats(
     ``kept_sha256``, ``kept_text`` (binary; null without ``texts``).
 
     * A null text is empty. Texts shorter than ``length`` stay as they are.
-    * Rows that repeat id and text are copies of each other. Texts that share an
-      id are one document's: spans found in one are removed from each. A row with
-      a null id is a document of its own.
+    * Rows that repeat id and text are copies of each other. Different texts that share
+      an id, or have none, are documents of their own.
     * An empty table gives an empty result; other columns are not looked at.
     """
     require_columns(docs, id_column, text_column)
@@ -90,17 +89,20 @@ def drop_repeats(
     rows = docs.select(
         quoted(id_column).alias("id"),
         F.coalesce(quoted(id_column).cast("long"), F.xxhash64(text)).alias("doc"),
+        F.xxhash64(text).alias("version"),
         text.cast("binary").alias("text"),
     )
-    spans = _spans(rows.select("doc", "text"), params, texts)
+    spans = _spans(rows.select("doc", "version", "text"), params, texts)
     whole = rows.select(
         "id",
         F.col("doc").alias("own"),
+        F.col("version").alias("own_version"),
         F.octet_length("text").cast("long").alias("n_bytes"),
         F.sha2("text", 256).alias("sha256"),
         (F.col("text") if texts else F.lit(None).cast("binary")).alias("text"),
     )
-    found = whole.join(spans, F.col("own") == F.col("doc"), "left")
+    same = (F.col("own") == F.col("doc")) & (F.col("own_version") == F.col("version"))
+    found = whole.join(spans, same, "left")
     none = F.array().cast("array<long>")
     return found.select(
         F.col("id").alias(id_column),
@@ -118,32 +120,33 @@ def _spans(rows: DataFrame, params: Repeats, texts: bool) -> DataFrame:
     """Spans of the documents that lose anything; one row for each."""
     runs = rows.mapInArrow(
         lambda b: _run_rows(b, params),
-        "anchor long, whole long, doc long, start long, count int, kind int",
+        "anchor long, whole long, doc long, version long, start long, count int, kind int",
     )
     # Rows of one anchor meet sorted by run, and are passed on one after another.
     kinds = (
         runs.repartition("anchor")
         .sortWithinPartitions("anchor", "whole", "kind")
-        .mapInArrow(_compare_runs, "doc long, run long")
+        .mapInArrow(_compare_runs, "doc long, version long, run long")
     )
-    by_doc = stored(kinds, "repeat-runs").groupBy("doc").agg(F.collect_list("run").alias("runs"))
-    touched = stored(rows.join(by_doc, "doc"), "repeat-texts")
+    key = ["doc", "version"]
+    by_doc = stored(kinds, "repeat-runs").groupBy(*key).agg(F.collect_list("run").alias("runs"))
+    touched = stored(rows.join(by_doc, key), "repeat-texts")
     windows = touched.mapInArrow(
         lambda b: _window_rows(b, params),
-        "window long, anchor int, doc long, start long, kind int",
+        "window long, anchor int, doc long, version long, start long, kind int",
     )
     again = (
         windows.repartition("window")
         .sortWithinPartitions("window", "anchor", "kind")
-        .mapInArrow(_compare_windows, "doc long, start long")
+        .mapInArrow(_compare_windows, "doc long, version long, start long")
     )
-    starts = stored(again, "repeat-windows").groupBy("doc").agg(
+    starts = stored(again, "repeat-windows").groupBy(*key).agg(
         F.collect_list("start").alias("starts")
     )
-    joined = touched.join(starts, "doc", "left").select("doc", "text", "runs", "starts")
+    joined = touched.join(starts, key, "left").select(*key, "text", "runs", "starts")
     removed = joined.mapInArrow(lambda b: _removed(b, params.length, texts), SPANS)
     # Rows that repeat an id and a text have the same spans.
-    return removed.groupBy("doc").agg(
+    return removed.groupBy(*key).agg(
         *[F.first(c).alias(c) for c in ("n_removed", "span_starts", "span_ends", "kept_sha256", "kept")]
     )
 
@@ -160,8 +163,8 @@ class Hashes:
         return arrays.mixed((self._sums[start + length] - self._sums[start]) * self._down[start])
 
     def all(self, length: int) -> np.ndarray:
-        """Of the strings of one length at every place."""
-        n = len(self._sums) - length
+        """Of the strings of one length at every place; none in a shorter buffer."""
+        n = max(len(self._sums) - length, 0)
         return arrays.mixed((self._sums[length:] - self._sums[:n]) * self._down[:n])
 
 
@@ -255,7 +258,9 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 def _combined(keys: list[np.ndarray]) -> np.ndarray:
     """Kinds of rows by their keys: alone, first of several equal ones, or another of them."""
     order = np.lexsort(keys[::-1])
-    same = np.ones(max(len(order) - 1, 0), dtype=bool)
+    if not len(order):
+        return np.empty(0, dtype=np.int32)
+    same = np.ones(len(order) - 1, dtype=bool)
     for key in keys:
         same &= key[order][1:] == key[order][:-1]
     before = np.concatenate(([False], same))
@@ -268,9 +273,9 @@ def _combined(keys: list[np.ndarray]) -> np.ndarray:
 
 def _run_rows(batches: Iterator[pa.RecordBatch], params: Repeats) -> Iterator[pa.RecordBatch]:
     """Runs of windows; of equal ones in a portion one goes on for all."""
-    for batch in arrays.portions(batches, 1):
-        r = runs_of(*arrays.texts_of(batch.column(1)), params)
-        docs = batch.column(0).to_numpy()[r["row"]]
+    for batch in arrays.portions(batches, 2):
+        r = runs_of(*arrays.texts_of(batch.column(2)), params)
+        docs, versions = (batch.column(k).to_numpy()[r["row"]] for k in range(2))
         kind = _combined([r["anchor"], r["whole"]])
         # What is known needs no comparing and is dealt out evenly.
         anchor = np.where(
@@ -283,11 +288,12 @@ def _run_rows(batches: Iterator[pa.RecordBatch], params: Repeats) -> Iterator[pa
                 pa.array(anchor.view(np.int64)),
                 pa.array(r["whole"].view(np.int64)),
                 pa.array(docs),
+                pa.array(versions),
                 pa.array(r["start"]),
                 pa.array(r["count"].astype(np.int32)),
                 pa.array(kind),
             ],
-            ["anchor", "whole", "doc", "start", "count", "kind"],
+            ["anchor", "whole", "doc", "version", "start", "count", "kind"],
         )
 
 
@@ -326,10 +332,10 @@ def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Runs that are repeated as a whole, and one to take apart of each kind of an anchor."""
     opening = None  # the first run seen of the anchor that is passing
     for before, now, after in _with_next(batches):
-        anchor, whole, docs, start, count, kind = now
+        anchor, whole, docs, versions, start, count, kind = now
         known = kind == _KNOWN
-        same_before = (anchor == before[0]) & (whole == before[1]) & (before[5] != _KNOWN)
-        same_after = (anchor == after[0]) & (whole == after[1]) & (after[5] != _KNOWN)
+        same_before = (anchor == before[0]) & (whole == before[1]) & (before[-1] != _KNOWN)
+        same_after = (anchor == after[0]) & (whole == after[1]) & (after[-1] != _KNOWN)
         repeated = known | (kind == _SEVERAL) | same_before | same_after
         # The first run of each anchor, carried over from batch to batch.
         new = anchor != before[0]
@@ -347,23 +353,24 @@ def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 _pack(start[apart], count[apart], ~none[apart]),
             )
         )
+        doc, version = (np.concatenate((x[repeated], x[apart])) for x in (docs, versions))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((docs[repeated], docs[apart]))), pa.array(packed)],
-            ["doc", "run"],
+            [pa.array(doc), pa.array(version), pa.array(packed)], ["doc", "version", "run"]
         )
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch], params: Repeats) -> Iterator[pa.RecordBatch]:
     """Every window of the runs that are to be taken apart."""
     width = params.length - params.gram + 1
-    for batch in arrays.portions(batches, 1):
-        docs, out = batch.column(0).to_numpy(), []
+    for batch in arrays.portions(batches, 2):
+        docs, versions = (batch.column(k).to_numpy() for k in range(2))
+        out = []
         for i in range(batch.num_rows):
-            start, count, apart = _unpack(batch.column(2)[i].values.to_numpy())
+            start, count, apart = _unpack(batch.column(3)[i].values.to_numpy())
             start, count = start[apart], count[apart]
             if not len(start):
                 continue
-            data = np.frombuffer(batch.column(1)[i].as_buffer(), dtype=np.uint8)
+            data = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.uint8)
             order = np.argsort(start)
             start, count = start[order], count[order]
             # Near runs are worked on as one piece of text.
@@ -382,10 +389,12 @@ def _window_rows(batches: Iterator[pa.RecordBatch], params: Repeats) -> Iterator
                     key = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
                     at = (_sliding_min(key, width)[inside] & _PLACE).astype(np.int64)
                     window = hashes.of(inside, params.length)
-                    out.append((window, gram[at], np.full(len(inside), docs[i]), inside + piece))
+                    row = np.full(len(inside), i)
+                    out.append((window, gram[at], row, inside + piece))
         if not out:
             continue
-        window, anchor, doc, start = (np.concatenate([o[k] for o in out]) for k in range(4))
+        window, anchor, row, start = (np.concatenate([o[k] for o in out]) for k in range(4))
+        doc = docs[row]
         kind = _combined([window, anchor])
         window = np.where(
             kind == _KNOWN, arrays.mixed(doc.view(np.uint64) + start.astype(np.uint64)), window
@@ -395,10 +404,11 @@ def _window_rows(batches: Iterator[pa.RecordBatch], params: Repeats) -> Iterator
                 pa.array(window.view(np.int64)),
                 pa.array(anchor.view(np.int64).astype(np.int32)),
                 pa.array(doc),
+                pa.array(versions[row]),
                 pa.array(start),
                 pa.array(kind),
             ],
-            ["window", "anchor", "doc", "start", "kind"],
+            ["window", "anchor", "doc", "version", "start", "kind"],
         )
 
 
@@ -415,12 +425,12 @@ def _covered(start: np.ndarray, count: np.ndarray, low: int, high: int) -> np.nd
 def _compare_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows that are equal to another."""
     for before, now, after in _with_next(batches):
-        window, anchor, docs, start, kind = now
-        same_before = (window == before[0]) & (anchor == before[1]) & (before[4] != _KNOWN)
-        same_after = (window == after[0]) & (anchor == after[1]) & (after[4] != _KNOWN)
+        window, anchor, docs, versions, start, kind = now
+        same_before = (window == before[0]) & (anchor == before[1]) & (before[-1] != _KNOWN)
+        same_after = (window == after[0]) & (anchor == after[1]) & (after[-1] != _KNOWN)
         again = (kind != _ALONE) | same_before | same_after
         yield pa.RecordBatch.from_arrays(
-            [pa.array(docs[again]), pa.array(start[again])], ["doc", "start"]
+            [pa.array(x[again]) for x in (docs, versions, start)], ["doc", "version", "start"]
         )
 
 
@@ -428,24 +438,23 @@ def _removed(
     batches: Iterator[pa.RecordBatch], length: int, texts: bool
 ) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in SPANS.split(", ")]
-    for batch in arrays.portions(batches, 1):
-        docs, out = batch.column(0).to_pylist(), []
+    for batch in arrays.portions(batches, 2):
+        docs, versions = (batch.column(k).to_pylist() for k in range(2))
+        out = []
         for i in range(batch.num_rows):
-            data = np.frombuffer(batch.column(1)[i].as_buffer(), dtype=np.uint8)
-            start, count, apart = _unpack(batch.column(2)[i].values.to_numpy())
-            single = batch.column(3)[i]
+            data = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.uint8)
+            start, count, apart = _unpack(batch.column(3)[i].values.to_numpy())
+            single = batch.column(4)[i]
             single = single.values.to_numpy() if single.is_valid else np.empty(0, np.int64)
             begins = np.concatenate((start[~apart], single))
             ends = np.concatenate((start[~apart] + count[~apart] - 1, single)) + length
             order = np.argsort(begins, kind="stable")
-            # Texts that share an id may be shorter.
-            begins, ends = (np.minimum(x[order], len(data)) for x in (begins, ends))
-            begins, ends = merged(begins, ends)
-            begins, ends = begins[begins < ends], ends[begins < ends]
+            begins, ends = merged(begins[order], ends[order])
             kept = without(data, begins, ends)
             out.append(
                 (
                     docs[i],
+                    versions[i],
                     len(data) - len(kept),
                     begins.tolist(),
                     ends.tolist(),
