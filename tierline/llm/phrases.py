@@ -43,6 +43,9 @@ _SEPARATOR[[9, 32]] = True
 #: Parts of a language that are ranked on their own.
 _PARTS = 64
 
+#: Bytes of text, and keys to look up, that a task works on at once.
+_PORTION, _LOOKED_UP = 1 << 21, 1 << 17
+
 _HASHED = "shard int, key long, n long"
 
 
@@ -255,9 +258,11 @@ def _language_keys(names: list[str]) -> np.ndarray:
 def _may_pass(passed: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
     mask = np.uint64((1 << bits) - 1)
     found = np.ones(len(keys), dtype=bool)
-    for at in (keys & mask, (keys >> np.uint64(32)) & mask):
-        word = passed[(at >> np.uint64(6)).astype(np.int64)]
-        found &= (word >> (at & np.uint64(63))) & np.uint64(1) == 1
+    for low in range(0, len(keys), _LOOKED_UP):
+        part = keys[low : low + _LOOKED_UP]
+        for at in (part & mask, (part >> np.uint64(32)) & mask):
+            word = passed[(at >> np.uint64(6)).astype(np.int64)]
+            found[low : low + _LOOKED_UP] &= (word >> (at & np.uint64(63))) & np.uint64(1) == 1
     return found
 
 
@@ -295,7 +300,7 @@ def _hashed(
 ) -> Iterator[pa.RecordBatch]:
     """Keys of phrases of these lengths, with their counts in the shard of this task."""
     shard = TaskContext.get().partitionId() % params.shards
-    for batch in arrays.portions(batches, 1):
+    for batch in arrays.portions(batches, 1, _PORTION):
         text = _read(batch)
         languages = _language_keys(text.names)
         for length, key, good in _grams(text, languages, passed, lengths[-1], params.filter_bits):
@@ -315,7 +320,7 @@ def _counted(
     batches: Iterator[pa.RecordBatch], passed: np.ndarray, params: Phrases
 ) -> Iterator[pa.RecordBatch]:
     """Words and phrases that pass the filter, as strings, with their counts."""
-    for batch in arrays.portions(batches, 1):
+    for batch in arrays.portions(batches, 1, _PORTION):
         text = _read(batch)
         languages = _language_keys(text.names)
         names = pa.array(text.names, pa.string())
