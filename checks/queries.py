@@ -330,7 +330,8 @@ def fine_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = items.select(
         "l_returnflag", "l_linestatus", (F.col("l_partkey") / F.lit(1e6)).alias("x")
     )
-    sums = values.groupBy("l_returnflag", "l_linestatus").agg(*exact.partials(["x"]))
+    keys = {name: F.col(name) for name in ("l_returnflag", "l_linestatus")}
+    sums = exact.grouped(values, keys, ["x"])
     return sums.select(
         "l_returnflag",
         "l_linestatus",

@@ -77,7 +77,11 @@ def test_large_lookup_with_one_busy_location(spark):
 @pytest.mark.parametrize("table", list(kpi.BUILDERS))
 def test_gold_is_one_hash_aggregate_over_its_columns(spark, run, table):
     text = plan(kpi.BUILDERS[table](read_silver(spark, run.silver), run.run_ts))
-    assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
+    # Over trips a hash aggregate of bigint columns; over groups one that collects units.
+    over_groups, over_trips = text[: text.rindex("ObjectHashAggregate")], text[text.rindex("ObjectHashAggregate") :]
+    assert text.count("Exchange") == 2 and over_groups.count("Exchange") == 1
+    assert len(re.findall(r"(?<!Object)HashAggregate", over_trips)) == 2
+    assert "decimal" not in over_trips[over_trips.index("HashAggregate", 30) :]
     assert "SortAggregate" not in text
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     unused = {

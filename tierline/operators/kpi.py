@@ -2,7 +2,8 @@
 
 Each is one hash aggregate over the few columns it needs: map tasks combine
 first, so a zone or payment type with a large share of the trips is not a hot
-spot, and what is shuffled is the number of groups per map task.
+spot, and what is shuffled is the number of groups per map task. A second one, over
+groups only, puts sums of different units together (``functions.exact``).
 
 The tables are built from three pruned scans, not from a shared finer table. A
 table fine enough for all three (day, hour, zone and payment type) has hundreds
@@ -25,7 +26,7 @@ ZONE = ("pickup_zone", "pickup_borough", "pickup_service_zone")
 
 
 def _grouped(df: DataFrame, keys: dict[str, Column], measures: tuple[str, ...]) -> DataFrame:
-    """Group trips by ``keys`` into trip count and the partial columns of measures.
+    """Group trips by ``keys`` into trip count and what sums of measures need.
 
     Date and hour of the pickup are there for use in ``keys``.
     """
@@ -33,16 +34,12 @@ def _grouped(df: DataFrame, keys: dict[str, Column], measures: tuple[str, ...])
         "pickup_date": F.to_date("pickup_datetime"),
         "pickup_hour": F.hour("pickup_datetime"),
     }
-    return (
-        df.withColumns(moments)
-        .groupBy(*(c.alias(name) for name, c in keys.items()))
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            F.sum("passenger_count").alias("total_passengers"),
-            F.max("total_amount").alias("largest_amount"),
-            *exact.partials(measures),
-        )
-    )
+    others = {
+        "total_trips": (F.count(F.lit(1)), F.sum),
+        "total_passengers": (F.sum("passenger_count"), F.sum),
+        "largest_amount": (F.max("total_amount"), F.max),
+    }
+    return exact.grouped(df.withColumns(moments), keys, measures, others)
 
 
 def _period() -> dict[str, Column]:

@@ -44,9 +44,9 @@ def peak_weekday_hours(
 
 def revenue_by_zone(daily: DataFrame) -> DataFrame:
     """Daily table rolled up to zones; NaN and infinity carry through."""
-    sums = daily.groupBy("pickup_zone", "pickup_borough").agg(
-        F.sum("total_trips").alias("trips"), *exact.partials(["total_revenue"])
-    )
+    keys = {name: F.col(name) for name in ("pickup_zone", "pickup_borough")}
+    others = {"trips": (F.sum("total_trips"), F.sum)}
+    sums = exact.grouped(daily, keys, ["total_revenue"], others)
     return sums.select(
         "pickup_zone", "pickup_borough", "trips", exact.total("total_revenue").alias("revenue")
     )
