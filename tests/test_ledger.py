@@ -1,0 +1,198 @@
+"""Steps that are recorded and skipped, tables that change together, periods registered alone."""
+
+import glob
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import SparkSession
+
+from rows import zones
+from test_jobs import raw_trips
+from tierline.plans import jobs
+from tierline.plans.config import PipelineConfig
+from tierline.plans.ledger import Entry, Ledger, read_ledger
+from tierline.sinks import landing
+from tierline.sinks.catalog import register_gold
+from tierline.sinks.files import Folders
+from tierline.sources.tables import RawInput, read_gold, read_quarantine, read_silver
+from tierline.trips import GOLD_TABLES
+
+
+@pytest.fixture
+def cfg(spark, tmp_path):
+    raw_trips(spark).write.parquet(str(tmp_path / "raw"))
+    zones(spark).write.option("header", True).csv(str(tmp_path / "zones"))
+    return PipelineConfig(
+        raw=(RawInput(str(tmp_path / "raw")),),
+        zones=str(tmp_path / "zones"),
+        bronze=str(tmp_path / "bronze"),
+        silver=str(tmp_path / "silver"),
+        quarantine=str(tmp_path / "quarantine"),
+        gold=str(tmp_path / "gold"),
+        run_ts="2024-07-01 00:00:00",
+        database=f"ledger_{abs(hash(str(tmp_path)))}",
+        ledger=str(tmp_path / "ledger"),
+        run_id="night-7",
+        batch_rows=350,
+    )
+
+
+def counted(monkeypatch, name):
+    calls, real = [], getattr(jobs, name)
+
+    def spy(*args, **options):
+        calls.append(args)
+        return real(*args, **options)
+
+    monkeypatch.setattr(jobs, name, spy)
+    return calls
+
+
+def test_a_killed_run_goes_on_after_its_last_step(spark, cfg, monkeypatch):
+    expected = jobs.run_pipeline(spark, replace(cfg, run_id=None, **{
+        k: f"{getattr(cfg, k)}2" for k in ("bronze", "silver", "quarantine", "gold")
+    }, database=f"{cfg.database}2"))
+    assert not glob.glob(f"{cfg.ledger}/*")
+    real, built = jobs.stage, []
+
+    def second_batch_dies(df, table, run, **options):
+        if table == cfg.silver:
+            built.append(run)
+            if len(built) == 2:
+                raise KeyboardInterrupt
+        return real(df, table, run, **options)
+
+    monkeypatch.setattr(jobs, "stage", second_batch_dies)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.run_pipeline(spark, replace(cfg, batches_at_once=1))
+    monkeypatch.setattr(jobs, "stage", real)
+    gates, writes = counted(monkeypatch, "enforce_gate"), counted(monkeypatch, "stage")
+    assert jobs.run_pipeline(spark, cfg) == expected
+    assert not gates and {a[1] for a in writes} == {cfg.silver, cfg.quarantine}
+    assert built[0] not in {a[2] for a in writes}
+    writes.clear()
+    assert jobs.run_pipeline(spark, cfg) == expected and not writes
+    assert jobs.run_pipeline(spark, replace(cfg, run_id="night-8")) == expected and writes
+
+
+def test_ledger_has_rows_and_shares_by_period(spark, cfg):
+    counts = jobs.run_pipeline(spark, cfg)
+    rows = read_ledger(spark, cfg.ledger).collect()
+    assert {r["run"] for r in rows} == {"night-7"}
+    for layer, n in counts.items():
+        assert sum(r["n_rows"] for r in rows if r["layer"] == layer) == n
+    by = {(r["layer"], r["_month"]): r for r in rows}
+    for month in ("01", "02", "03", None):
+        valid, rejected = by["valid", month], by["rejected", month]
+        bronze = by["bronze", month]["n_rows"]
+        assert valid["n_rows"] + rejected["n_rows"] == bronze
+        assert (valid["share"], rejected["share"]) == (valid["n_rows"] / bronze, rejected["n_rows"] / bronze)
+
+
+def test_a_step_without_its_mark_does_not_count(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path), "r")
+    assert ledger.finished("s") is None
+    ledger.finish("s", [Entry("a", ("2024", "01"), 3, 0.5), Entry("a", None, 4), Entry("b", None, 0)])
+    assert ledger.finished("s") == {"a": 7, "b": 0}
+    Folders(spark, str(tmp_path)).delete("run=r/step=s/_SUCCESS")
+    assert ledger.finished("s") is None
+
+
+def state(spark, cfg):
+    return [
+        {(r["_month"], r["t"]): r["n"] for r in table.groupBy("_month", "trip_distance")
+         .count().toDF("_month", "t", "n").collect()}
+        for table in (read_silver(spark, cfg.silver), read_quarantine(spark, cfg.quarantine))
+    ]
+
+
+@pytest.mark.parametrize("failing", ["write", "move"])
+def test_silver_and_quarantine_change_together(spark, cfg, monkeypatch, failing):
+    """A failure between the two writes, or the two moves, leaves both as they were."""
+    cfg = replace(cfg, run_id=None, batch_rows=10**6)
+    jobs.run_pipeline(spark, cfg)
+    before = state(spark, cfg)
+    raw_trips(spark, trip_distance="if(id % 3 = 0, -1, 7)").write.mode("overwrite").parquet(cfg.raw[0].path)
+    jobs.run_bronze(spark, cfg)
+    if failing == "write":
+        real = jobs.stage
+
+        def quarantine_fails(df, table, run, **options):
+            if table == cfg.quarantine:
+                raise OSError("disk")
+            return real(df, table, run, **options)
+
+        monkeypatch.setattr(jobs, "stage", quarantine_fails)
+    else:
+        real_move = Folders.move
+
+        def quarantine_stays(self, name, to):
+            if name.startswith("quarantine.landing/") and "/new/" in name:
+                raise OSError("disk")
+            real_move(self, name, to)
+
+        monkeypatch.setattr(Folders, "move", quarantine_stays)
+    with pytest.raises(OSError, match="disk"):
+        jobs.run_silver(spark, cfg)
+    assert state(spark, cfg) == before
+    monkeypatch.undo()
+    counts = jobs.run_silver(spark, cfg)
+    after = state(spark, cfg)
+    assert counts["rejected"] == 300 == sum(after[1].values()) and after != before
+    assert not glob.glob(f"{cfg.silver}.landing/*") and not glob.glob(f"{cfg.quarantine}.landing/*")
+
+
+def test_periods_are_registered_one_by_one(spark, cfg, monkeypatch):
+    jobs.run_pipeline(spark, replace(cfg, run_id=None))
+    statements, real = [], SparkSession.sql
+
+    def spy(self, text, *args, **options):
+        statements.append(text)
+        return real(self, text, *args, **options)
+
+    month = (("2024", "02"),)
+    monkeypatch.setattr(SparkSession, "sql", spy)
+    listed = []
+    monkeypatch.setattr(Folders, "periods", lambda self, name="": listed.append(name) or iter(()))
+    Folders(spark, cfg.gold).delete("hourly_demand/_year=2024/_month=2")
+    names = register_gold(spark, cfg.gold, cfg.database, ((2024, 2), (2024, 3)))
+    assert not [s for s in statements if "MSCK" in s] and not listed
+    monkeypatch.undo()
+    months = {n: {r["_month"] for r in spark.table(n).select("_month").distinct().collect()} for n in names}
+    assert [m for n, m in months.items() if "hourly" in n] == [{1, 3, None}]
+    assert all(m == {1, 2, 3, None} for n, m in months.items() if "hourly" not in n)
+    jobs.run_gold(spark, replace(cfg, run_id=None, periods=month))
+    register_gold(spark, cfg.gold, cfg.database, ((2024, 2),))
+    for table in GOLD_TABLES:
+        stored = read_gold(spark, cfg.gold, table).count()
+        assert spark.table(f"{cfg.database}.{table}").count() == stored
+    register_gold(spark, cfg.gold, cfg.database, ((None, None),))
+
+
+def test_many_tables_turn_back_together(spark, tmp_path, monkeypatch):
+    schema = "x int, _year string, _month string"
+    old = spark.createDataFrame([(1, "2024", "01"), (2, "2024", "02")], schema)
+    new = spark.createDataFrame([(3, "2024", "01"), (4, "2024", "03")], schema)
+    paths = [str(tmp_path / n) for n in "ab"]
+    for path in paths:
+        old.write.partitionBy("_year", "_month").parquet(path)
+    staged = [landing.stage(new, path, "r") for path in paths]
+    periods = [("2024", "01"), ("2024", "02"), ("2024", "03")]
+
+    def values():
+        return [sorted(r["x"] for r in spark.read.schema(schema).parquet(p).collect()) for p in paths]
+
+    real = Folders.move
+
+    def last_move_fails(self, name, to):
+        if to == "b/_year=2024/_month=03":
+            raise OSError("disk")
+        real(self, name, to)
+
+    monkeypatch.setattr(Folders, "move", last_move_fails)
+    with pytest.raises(OSError, match="disk"):
+        landing.move_in_together([(s, periods) for s in staged])
+    assert values() == [[1, 2], [1, 2]]
+    monkeypatch.undo()
+    assert landing.move_in_together([(s, periods) for s in staged]) == [2, 2]
+    assert values() == [[3, 4], [3, 4]]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -14,6 +15,13 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def period_label(periods: Sequence[Period] | None, *more: str) -> str:
+    """A folder name for some months, told apart by ``more``."""
+    months = ["all"] if periods is None else ["-".join(map(str, p)) for p in periods]
+    named = "+".join(months) if len(months) < 4 else f"{len(months)}-months"
+    return f"{named}-{hashlib.sha256(repr((months, more)).encode()).hexdigest()[:12]}"
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     """Paths and settings; the defaults are those of taxi trips.
@@ -61,16 +69,17 @@ class PipelineConfig:
     batch_rows: int = 2_000_000
     #: Batches that are cleaned at the same time.
     batches_at_once: int = 4
+    #: Table of finished steps. A run that is repeated under the same ``run_id`` goes on
+    #: after the last of them; without an id nothing is skipped or recorded.
+    ledger: str | None = None
+    run_id: str | None = None
     #: Print a sample after each layer; an extra read of the layer just written.
     previews: bool = False
 
     @property
     def run_key(self) -> str:
         """Name of a run by what it lands: equal for a repeat, whenever that is."""
-        months = ["all"] if self.periods is None else ["-".join(map(str, p)) for p in self.periods]
-        what = repr((sorted(i.path for i in self.raw), months))
-        named = "+".join(months) if len(months) < 4 else f"{len(months)}-months"
-        return f"{named}-{hashlib.sha256(what.encode()).hexdigest()[:12]}"
+        return period_label(self.periods, *sorted(i.path for i in self.raw))
 
     @property
     def gold_periods(self) -> tuple[tuple[int | None, int | None], ...] | None:

@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import replace
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +19,21 @@ from tierline.operators.enrich import enrich_with_zones
 from tierline.operators.ingest import enforce_casts, enforce_gate, with_lineage, with_period
 from tierline.operators.quality import rejected_rows, valid_rows
 from tierline.operators.standardise import standardise, with_silver_metadata
-from tierline.plans.config import PipelineConfig
+from tierline.plans.config import PipelineConfig, period_label
+from tierline.plans.ledger import Entry, Ledger
 from tierline.session import pin_session
 from tierline.sinks.catalog import register_gold
 from tierline.sinks.files import Folders, period_folder
-from tierline.sinks.landing import Staged, discard, move_in, rows_by_period, stage, write_strays
-from tierline.sinks.tables import (
-    empty_periods,
-    write_by_period,
-    write_gold,
-    write_quarantine,
+from tierline.sinks.landing import (
+    Staged,
+    discard,
+    move_in,
+    move_in_together,
+    rows_by_period,
+    stage,
+    write_strays,
 )
+from tierline.sinks.tables import empty_periods, write_gold
 from tierline.sources.census import check_files
 from tierline.sources.lookup import LookupFacts, checked_lookup, read_zone_lookup
 from tierline.sources.tables import (
@@ -45,11 +50,12 @@ from tierline.sources.tables import (
 from tierline.trips import PERIOD, RAW_SCHEMA
 
 Counts = dict[str, int]
+Written = TypeVar("Written")
 
 
 def _together(
-    spark: SparkSession, writes: dict[str, Callable[[], int]], at_once: int | None = None
-) -> Counts:
+    spark: SparkSession, writes: dict[str, Callable[[], Written]], at_once: int | None = None
+) -> dict[str, Written]:
     """Run independent writes at the same time; the first failure ends them all.
 
     Tasks of one fill the cores that another leaves idle at its end and while the
@@ -60,8 +66,8 @@ def _together(
     tag = f"tierline-{uuid.uuid4().hex}"
     ended = threading.Event()
 
-    def tagged(write: Callable[[], int]) -> Callable[[], int]:
-        def run() -> int:
+    def tagged(write: Callable[[], Written]) -> Callable[[], Written]:
+        def run() -> Written:
             if ended.is_set():
                 raise RuntimeError("not begun, as another write had failed")
             spark.sparkContext.addJobTag(tag)
@@ -124,6 +130,10 @@ def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     columns for the gate and all of them for the write.
     """
     pin_session(spark)
+    ledger = _ledger(spark, cfg)
+    step = f"bronze-{cfg.run_key}"
+    if ledger and (done := ledger.finished(step)) is not None:
+        return done
     rows = 0
     for source in cfg.raw:
         if cfg.check_files:
@@ -159,11 +169,22 @@ def run_bronze(spark: SparkSession, cfg: PipelineConfig) -> Counts:
         discard(staged)
         raise
     counts["bronze"] = move_in(staged, periods)
+    if ledger:
+        entries = [Entry(layer, None, n) for layer, n in counts.items() if layer != "bronze"]
+        entries += [Entry("bronze", p, staged.rows.get(p, 0)) for p in periods]
+        ledger.finish(step, entries)
     if cfg.previews:
         _sample(read_bronze(spark, cfg.bronze, cfg.periods), reports.BRONZE_PREVIEW)
     return counts
 
 
+def _ledger(spark: SparkSession, cfg: PipelineConfig) -> Ledger | None:
+    """Where this run keeps what it has finished, if it is to."""
+    if cfg.ledger is None or cfg.run_id is None:
+        return None
+    return Ledger(spark, cfg.ledger.rstrip("/"), cfg.run_id)
+
+
 def _landed_periods(spark: SparkSession, cfg: PipelineConfig, staged: Staged) -> list[Period]:
     """The periods to move in, none of which may lose rows unasked."""
     if cfg.periods is not None:
@@ -225,37 +246,68 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     small months are dealt by month, a large month by trip and with copies cut on both
     sides of the shuffle. Files follow a month's size either way. Batches run side by side.
 
-    The periods of the run, or all stored ones, are replaced also where no row is
-    left in them. Rows of each month come from the file footers, and that of valid rows
+    Silver and quarantine of a batch are both written beside their tables and then moved
+    in together. The periods of the run, or all stored ones, are replaced also where no row
+    is left in them. Rows of each month come from the file footers, and that of valid rows
     from them and the rejects, so neither is counted below a shuffle.
     """
     pin_session(spark)
     rows = rows_by_period(read_bronze(spark, cfg.bronze, cfg.periods))
     zones = read_zone_lookup(spark, cfg.zones)
     facts = checked_lookup(zones)
-    writes: dict[str, Callable[[], int]] = {}
-    for k, batch in enumerate(month_batches(rows, cfg.batch_rows) or [cfg.periods]):
-        replaced = batch or "all"
-        writes[f"silver {k}"] = lambda b=batch, r=replaced: write_by_period(
-            silver_batch(spark, cfg, zones, facts, b), cfg.silver, replace=r
-        )
-        writes[f"rejected {k}"] = lambda b=batch: write_quarantine(
-            rejected_rows(standardise(read_bronze(spark, cfg.bronze, b)), cfg.rules),
-            cfg.quarantine,
-            b,
+    batches = {
+        f"silver-{period_label(batch)}": batch for batch in month_batches(rows, cfg.batch_rows)
+    }
+    steps = {
+        step: lambda step=step, batch=batch: _clean(
+            spark, cfg, step, silver_batch(spark, cfg, zones, facts, batch), rows, batch
         )
-    written = _together(spark, writes, 2 * cfg.batches_at_once)
+        for step, batch in batches.items()
+    }
+    written = _together(spark, steps, cfg.batches_at_once) if steps else {}
     found = {period_folder(p) for p in rows}
     named = None if cfg.periods is None else {period_folder(p) for p in cfg.periods}
     for path in (cfg.silver, cfg.quarantine):
+        Folders(spark, path).make("")
         empty_periods(spark, path, lambda p: p not in found and (named is None or p in named))
     if cfg.previews:
         _sample(read_silver(spark, cfg.silver, cfg.periods), reports.SILVER_PREVIEW)
-    counts = {
-        layer: sum(n for name, n in written.items() if name.startswith(layer))
-        for layer in ("silver", "rejected")
+    return {
+        layer: sum(counts[layer] for counts in written.values())
+        for layer in ("valid", "rejected", "silver")
     }
-    return {"valid": sum(rows.values()) - counts["rejected"], **counts}
+
+
+def _clean(
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    step: str,
+    silver: DataFrame,
+    rows: dict[Period, int],
+    batch: tuple[Period, ...],
+) -> Counts:
+    """Write and move in silver and quarantine of one batch; both tables change, or none."""
+    ledger = _ledger(spark, cfg)
+    if ledger and (done := ledger.finished(step)) is not None:
+        return done
+    bronze = standardise(read_bronze(spark, cfg.bronze, batch))
+    rejected = rejected_rows(bronze, cfg.rules)
+    staged = _together(
+        spark,
+        {
+            "silver": lambda: stage(silver, cfg.silver, step),
+            "rejected": lambda: stage(rejected, cfg.quarantine, step, rebalance=True),
+        },
+    )
+    move_in_together([(table, batch) for table in staged.values()])
+    layers = {name: {p: table.rows.get(p, 0) for p in batch} for name, table in staged.items()}
+    layers["valid"] = {p: rows[p] - layers["rejected"][p] for p in batch}
+    if ledger:
+        ledger.finish(
+            step,
+            (Entry(name, p, n, n / rows[p]) for name, by in layers.items() for p, n in by.items()),
+        )
+    return {name: sum(by.values()) for name, by in layers.items()}
 
 
 def silver_batch(
@@ -263,17 +315,19 @@ def silver_batch(
     cfg: PipelineConfig,
     zones: DataFrame,
     facts: LookupFacts,
-    periods: Sequence[Period] | None,
+    periods: Sequence[Period],
 ) -> DataFrame:
     """Silver of some months, as it is written."""
     bronze = read_bronze(spark, cfg.bronze, periods)
-    several = periods is None or len(periods) > 1
-    return silver_frame(standardise(bronze), zones, cfg, facts, small_months=several)
+    return silver_frame(standardise(bronze), zones, cfg, facts, small_months=len(periods) > 1)
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> Counts:
     """Build the three gold tables, each from its own columns of silver."""
     pin_session(spark)
+    ledger, step = _ledger(spark, cfg), f"gold-{period_label(cfg.periods)}"
+    if ledger and (done := ledger.finished(step)) is not None:
+        return done
     silver = read_silver(spark, cfg.silver, cfg.periods)
 
     def writer(table: str) -> Callable[[], int]:
@@ -281,6 +335,8 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> Counts:
         return lambda: write_gold(built, cfg.gold, table, replace=cfg.gold_periods or "all")
 
     counts = _together(spark, {table: writer(table) for table in kpi.BUILDERS})
+    if ledger:
+        ledger.finish(step, (Entry(table, None, n) for table, n in counts.items()))
     if cfg.previews:
         for table, show in (
             ("daily_revenue_by_zone", reports.preview_daily),
@@ -292,11 +348,14 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> Counts:
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> Counts:
-    """Bronze, silver, gold and registration in order; a failure ends the run."""
+    """Bronze, silver, gold and registration in order; a failure ends the run.
+
+    With a ledger and a run id, a repeat under that id skips what had been finished.
+    """
     counts = run_bronze(spark, cfg)
     counts |= run_silver(spark, cfg)
     counts |= run_gold(spark, cfg)
-    register_gold(spark, cfg.gold, cfg.database)
+    register_gold(spark, cfg.gold, cfg.database, cfg.gold_periods)
     return counts
 
 
@@ -313,7 +372,7 @@ def run_backfill(spark: SparkSession, cfg: PipelineConfig, months: int = 1) -> C
         batch = replace(cfg, periods=tuple(periods[first : first + months]))
         total.update(run_silver(spark, batch))
         total.update(run_gold(spark, batch))
-    register_gold(spark, cfg.gold, cfg.database)
+    register_gold(spark, cfg.gold, cfg.database, cfg.gold_periods)
     return dict(total)
 
 

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
+from tierline.sinks.files import Folders, period_folder
+from tierline.sources.tables import Period
 from tierline.trips import GOLD_TABLES, PERIOD
 
 
-def register_gold(spark: SparkSession, root: str, database: str | None = None) -> list[str]:
+def register_gold(
+    spark: SparkSession,
+    root: str,
+    database: str | None = None,
+    periods: Sequence[Period] | None = None,
+) -> list[str]:
     """Declare each gold table over its folder and pick up its periods.
 
+    With ``periods``, only their folders are looked at in a table that was declared
+    before; otherwise all are listed.
+
     Safe to repeat: a table is declared once, new periods are added and vanished
     ones dropped. A table that is declared over another folder is an error, not
     silently left there. A database that does not exist yet is created over ``root``.
@@ -23,17 +35,37 @@ def register_gold(spark: SparkSession, root: str, database: str | None = None) -
         name = f"`{table}`" if database is None else f"`{database}`.`{table}`"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         location = f"{root.rstrip('/')}/{table}"
+        declared = spark.catalog.tableExists(name)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
             f"PARTITIONED BY ({', '.join(PERIOD)}) LOCATION {_text(location)}"
         )
         _require_location(spark, name, location)
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        # A partition without values has no name in SQL.
+        if not declared or periods is None or any(None in p for p in periods):
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        else:
+            _sync(spark, name, location, periods)
         spark.catalog.refreshTable(name)
         names.append(name)
     return names
 
 
+def _sync(spark: SparkSession, name: str, location: str, periods: Sequence[Period]) -> None:
+    """Add the periods that have a folder, and drop the others."""
+    folders = Folders(spark, location)
+    there = {p: folders.exists(period_folder(p)) for p in periods}
+    for change, wanted in (("ADD IF NOT EXISTS", True), ("DROP IF EXISTS", False)):
+        specs = [
+            f"PARTITION ({', '.join(f'{k} = {int(v)}' for k, v in zip(PERIOD, p))})"
+            for p, found in there.items()
+            if found == wanted
+        ]
+        if specs:
+            separator = " " if wanted else ", "
+            spark.sql(f"ALTER TABLE {name} {change} {separator.join(specs)}")
+
+
 def _text(value: str) -> str:
     """A SQL string literal."""
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")

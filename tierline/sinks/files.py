@@ -33,6 +33,9 @@ class Folders:
     def exists(self, name: str = "") -> bool:
         return self._system.exists(self._at(name))
 
+    def make(self, name: str) -> None:
+        self._system.mkdirs(self._at(name))
+
     def delete(self, name: str = "") -> None:
         self._system.delete(self._at(name), True)
 

@@ -107,17 +107,48 @@ def move_in(staged: Staged, periods: Iterable[Period]) -> int:
 
     A period without staged rows is emptied.
     """
+    return move_in_together([(staged, periods)])[0]
+
+
+def move_in_together(tables: Sequence[tuple[Staged, Iterable[Period]]]) -> list[int]:
+    """``move_in`` of several tables: all of them have their new periods, or none.
+
+    Every table has been written when the first folder is renamed. A rename that fails
+    turns back those before it; after a kill between two of them a repeat of the run does.
+    """
+    begun: list[tuple[Staged, list[Period]]] = []
+    try:
+        for staged, periods in tables:
+            begun.append((staged, list(periods)))
+            _swap(*begun[-1])
+    except BaseException:
+        for staged, periods in reversed(begun):
+            _swap_back(staged, periods)
+        raise
+    for staged, _ in begun:
+        discard(staged)
+    return [sum(staged.rows.get(p, 0) for p in periods) for staged, periods in begun]
+
+
+def _swap(staged: Staged, periods: Iterable[Period]) -> None:
     folders, name, beside = _around(staged.spark, staged.table, staged.run)
-    rows = 0
-    for period in periods:
-        folder = period_folder(period)
+    folders.make(name)
+    for folder in map(period_folder, periods):
         if folders.exists(f"{name}/{folder}"):
             folders.move(f"{name}/{folder}", f"{beside}/{_OLD}/{folder}")
-        if staged.rows.get(period):
+        if folders.exists(f"{beside}/{_NEW}/{folder}"):
             folders.move(f"{beside}/{_NEW}/{folder}", f"{name}/{folder}")
-            rows += staged.rows[period]
-    folders.delete(beside)
-    return rows
+
+
+def _swap_back(staged: Staged, periods: Iterable[Period]) -> None:
+    folders, name, beside = _around(staged.spark, staged.table, staged.run)
+    for period in periods:
+        folder = period_folder(period)
+        moved_in = staged.rows.get(period) and not folders.exists(f"{beside}/{_NEW}/{folder}")
+        if moved_in and folders.exists(f"{name}/{folder}"):
+            folders.move(f"{name}/{folder}", f"{beside}/{_NEW}/{folder}")
+        if folders.exists(f"{beside}/{_OLD}/{folder}"):
+            folders.move(f"{beside}/{_OLD}/{folder}", f"{name}/{folder}")
 
 
 def write_strays(staged: Staged, like: DataFrame, strays: str, periods: Sequence[Period]) -> int:
