@@ -10,6 +10,7 @@ from tierline.operators.ingest import LossyCast
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig
 from tierline.sinks import landing
+from tierline.sources import census as census_of_files
 from tierline.sinks.files import Folders
 from tierline.sources.census import (
     SchemaDisagreement,
@@ -145,7 +146,9 @@ def test_many_columns_are_audited(spark):
     assert set(found.values()) == {1} and len(found) == 140
 
 
-def test_files_that_disagree_stop_the_run(spark, cfg):
+@pytest.mark.parametrize("few", [64, 1])
+def test_files_that_disagree_stop_the_run(spark, cfg, monkeypatch, few):
+    monkeypatch.setattr(census_of_files, "FEW", few)
     jobs.run_bronze(spark, cfg)
     older = raw(spark, {"passenger_count": 1.0, "RatecodeID": 1.0}, schema=RAW_SCHEMA_OLDER)
     older.coalesce(1).write.mode("append").parquet(cfg.raw[0].path)
@@ -173,6 +176,17 @@ def test_census_of_names_types_and_folders(spark, tmp_path):
     assert unreadable(schema_census(spark, path), RAW_SCHEMA).isEmpty()
 
 
+@pytest.mark.parametrize("reader", ["here", "tasks", "whole files"])
+def test_all_ways_to_the_footers_agree(spark, cfg, monkeypatch, reader):
+    want = sorted(map(tuple, file_columns(spark, cfg.raw[0].path).collect()))
+    assert len(want) == 8 * len(RAW_SCHEMA.fields)
+    if reader != "here":
+        monkeypatch.setattr(census_of_files, "FEW", 2)
+    if reader == "whole files":
+        monkeypatch.setattr(census_of_files, "_SCHEMES", {})
+    assert sorted(map(tuple, file_columns(spark, cfg.raw[0].path).collect())) == want
+
+
 def test_old_and_zoneless_timestamps_are_told_apart(spark, tmp_path):
     import pyarrow as pa
 

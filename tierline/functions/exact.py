@@ -1,211 +1,116 @@
 """Sums and averages of doubles that do not depend on the order of the rows.
 
 Adding doubles gives a result that changes with the partitioning, and a rounded
-average can then land on either side of a half unit. Values are therefore added up as
-whole numbers of some unit, which no order can change:
-
-* Most values have few decimals and are whole numbers of 1/10000.
-* Those with up to eight decimals are whole numbers of 10^-8.
-* Any other finite double is a whole number of a power of two near its last bit; one
-  power in four is a unit.
-
-Which unit a value has depends on that value alone. Rows are first grouped by their keys
-and the units of their measures, so whole numbers of one unit are added up: three plain
-``bigint`` columns for each measure, in generated code with map-side combine. Nearly
-always that is one row for each group. A second grouping, of these rows, puts the units of
-a group together; where it has powers of two, their sums are added in the order of their
-size. NaN and infinity have marks in place of a unit and carry through.
+average can then land on either side of a half unit. A value is therefore taken
+as the decimal number it prints as:
+
+* Most values have few decimals. They are whole numbers of 1/10000 units, added
+  up in two ``bigint`` columns (high and low part), so that no order of rows can
+  overflow: plain hash aggregates with map-side combine in generated code.
+* A value with more decimals is added up as a decimal with 14 of them.
+* A value from 10^11 to 10^22 in size is added up as a decimal with 6, which is more
+  than it has.
+* What has no such form (NaN, infinity, values from 10^22, digits past the 14th) is
+  added up as a double and added to the rest at the end. Only there, with values from
+  10^22, can the order of the rows move the last digit.
+
+Which way a value goes depends on that value alone. A measure is aggregated into:
+
+================  =======================================================
+``<m>__high``     sum of the units divided by 2^26, rounded down
+``<m>__low``      sum of what that leaves
+``<m>__fine``     sum of the values with more decimals
+``<m>__wide``     sum of the large values
+``<m>__float``    sum of the values, or parts, without a decimal form
+``<m>__floats``   how many values have such a part
+``<m>__n``        how many values are not NULL
+================  =======================================================
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from functools import reduce
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Decimals of the common unit. A choice of speed only.
+#: Decimals of a unit; the usual values have no more. A choice of speed only.
 DECIMALS = 4
-#: Decimals that are added up as decimals.
-FINE = 8
-#: Whole numbers are added up in two parts, the low one of so many bits.
+#: Decimals that are added up exactly.
+FINE = 14
+#: Bits of the low part; the sizes from which values count as large and as floating.
 _LOW = 26
-#: Sizes up to which a double tells whole numbers of a unit apart.
-_LARGE, _FINE_LARGE = 1e11, 9e7
-
-#: What a value is counted in: the common unit, the fine one, marks, or a power of two.
-_COMMON, _FINER, _NAN, _UP, _DOWN, _BINARY = 0, 1, 2, 3, 4, 8
-#: Powers of two between units, and the place of 2^0 among the units.
-_STEP, _ZERO = 4, 300
-#: Bits of a unit, and how many of them go into one column.
-_BITS, _PACKED = 10, 6
-
-#: How an aggregate of the first grouping is put together in the second.
-Again = Callable[[str], Column]
-
-
-def grouped(
-    df: DataFrame,
-    keys: Mapping[str, Column],
-    measures: Iterable[str],
-    others: Mapping[str, tuple[Column, Again]] | None = None,
-    decimals: int = DECIMALS,
-) -> DataFrame:
-    """``df`` by ``keys``, with ``others`` and what :func:`total` and :func:`average` need.
-
-    ``others`` are further aggregates with what puts their partial results together, such
-    as ``(F.count("x"), F.sum)``. A group has one row for each combination of units in
-    the first grouping; columns of arbitrary doubles have several.
-    """
-    if not 0 <= decimals <= FINE:
-        raise ValueError(f"decimals must be between 0 and {FINE}, not {decimals}")
-    measures, others = list(measures), dict(others or {})
-    units = [_unit(F.col(m).cast("double"), decimals) for m in measures]
-    amounts = {
-        f"{m}__amount": _amount(F.col(m).cast("double"), decimals) for m in measures
-    }
-    packed = {
-        f"__units_{low // _PACKED}": reduce(
-            Column.__add__,
-            (F.shiftleft(u, _BITS * k) for k, u in enumerate(units[low : low + _PACKED])),
-        )
-        for low in range(0, len(units), _PACKED)
-    }
-    sums = []
-    for m in measures:
-        amount = F.col(f"{m}__amount")
-        sums += [
-            F.sum(F.shiftright(amount, _LOW)).alias(f"{m}__high"),
-            F.sum(amount.bitwiseAND(F.lit(2**_LOW - 1).cast("bigint"))).alias(f"{m}__low"),
-            F.count(m).alias(f"{m}__n"),
-        ]
-    named = [c.alias(name) for name, c in keys.items()]
-    first = (
-        df.withColumns(amounts | packed)
-        .groupBy(*named, *packed)
-        .agg(*(c.alias(name) for name, (c, _) in others.items()), *sums)
-    )
-    second = [again(name).alias(name) for name, (_, again) in others.items()]
-    for k, m in enumerate(measures):
-        shift = _BITS * (k % _PACKED)
-        unit = F.shiftright(F.col(f"__units_{k // _PACKED}"), shift).bitwiseAND(
-            F.lit(2**_BITS - 1).cast("bigint")
-        )
-        second += _together(m, unit, decimals)
-    return first.groupBy(*keys).agg(*second)
-
-
-def _unit(value: Column, decimals: int) -> Column:
-    """What ``value`` is counted in, as a small ``bigint``."""
-    on_common, on_fine = _on_grid(value, decimals, _LARGE), _on_grid(value, FINE, _FINE_LARGE)
-    power = F.floor((F.floor(F.log2(F.abs(value))) - 53) / _STEP) + _ZERO
-
-    def code(n: int) -> Column:
-        return F.lit(n).cast("bigint")
-
-    return (
-        F.when(value.isNull() | on_common, code(_COMMON))
-        .when(on_fine, code(_FINER))
-        .when(F.isnan(value), code(_NAN))
-        .when(value == float("inf"), code(_UP))
-        .when(value == float("-inf"), code(_DOWN))
-        .otherwise(power.cast("bigint"))
-    )
-
-
-def _amount(value: Column, decimals: int) -> Column:
-    """How many of its units ``value`` is; 0 for NULL, NaN and infinity."""
-    # Both halves of the power are doubles where the whole one might not be.
-    half = -F.floor((F.floor(F.log2(F.abs(value))) - 53) / _STEP) * (_STEP // 2)
-    scale = F.pow(F.lit(2.0), half)
-    return (
-        F.when(_on_grid(value, decimals, _LARGE), _rounded(value, decimals))
-        .when(_on_grid(value, FINE, _FINE_LARGE), _rounded(value, FINE))
-        .when(F.abs(value) < float("inf"), F.rint(value * scale * scale).cast("bigint"))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
+_LARGE, _HUGE = 1e11, 1e22
+#: Decimals of the large values.
+_WIDE = 6
+#: Sums of digits past the 14th are taken to this part of 1; their order is noise below.
+_QUANTUM = 2.0**80
 
 
-def _rounded(value: Column, decimals: int) -> Column:
-    return F.rint(value * float(10**decimals)).cast("bigint")
+def _partial_names(measure: str) -> tuple[str, ...]:
+    return tuple(f"{measure}__{p}" for p in ("high", "low", "fine", "wide", "float", "floats", "n"))
 
 
-def _on_grid(value: Column, decimals: int, size: float) -> Column:
-    """Whether ``value`` prints with so many decimals at most; false for NaN."""
+def partials(measures: Iterable[str], decimals: int = DECIMALS) -> list[Column]:
+    """Aggregates that turn value columns into partial columns."""
     scale = float(10**decimals)
-    return (F.abs(value) < size) & (F.rint(value * scale) / scale == value)
-
-
-def _together(measure: str, unit: Column, decimals: int) -> list[Column]:
-    """Aggregates over the rows of a group, one for each combination of units."""
-    high, low = (F.col(f"{measure}__{part}") for part in ("high", "low"))
-    whole = _whole(high, low)
-    finer = F.lit(10 ** (FINE - decimals)).cast("decimal(10,0)")
-    exact = F.when(unit == _COMMON, (whole * finer).cast("decimal(38,0)")).when(
-        unit == _FINER, whole.cast("decimal(38,0)")
-    )
-    powers = F.when(unit >= _BINARY, F.struct(unit.alias("unit"), high.alias("high"), low.alias("low")))
-    columns = {
-        "exact": F.coalesce(F.sum(exact), F.lit(0).cast("decimal(38,0)")),
-        "powers": F.collect_list(powers),
-        "nan": F.bool_or(unit == _NAN),
-        "up": F.bool_or(unit == _UP),
-        "down": F.bool_or(unit == _DOWN),
-        "n": F.sum(f"{measure}__n"),
-    }
-    return [c.alias(f"{measure}__{name}") for name, c in columns.items()]
-
-
-def _whole(high: Column, low: Column) -> Column:
-    return high.cast("decimal(19,0)") * F.lit(2**_LOW) + low.cast("decimal(19,0)")
+    result = []
+    for measure in measures:
+        value = F.col(measure).cast("double")
+        bounded = F.abs(value) < _LARGE  # false for NaN too
+        small = F.when(bounded, value).otherwise(F.lit(0.0))
+        units = F.rint(small * scale).cast("bigint")
+        whole = units.cast("double") / scale == small
+        fine = F.when(~whole, small.cast(f"decimal(26,{FINE})"))
+        large = ~bounded & (F.abs(value) < _HUGE)
+        wide = F.when(large, value.cast(f"decimal(28,{_WIDE})"))
+        left = F.when(~whole, small - fine.cast("double")).otherwise(F.lit(0.0))
+        floating = F.when(bounded, left).when(large, F.lit(0.0)).otherwise(value)
+        floats = F.count_if((~bounded & ~large) | (left != 0))
+        columns = (
+            F.sum(F.when(whole, F.shiftright(units, _LOW)).otherwise(F.lit(0).cast("bigint"))),
+            F.sum(
+                F.when(whole, units.bitwiseAND(F.lit(2**_LOW - 1).cast("bigint"))).otherwise(
+                    F.lit(0).cast("bigint")
+                )
+            ),
+            F.sum(fine),
+            F.sum(wide),
+            F.sum(floating),
+            floats,
+            F.count(value),
+        )
+        result += [c.alias(name) for c, name in zip(columns, _partial_names(measure))]
+    return result
 
 
-def total(measure: str, digits: int = 2) -> Column:
-    """``round(sum(measure), digits)`` after :func:`grouped`; NULL without values."""
-    return _result(measure, F.lit(1).cast("bigint"), digits)
+def total(measure: str, digits: int = 2, decimals: int = DECIMALS) -> Column:
+    """``round(sum(measure), digits)`` from the partial columns; NULL without values."""
+    return _rounded(measure, F.lit(1).cast("bigint"), digits, decimals)
 
 
-def average(measure: str, digits: int = 2) -> Column:
-    """``round(avg(measure), digits)`` after :func:`grouped`; NULL without values."""
-    return _result(measure, F.col(f"{measure}__n"), digits)
+def average(measure: str, digits: int = 2, decimals: int = DECIMALS) -> Column:
+    """``round(avg(measure), digits)`` from the partial columns; NULL without values."""
+    return _rounded(measure, F.col(f"{measure}__n"), digits, decimals)
 
 
-def _result(measure: str, count: Column, digits: int) -> Column:
+def _rounded(measure: str, count: Column, digits: int, decimals: int) -> Column:
     if not 0 <= digits <= FINE:
         raise ValueError(f"digits must be between 0 and {FINE}, not {digits}")
-    exact, powers, nan, up, down, n = (
-        F.col(f"{measure}__{part}") for part in ("exact", "powers", "nan", "up", "down", "n")
-    )
+    high, low, fine, wide, floating, floats, n = map(F.col, _partial_names(measure))
+    units = high.cast("decimal(20,0)") * F.lit(2**_LOW) + low.cast("decimal(20,0)")
+    # Both parts in units of the last exact decimal, as whole numbers.
+    whole = (units * F.lit(10 ** (FINE - decimals)).cast("decimal(15,0)")).cast("decimal(38,0)")
+    extra = F.coalesce(fine * F.lit(10**FINE).cast("decimal(15,0)"), F.lit(0)).cast("decimal(38,0)")
+    exact = (whole + extra).cast("decimal(38,0)")
     divisor = F.nullif(count, F.lit(0).cast("bigint"))
-    with_powers = F.round(
-        (_sum_of_powers(powers) + exact.cast("double") / float(10**FINE)) / divisor.cast("double"),
-        digits,
+    settled = F.when(F.abs(floating) < 1, F.rint(floating * _QUANTUM) / _QUANTUM).otherwise(floating)
+    large = F.coalesce(wide.cast("double"), F.lit(0.0))
+    as_double = large + exact.cast("double") / float(10**FINE) + settled
+    inexact = F.round(as_double / divisor.cast("double"), digits)
+    return F.when(n == 0, F.lit(None).cast("double")).otherwise(
+        F.when((floats > 0) | wide.isNotNull(), inexact).otherwise(_half_up(exact, divisor, digits))
     )
-    return (
-        F.when(n == 0, F.lit(None).cast("double"))
-        .when(nan | (up & down), F.lit(float("nan")))
-        .when(up, F.lit(float("inf")))
-        .when(down, F.lit(float("-inf")))
-        .when(F.size(powers) > 0, with_powers)
-        .otherwise(_half_up(exact, divisor, digits))
-    )
-
-
-def _sum_of_powers(powers: Column) -> Column:
-    """The sums of all powers of two, each exact, added from the largest power down."""
-
-    def of_unit(unit: Column) -> Column:
-        own = F.filter(powers, lambda x: x["unit"] == unit)
-        start = F.lit(0).cast("decimal(38,0)")
-        whole = F.aggregate(
-            own, start, lambda s, x: (s + _whole(x["high"], x["low"])).cast("decimal(38,0)")
-        )
-        half = F.pow(F.lit(2.0), ((unit - _ZERO) * (_STEP // 2)).cast("double"))
-        return whole.cast("double") * half * half
-
-    units = F.sort_array(F.array_distinct(F.transform(powers, lambda x: x["unit"])), asc=False)
-    return F.aggregate(units, F.lit(0.0), lambda s, unit: s + of_unit(unit))
 
 
 def _half_up(exact: Column, count: Column, digits: int) -> Column:
