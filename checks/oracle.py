@@ -291,6 +291,32 @@ _GOLD_PERIODS = "\nUNION ALL ".join(
 )
 
 
+_LEDGER = """
+, months AS (
+  SELECT b._year, b._month, b.n, t.valid, t.rejected, coalesce(s.n, 0) AS silver
+  FROM (SELECT _year, _month, count(*) AS n FROM bronze GROUP BY ALL) b
+  JOIN (SELECT _year, _month, count(*) FILTER (WHERE is_valid) AS valid,
+               count(*) FILTER (WHERE NOT is_valid) AS rejected
+        FROM tagged GROUP BY ALL) t USING (_year, _month)
+  LEFT JOIN (SELECT _year, _month, count(*) AS n FROM silver GROUP BY ALL) s USING (_year, _month)
+)
+""" + "\nUNION ALL ".join(
+    ["SELECT 'bronze' AS layer, _year, _month, n AS n_rows, CAST(NULL AS DOUBLE) AS share FROM months"]
+    + [
+        f"SELECT '{layer}', _year, _month, {layer}, CAST({layer} AS DOUBLE) / n FROM months"
+        for layer in ("valid", "rejected", "silver")
+    ]
+    + [
+        f"SELECT '{layer}', NULL, NULL, count(*), NULL FROM {source}"
+        for layer, source in (
+            ("raw", "trips"),
+            ("daily_revenue_by_zone", "daily"),
+            ("hourly_demand", "hourly"),
+            ("payment_type_summary", "payment"),
+        )
+    ]
+)
+
 _TIPS_AGAIN = "tip_amount + 1"
 _STRAYS = f"""
 SELECT place, _year, _month, count(*) AS n_rows, sum(tips) AS tips FROM (
@@ -484,4 +510,5 @@ FROM (SELECT l_returnflag, l_linestatus, CAST(sum(l_partkey) AS HUGEINT) AS s,
              CAST(count(*) AS HUGEINT) AS n
       FROM lineitem GROUP BY l_returnflag, l_linestatus)""",
         "stage_counts": _after("payment", _STAGE_COUNTS),
+        "run_ledger": _after("payment", _LEDGER),
     }

@@ -18,6 +18,7 @@ from tierline.functions import exact
 from tierline.operators import dedup, enrich, ingest, kpi, quality, reports, standardise
 from tierline.plans import jobs
 from tierline.plans.config import PipelineConfig
+from tierline.plans.ledger import read_ledger
 from tierline.session import pin_session, work_folder
 from tierline.sinks.catalog import register_gold
 from tierline.sinks.tables import write_by_period, write_quarantine
@@ -116,20 +117,26 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spoiled(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with other values in the month that is written again."""
+    other = F.when(in_periods(RERUN), F.col(column) + 1).otherwise(F.col(column))
+    return rows.withColumn(column, other)
+
+
 def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write all rejects, then those of one period again."""
+    """Write all rejects, those of one period with other values; then that period again."""
     folder = work_folder(spark, "quarantine")
     rejected = quality.rejected_rows(standardised(spark, sf_dir))
-    write_quarantine(rejected, folder)
+    write_quarantine(_spoiled(rejected, "tip_amount"), folder)
     write_quarantine(rejected, folder, RERUN)
     return read_quarantine(spark, folder)
 
 
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write silver, then one month of it again."""
+    """Write silver, one month of it with other values; then that month again."""
     folder = work_folder(spark, "silver")
     rows = silver(spark, sf_dir)
-    write_by_period(rows, folder, rebalance=True)
+    write_by_period(_spoiled(rows, "tip_amount"), folder, rebalance=True)
     write_by_period(rows.filter(in_periods(RERUN)), folder)
     return read_silver(spark, folder)
 
@@ -238,10 +245,20 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, dict
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         cfg = stored_config(spark, sf_dir)
+        cfg = replace(cfg, ledger=f"{cfg.gold}-ledger", run_id="shared")
         _RUNS[key] = cfg, jobs.run_pipeline(spark, cfg)
     return _RUNS[key]
 
 
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the full run has recorded of its steps, after a repeat that skips them."""
+    cfg, counts = pipeline_run(spark, sf_dir)
+    again = jobs.run_pipeline(spark, cfg)
+    if again != counts:
+        raise ValueError(f"a repeat reports {again}, the run {counts}")
+    return read_ledger(spark, cfg.ledger).drop("run", "step")
+
+
 def stored(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg, _ = pipeline_run(spark, sf_dir)
@@ -281,12 +298,18 @@ def peak_weekday_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full run, then silver and gold of one month again; the daily table after it."""
+    """A full run over one month's other values, then all layers of that month again.
+
+    The daily table after it.
+    """
     cfg = stored_config(spark, sf_dir)
-    jobs.run_pipeline(spark, cfg)
-    month = replace(cfg, periods=RERUN)
-    jobs.run_silver(spark, month)
-    jobs.run_gold(spark, month)
+    right, wrong = cfg.raw[0], RawInput(f"{work_folder(spark, 'raw')}/wrong")
+    months = ingest.with_period(read_raw_trips(spark, [right]))
+    _spoiled(months, "total_amount").drop("_year", "_month").write.parquet(wrong.path)
+    jobs.run_pipeline(spark, replace(cfg, raw=(wrong,)))
+    month = replace(cfg, periods=RERUN, strays=f"{cfg.bronze}-strays")
+    for job in (jobs.run_bronze, jobs.run_silver, jobs.run_gold):
+        job(spark, month)
     return read_gold(spark, cfg.gold, "daily_revenue_by_zone")
 
 
@@ -389,6 +412,7 @@ _QUERIES: dict[str, Query] = {
     "rejected_month": rejected_month,
     "fine_decimals": fine_decimals,
     "stage_counts": stage_counts,
+    "run_ledger": run_ledger,
 }
 
 
