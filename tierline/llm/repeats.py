@@ -40,6 +40,8 @@ _PLACE_BITS = 22
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 #: Window starts that are worked on at once; with the bytes behind, below 2^22.
 _SLICE = 1 << 20
+#: Bytes of text whose rows a task holds at once.
+_PORTION = 1 << 22
 
 #: What a text loses: spans are byte ranges of the original, in order.
 SPANS = (
@@ -273,7 +275,7 @@ def _combined(keys: list[np.ndarray]) -> np.ndarray:
 
 def _run_rows(batches: Iterator[pa.RecordBatch], params: Repeats) -> Iterator[pa.RecordBatch]:
     """Runs of windows; of equal ones in a portion one goes on for all."""
-    for batch in arrays.portions(batches, 2):
+    for batch in arrays.portions(batches, 2, _PORTION):
         r = runs_of(*arrays.texts_of(batch.column(2)), params)
         docs, versions = (batch.column(k).to_numpy()[r["row"]] for k in range(2))
         kind = _combined([r["anchor"], r["whole"]])
@@ -362,7 +364,7 @@ def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _window_rows(batches: Iterator[pa.RecordBatch], params: Repeats) -> Iterator[pa.RecordBatch]:
     """Every window of the runs that are to be taken apart."""
     width = params.length - params.gram + 1
-    for batch in arrays.portions(batches, 2):
+    for batch in arrays.portions(batches, 2, _PORTION):
         docs, versions = (batch.column(k).to_numpy() for k in range(2))
         out = []
         for i in range(batch.num_rows):
@@ -438,7 +440,7 @@ def _removed(
     batches: Iterator[pa.RecordBatch], length: int, texts: bool
 ) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in SPANS.split(", ")]
-    for batch in arrays.portions(batches, 2):
+    for batch in arrays.portions(batches, 2, _PORTION):
         docs, versions = (batch.column(k).to_pylist() for k in range(2))
         out = []
         for i in range(batch.num_rows):
