@@ -4,9 +4,21 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tests.llm.common import table
-from tierline.llm.toxicity import Model, _distinct_pairs, _means, _moving, _size, _words, toxicity
+from tierline.llm.arrays import mixed
+from tierline.llm.toxicity import (
+    Model,
+    _distinct_pairs,
+    _means,
+    _moving,
+    _ranks,
+    _size,
+    _words,
+    estimated,
+    toxicity,
+)
 
 
 def test_a_toxic_word_behind_thousands_of_common_ones_counts(spark):
@@ -28,9 +40,21 @@ def test_a_toxic_word_behind_thousands_of_common_ones_counts(spark):
 def test_pairs_of_all_documents_are_told_apart_by_their_words():
     texts = ["a b a b c", "x b", "b", "", "y b a"]
     batch = pa.record_batch([pa.array([t.encode() for t in texts], pa.binary())], ["text"])
-    (found,) = _distinct_pairs(iter([batch]), np.empty(0, np.uint64))
+    found, registers = _distinct_pairs(iter([batch]), np.empty(0, np.uint64), np.zeros(1, np.int64))
     pairs = {p for t in texts for p in zip(["", *t.split()], t.split())}
     assert found.num_rows == len(pairs) and set(found.column(0).to_pylist()) == {0}
+    assert registers.num_rows == len(pairs) and max(registers.column(0).to_pylist()) < 0
+    none, again = _distinct_pairs(iter([batch]), np.empty(0, np.uint64), np.empty(0, np.int64))
+    assert none.num_rows == 0 and again == registers
+
+
+@pytest.mark.parametrize("n", [0, 1, 100, 5_000, 200_000, 3_000_000])
+def test_registers_count_distinct_hashes(n):
+    hashes = mixed(np.arange(n, dtype=np.uint64))
+    registers = _ranks(np.concatenate((hashes, hashes[: n // 2])))
+    halves = np.maximum(_ranks(hashes[::2]), _ranks(hashes[1::2]))
+    assert (registers == halves).all()
+    assert abs(estimated(registers) - n) <= 0.03 * n
 
 
 def test_leaving_out_words_without_weight_keeps_scores():

@@ -3,9 +3,10 @@
 One model is counted over toxic documents, one over ordinary ones. Each is an
 interpolated Kneser-Ney model: pairs are discounted and back off to how many
 different words a word follows in the class, and that backs off to the same count
-over **all** documents, which both models share. A word or pair keeps counts of
-its own class only where the classes differ by a large factor. Rare expressions,
-and words that are about as common in both classes, have the shared
+over **all** documents, which both models share. That count is exact for every word
+whose shared probability moves a score; all pairs together are counted to 0.8 %. A word
+or pair keeps counts of its own class only where the classes differ by a large factor.
+Rare expressions, and words that are about as common in both classes, have the shared
 probability in both models and so do not move the comparison; else the mix of
 languages and subjects in a few labelled documents would outweigh a few words.
 
@@ -157,17 +158,25 @@ def _fit(learned: DataFrame, texts: DataFrame, params: Toxicity):
         lambda b: _pair_counts(b, words.value), "toxic int, fold int, pair long, n long"
     )
     counts = stored(counts.groupBy("toxic", "fold", "pair").agg(F.sum("n").alias("n")), "toxic-pairs")
-    # Shared by both classes and gathered from every document.
-    pairs = texts.mapInArrow(lambda b: _distinct_pairs(b, words.value), "w int, pair long").distinct()
-    shared = np.zeros(_size(vocabulary))
-    follows = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    for part in follows.toArrow().to_batches():
-        shared[part.column(0).to_numpy()] = part.column(1).to_numpy()
-    whole = _model(counts, shared, vocabulary, params)
     # Each fold is scored by the model of the others.
+    tables = [_tables(counts, vocabulary, params)] + [
+        _tables(counts.filter(F.col("fold") != fold), vocabulary, params) for fold in range(_FOLDS)
+    ]
+    # Shared by both classes and gathered from every document: how many words come before a
+    # word, for those whose number moves a score, and how many pairs there are in all.
+    moving = np.unique(np.concatenate([t.moving for t in tables if t is not None]))
+    wanted = context.broadcast((vocabulary, moving))
+    pairs = texts.mapInArrow(lambda b: _distinct_pairs(b, *wanted.value), "w int, pair long")
+    follows = pairs.distinct().groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.max("pair").alias("rank"))
+    found = follows.toArrow()
+    w, n, rank = (found.column(k).to_numpy() for k in range(3))
+    shared, registers = np.zeros(_size(vocabulary)), np.zeros(_REGISTERS)
+    shared[w[w >= 0]] = n[w >= 0]
+    registers[-1 - w[w < 0]] = rank[w < 0]
+    base = (shared + 0.5) / (estimated(registers) + 0.5 * _size(vocabulary))
+    whole, *others = [t and _model(t, base, vocabulary, params) for t in tables]
     means, kinds = [], []
-    for fold in range(_FOLDS):
-        other = _model(counts.filter(F.col("fold") != fold), shared, vocabulary, params)
+    for fold, other in enumerate(others):
         if other is None:
             continue
         sent = context.broadcast(other)
@@ -194,9 +203,24 @@ def _size(vocabulary: np.ndarray) -> int:
     return len(vocabulary) + 2
 
 
-def _model(counts, shared, vocabulary, params: Toxicity) -> Model | None:
-    """Kneser-Ney models of both classes, as one table of log ratios."""
-    size, d = _size(vocabulary), params.discount
+@dataclass(frozen=True)
+class Tables:
+    """Counts of both classes: by first word, by second word, and of pairs far apart."""
+
+    first: np.ndarray
+    second: np.ndarray
+    own: np.ndarray  # words that keep counts of their class
+    pair: np.ndarray
+    n: list[np.ndarray]
+
+    @property
+    def moving(self) -> np.ndarray:
+        """Places whose shared probability moves a score; that of others cancels out."""
+        return np.union1d(np.flatnonzero(self.own), self.pair % len(self.own))
+
+
+def _tables(counts: DataFrame, vocabulary: np.ndarray, params: Toxicity) -> Tables | None:
+    size = _size(vocabulary)
     both = counts.groupBy("pair").agg(
         *[F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)]
     )
@@ -213,15 +237,6 @@ def _model(counts, shared, vocabulary, params: Toxicity) -> Model | None:
     total = first[:2].sum(axis=1)
     if not total.all():
         return None
-    base = (shared + 0.5) / (shared + 0.5).sum()
-    own = _apart(second[0], second[1], total, params.factor)
-    after, word = [], []
-    for k in (0, 1):
-        seen, fanout, follows = first[k], first[2 + k], second[2 + k]
-        lower = np.maximum(follows - d, 0) + d * np.count_nonzero(follows) * base
-        word.append(np.where(own, lower / follows.sum(), base))
-        # A word that is never the first of a pair backs off with all its weight.
-        after.append(np.divide(d * fanout, seen, out=np.ones(size), where=seen > 0))
     ratio = [(F.col(f"n{k}") + float(2 * total[k] / total.sum())) / float(total[k]) for k in (0, 1)]
     far = F.abs(F.log(ratio[1]) - F.log(ratio[0]))
     pairs = (
@@ -231,14 +246,48 @@ def _model(counts, shared, vocabulary, params: Toxicity) -> Model | None:
     )
     pair, *n = (pairs.column(k).to_numpy() for k in range(3))
     order = np.argsort(pair)
-    h, w = pair[order] // size, pair[order] % size
-    extra = np.zeros(len(pair))
+    own = _apart(second[0], second[1], total, params.factor)
+    return Tables(first, second, own, pair[order], [x[order] for x in n])
+
+
+def _model(t: Tables, base: np.ndarray, vocabulary: np.ndarray, params: Toxicity) -> Model:
+    """Kneser-Ney models of both classes, as one table of log ratios."""
+    size, d = _size(vocabulary), params.discount
+    after, word = [], []
+    for k in (0, 1):
+        seen, fanout, follows = t.first[k], t.first[2 + k], t.second[2 + k]
+        lower = np.maximum(follows - d, 0) + d * np.count_nonzero(follows) * base
+        word.append(np.where(t.own, lower / follows.sum(), base))
+        # A word that is never the first of a pair backs off with all its weight.
+        after.append(np.divide(d * fanout, seen, out=np.ones(size), where=seen > 0))
+    h, w = t.pair // size, t.pair % size
+    extra = np.zeros(len(t.pair))
     for k, sign in ((0, -1), (1, 1)):
-        direct = np.divide(
-            np.maximum(n[k][order] - d, 0), first[k][h], out=np.zeros(len(h)), where=first[k][h] > 0
-        )
+        seen = t.first[k][h]
+        direct = np.divide(np.maximum(t.n[k] - d, 0), seen, out=np.zeros(len(h)), where=seen > 0)
         extra += sign * np.log((direct + after[k][h] * word[k][w]) / word[k][w])
-    return _moving(Model(vocabulary, np.log(word[1]) - np.log(word[0]), pair[order], extra))
+    return _moving(Model(vocabulary, np.log(word[1]) - np.log(word[0]), t.pair, extra))
+
+
+#: Registers of the count of distinct pairs; its standard error is 1.04 / sqrt of them, 0.8 %.
+_REGISTERS = 1 << 14
+
+
+def _ranks(hashes: np.ndarray) -> np.ndarray:
+    """For each register the longest run of zeros, and one, among its hashes; 0 without any."""
+    registers = np.zeros(_REGISTERS, dtype=np.int64)
+    rest = (hashes >> np.uint64(14)).astype(np.float64)
+    rank = np.where(rest > 0, 50 - np.floor(np.log2(np.maximum(rest, 1))), 51).astype(np.int64)
+    np.maximum.at(registers, (hashes & np.uint64(_REGISTERS - 1)).astype(np.int64), rank)
+    return registers
+
+
+def estimated(registers: np.ndarray) -> float:
+    """How many different hashes the registers have seen (HyperLogLog)."""
+    m = len(registers)
+    found = 0.7213 / (1 + 1.079 / m) * m * m / np.sum(2.0 ** -registers)
+    empty = np.count_nonzero(registers == 0)
+    return float(m * np.log(m / empty)) if found <= 2.5 * m and empty else float(found)
 
 
 def _moving(model: Model) -> Model:
@@ -363,17 +412,27 @@ def _pair_counts(
 
 
 def _distinct_pairs(
-    batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray
+    batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray, moving: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """Each pair of words of any kind by its hash, with the place of the second."""
+    """Each pair of words by its hash with the place of the second, for the places wanted.
+
+    All pairs are in the registers, which follow as rows with negative places.
+    """
+    registers = np.zeros(_REGISTERS, dtype=np.int64)
     for batch in arrays.portions(batches, 0):
         words = _words(batch.column(0))
         before = np.concatenate((np.zeros(1, np.uint64), words.hash))[:-1]
         before[words.first[:-1][np.diff(words.first) > 0]] = 0
         pair = arrays.mixed(arrays.mixed(before + np.uint64(1)) + words.hash)
-        pair, at = np.unique(pair, return_index=True)
-        w = _known(words, vocabulary)[at].astype(np.int32)
+        registers = np.maximum(registers, _ranks(pair))
+        w = _known(words, vocabulary)
+        wanted = np.isin(w, moving)
+        pair, at = np.unique(pair[wanted], return_index=True)
+        w = w[wanted][at].astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(pair.view(np.int64))], ["w", "pair"])
+    seen = np.flatnonzero(registers)
+    places = (-1 - seen).astype(np.int32)
+    yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(registers[seen])], ["w", "pair"])
 
 
 def _means(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
