@@ -110,3 +110,26 @@ def test_a_record_that_breaks_off_is_an_error(tmp_path):
 def test_empty_table(spark, tmp_path):
     files = write_archives(pages(spark, []), str(tmp_path / "w"))
     assert read_archives(files).count() == 0
+
+
+@pytest.mark.parametrize("blanks", [400_000, 1_500_000])
+def test_a_header_of_any_length_is_read(spark, tmp_path, blanks):
+    data = [(1, "a" + " " * blanks + "b", "<p>one</p>" * 20), (2, "u", "two"), (3, "x" * blanks, "three")]
+    params = Archives(split_bytes=900)
+    files = write_archives(pages(spark, data).coalesce(1), str(tmp_path / "w"), params)
+    found = {r.record_id: r for r in read_archives(files, params).collect()}
+    assert {i: r.payload for i, r in found.items()} == {str(i): h.encode() for i, _, h in data}
+    assert found["1"].uri == "a" + "%20" * blanks + "b" and found["3"].uri == "x" * blanks
+
+
+def test_a_lost_record_is_an_error(spark, tmp_path):
+    params = Archives(split_bytes=1 << 12)
+    files = write_archives(pages(spark, rows()).repartition(2), str(tmp_path / "w"), params)
+    table = files.collect()
+    assert all(sum(r.starts) == r.records and len(r.starts) == -(-r.size // r.window) for r in table)
+    assert read_archives(files, params, payloads=False).count() == len(rows())
+    more = files.selectExpr("path", "size", "records", "window", "transform(starts, x -> x + 1) AS starts")
+    with pytest.raises(Exception, match="were written"):
+        read_archives(more, params, payloads=False).collect()
+    # Splits of another size have no numbers to compare.
+    assert read_archives(more, Archives(split_bytes=5_000), payloads=False).count() == len(rows())

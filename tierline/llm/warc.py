@@ -34,7 +34,8 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
 
-ARCHIVES = "path string, size long, records long"
+#: The files of a write; of each stretch of ``window`` bytes how many records begin in it.
+ARCHIVES = "path string, size long, records long, window long, starts array<long>"
 RECORDS = (
     "path string, position long, record_id string, record_type string, uri string, "
     "refers_to string, payload_bytes long, payload_digest string, payload binary"
@@ -122,16 +123,22 @@ def read_archives(
     ``payloads`` that column is null and no payload is held in memory.
 
     * Bytes between records that are no record are skipped.
-    * A record that breaks off, or whose check sum is wrong, raises an error.
+    * A record that breaks off, or whose check sum is wrong, raises an error. So does a
+      split in which other than the records begin that were written, where ``archives``
+      says how many (as ``write_archives`` does) for splits of this size.
     * Without files the result is empty.
     """
     step = params.split_bytes
+    written = {"window", "starts"} <= set(archives.columns)
+    starts = F.when(F.col("window") == step, F.col("starts")) if written else F.lit(None)
     splits = archives.filter("size > 0").select(
         "path",
-        F.explode(
+        F.posexplode(
             F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(step).cast("long"))
-        ).alias("low"),
+        ).alias("split", "low"),
+        starts.cast("array<long>").alias("starts"),
     )
+    splits = splits.select("path", "low", F.get("starts", F.col("split")).alias("expected"))
     count = archives.agg(F.sum(F.ceil(F.col("size") / step))).first()[0] or 1
     # Round robin over as many tasks as there are splits; rows of a few bytes
     # would otherwise be put together.
@@ -162,29 +169,38 @@ def _write(
 ) -> Iterator[pa.RecordBatch]:
     system, root = fs.FileSystem.from_uri(folder if "://" in folder or ":/" in folder else f"file://{folder}")
     system.create_dir(root, recursive=True)
-    out, done, name, records = None, [], "", 0
+    out, done, name, starts = None, [], "", []
+
+    def close() -> None:
+        size = out.tell()
+        starts.extend([0] * (-(-size // params.split_bytes) - len(starts)))
+        done.append((name, size, starts))
+        out.close()
+
     for batch in batches:
         for row in _rows(batch):
             if out is None:
                 name = f"{root}/part-{uuid.uuid4().hex}.warc.gz"
-                out, records = system.open_output_stream(name, compression=None), 0
+                out, starts = system.open_output_stream(name, compression=None), []
+            window = out.tell() // params.split_bytes
+            starts.extend([0] * (window + 1 - len(starts)))
+            starts[window] += 1
             out.write(_member(_record(row, params), params.level))
-            records += 1
             if out.tell() >= params.file_bytes:
-                done.append((name, out.tell(), records))
-                out.close()
+                close()
                 out = None
     if out is not None:
-        done.append((name, out.tell(), records))
-        out.close()
+        close()
     scheme = "file://" if isinstance(system, fs.LocalFileSystem) else folder[: folder.find(root)]
     yield pa.RecordBatch.from_arrays(
         [
             pa.array([scheme + d[0] for d in done], pa.string()),
             pa.array([d[1] for d in done], pa.int64()),
-            pa.array([d[2] for d in done], pa.int64()),
+            pa.array([sum(d[2]) for d in done], pa.int64()),
+            pa.array([params.split_bytes] * len(done), pa.int64()),
+            pa.array([d[2] for d in done], pa.list_(pa.int64())),
         ],
-        ["path", "size", "records"],
+        ["path", "size", "records", "window", "starts"],
     )
 
 
@@ -251,14 +267,20 @@ def _read(
 
     for batch in batches:
         for row in _rows(batch):
-            rows, held = [], 0
+            rows, held, found = [], 0, 0
             for record in records_in(row["path"], row["low"], row["low"] + step, payloads):
+                found += 1
                 rows.append((row["path"], *record))
                 held += len(record[-1] or b"") + 200
                 if held >= 1 << 24:
                     yield out(rows)
                     rows, held = [], 0
             yield out(rows)
+            if row["expected"] is not None and found != row["expected"]:
+                raise ValueError(
+                    f"{found} records begin in the split at byte {row['low']} of {row['path']}, "
+                    f"where {row['expected']} were written"
+                )
 
 
 def records_in(path: str, low: int, high: int, payloads: bool) -> Iterator[tuple]:
@@ -302,22 +324,27 @@ def _begins_record(file, at: int) -> bool:
 
 
 def _head(file, at: int, piece: int) -> bytes | None:
-    """The member's beginning up to an empty line, or what there is of it; None on an error."""
-    unpacker, head = zlib.decompressobj(31), b""
+    """The member's beginning up to an empty line, or what there is of it; None on an error.
+
+    A header has any length; what does not open like a record is given up at once.
+    """
+    unpacker, head = zlib.decompressobj(31), bytearray()
     for data in _blocks(file, at, 1 << 12):
         for low in range(0, len(data), piece):
-            try:
-                head += unpacker.decompress(data[low : low + piece], 1 << 20)
-            except zlib.error:
-                return None
-            if (
-                b"\r\n\r\n" in head
-                or unpacker.eof
-                or len(head) > 1 << 20
-                or not head.startswith(VERSION[: min(len(head), 7)])
-            ):
-                return head
-    return head
+            packed = data[low : low + piece]
+            while packed and not unpacker.eof:
+                try:
+                    plain = unpacker.decompress(packed, 1 << 20)
+                except zlib.error:
+                    return None
+                packed = unpacker.unconsumed_tail
+                before = max(len(head) - 3, 0)
+                head += plain
+                if head.find(b"\r\n\r\n", before) >= 0 or not head.startswith(VERSION[: min(len(head), 7)]):
+                    return bytes(head)
+            if unpacker.eof:
+                return bytes(head)
+    return bytes(head)
 
 
 def _blocks(file, at: int, block: int) -> Iterator[bytes]:
