@@ -243,6 +243,15 @@ def test_a_killed_run_is_put_back_by_its_repeat(spark, cfg, monkeypatch):
     assert by_month(spark, cfg.bronze) == {"01": 30, "02": 45, "03": 30} and nothing_beside(cfg)
 
 
+@pytest.mark.parametrize("table", ["/bronze", "bronze", "lake/bronze", "s3a://bucket/lake/bronze/"])
+def test_tables_anywhere_have_a_folder_beside(monkeypatch, table):
+    monkeypatch.setattr(landing, "Folders", lambda spark, path: path)
+    parent, name, beside = landing._around(None, table, "r")
+    assert (name, beside) == ("bronze", "bronze.landing/r")
+    assert parent == {"/bronze": "/", "bronze": "."}.get(table, table.rstrip("/")[: -len("/bronze")])
+    assert landing._beside(table, "r") == f"{table.rstrip('/')}.landing/r"
+
+
 def test_a_move_onto_something_is_refused(spark, tmp_path):
     for name in ("a", "b"):
         os.makedirs(tmp_path / name)

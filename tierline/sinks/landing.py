@@ -98,8 +98,8 @@ def put_back(spark: SparkSession, table: str, run: str) -> None:
 
 def _around(spark: SparkSession, table: str, run: str) -> tuple[Folders, str, str]:
     """The folder that holds the table, and in it the names of the table and of the run's folder."""
-    parent, _, name = table.rstrip("/").rpartition("/")
-    return Folders(spark, parent or "/"), name, f"{name}.landing/{run}"
+    parent, slash, name = table.rstrip("/").rpartition("/")
+    return Folders(spark, parent or slash or "."), name, f"{name}.landing/{run}"
 
 
 def move_in(staged: Staged, periods: Iterable[Period]) -> int:
