@@ -431,6 +431,28 @@ FROM tagged""",
         "daily_stored": daily,
         "hourly_stored": hourly,
         "payment_stored": payment,
+        "daily_positions": _after(
+            "daily",
+            """
+SELECT pickup_date, pickup_zone, pickup_borough, pickup_service_zone, row_number() OVER (
+  ORDER BY pickup_date, total_revenue DESC, pickup_zone NULLS FIRST, pickup_borough NULLS FIRST,
+           pickup_service_zone NULLS FIRST) AS position
+FROM daily""",
+        ),
+        "hourly_positions": _after(
+            "hourly",
+            """
+SELECT day_of_week_num, pickup_hour, _year, _month, row_number() OVER (
+  ORDER BY day_of_week_num, pickup_hour, _year, _month) AS position
+FROM hourly""",
+        ),
+        "payment_positions": _after(
+            "payment",
+            """
+SELECT payment_type, _year, _month, row_number() OVER (
+  ORDER BY total_revenue DESC, payment_type, _year, _month) AS position
+FROM payment""",
+        ),
         "gold_roundtrip": _after("payment", _GOLD_PERIODS),
         "revenue_by_zone": _after(
             "daily", f"{_REVENUE_BY_ZONE} GROUP BY pickup_zone, pickup_borough"

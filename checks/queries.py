@@ -85,6 +85,21 @@ def gold(table: str) -> Query:
     return query
 
 
+def positions(table: str) -> Query:
+    """The keys of a gold table's rows with their places in reading order.
+
+    Rows are numbered as they come out of the sort.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = stored(table)(spark, sf_dir)
+        ordered = kpi.in_reading_order(rows, table)
+        numbered = kpi.with_position(ordered, work_folder(spark, "ordered"))
+        return numbered.select(*kpi.ROW_KEYS[table], "position")
+
+    return query
+
+
 # --- queries through storage -----------------------------------------------
 
 
@@ -393,6 +408,9 @@ _QUERIES: dict[str, Query] = {
     "daily_stored": stored("daily_revenue_by_zone"),
     "hourly_stored": stored("hourly_demand"),
     "payment_stored": stored("payment_type_summary"),
+    "daily_positions": positions("daily_revenue_by_zone"),
+    "hourly_positions": positions("hourly_demand"),
+    "payment_positions": positions("payment_type_summary"),
     "gold_roundtrip": gold_roundtrip,
     "revenue_by_zone": revenue_by_zone,
     "top_zones_by_revenue": top_zones_by_revenue,

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline import trips
@@ -148,6 +148,41 @@ BUILDERS = {
 }
 
 
+#: Columns that tell the rows of each table apart; they settle equal places.
+ROW_KEYS = {
+    "daily_revenue_by_zone": ("pickup_date", *ZONE),
+    "hourly_demand": ("day_of_week_num", "pickup_hour", "_year", "_month"),
+    "payment_type_summary": ("payment_type", "_year", "_month"),
+}
+
+
 def in_reading_order(df: DataFrame, table: str) -> DataFrame:
-    columns, ascending = zip(*READING_ORDER[table])
+    """Sorted for reading; rows of equal place by their keys, so there is one order."""
+    order = READING_ORDER[table]
+    keys = [(k, True) for k in ROW_KEYS[table] if k not in dict(order)]
+    columns, ascending = zip(*order, *keys)
     return df.orderBy(*columns, ascending=list(ascending))
+
+
+def with_position(ordered: DataFrame, path: str) -> DataFrame:
+    """Number the rows of a sorted frame from 1, in the order they are in.
+
+    Where each row came out of the sort is written to ``path``, as a second run of the
+    sort may draw other borders. Rows are numbered within their partitions, and what the
+    partitions before hold is added: one number for each partition is all that meets in
+    one place.
+    """
+    placed = ordered.withColumns(
+        {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
+    )
+    placed.write.parquet(path)
+    placed = ordered.sparkSession.read.schema(placed.schema).parquet(path)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy("_at"))
+    numbered = placed.withColumn("_within", within).join(starts, "_part")
+    position = (F.col("_before") + F.col("_within")).alias("position")
+    return numbered.select(*ordered.columns, position)
