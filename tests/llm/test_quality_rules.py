@@ -96,6 +96,12 @@ def test_clashing_columns_empty_table_and_no_trusted(spark):
     assert quality(table(spark, []), none, PARAMS).count() == 0
 
 
+def test_all_trusted_documents_count(spark):
+    """More than 20,000 of them; where every document is trusted no bucket stands out."""
+    docs = spark.range(21_000).selectExpr("id as doc_id", "concat('w', id % 211) as text")
+    assert set(log_ratios(docs, docs, QualityRules(buckets=97))) == {0.0}
+
+
 def test_junk_is_told_from_prose(spark):
     data = rows()
     ids = spark.createDataFrame([(i,) for i in range(100, 120)], "doc_id long")

@@ -38,11 +38,11 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Parameters. ``trusted_rows`` bounds the sample of trusted documents."""
+    """Parameters. ``trusted_rows`` takes that many trusted documents alone; None all."""
 
     buckets: int = 65_536
     prior: float = 50.0
-    trusted_rows: int = 20_000
+    trusted_rows: int | None = None
     threshold: float = -0.08
     least_words: int = 20
     most_repeated: int = 30  # per cent of the words
@@ -57,8 +57,8 @@ def quality(
 ) -> DataFrame:
     """All rows and columns of ``docs`` with counts, score and verdict.
 
-    ``trusted`` has the ids of trusted documents in ``id_column``; those
-    ``trusted_rows`` with the smallest hash of the id are used. Added columns, which replace
+    ``trusted`` has the ids of trusted documents in ``id_column``; all are used, or the
+    ``trusted_rows`` with the smallest hash of the id. Added columns, which replace
     any of the same name: ``n_words``, ``word_chars`` (code points in words),
     ``n_symbols``, ``n_dup_lines`` (lines with a word that equal an earlier
     line), ``n_repeat_words`` (words in windows of eight that occur twice or
@@ -97,9 +97,12 @@ def log_ratios(docs, trusted, params, id_column="doc_id", text_column="text") ->
     trusted document are not favoured for being its own.
     """
     ids = trusted.select(quoted(id_column).alias("__trusted")).dropna().distinct()
-    sample = ids.orderBy(F.xxhash64("__trusted"), "__trusted").limit(params.trusted_rows)
-    # Bounded by trusted_rows.
-    rows = docs.join(F.broadcast(sample), quoted(id_column) == F.col("__trusted"), "left")
+    if params.trusted_rows is not None:
+        ids = ids.orderBy(F.xxhash64("__trusted"), "__trusted").limit(params.trusted_rows)
+    # Spark broadcasts the ids where they are few, and shuffles both sides where not.
+    rows = docs.select(quoted(id_column), quoted(text_column)).join(
+        ids, quoted(id_column) == F.col("__trusted"), "left"
+    )
     grams = let(_hashed(words(quoted(text_column))), lambda h: _grams(h, _paired(h, 1)))
     # An outer generator: for an inner one the planner adds a filter on the grams.
     counted = rows.select(
