@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -8,9 +9,10 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.common import WORD, edge_rows, prose, table
-from tierline.llm import arrays
+from tierline.llm import arrays, near_dedup
 from tierline.llm.components import components
 from tierline.llm.near_dedup import (
+    Joined,
     NearDuplicates,
     near_duplicates,
     probability_jaccard,
@@ -135,6 +137,40 @@ def test_exact_similarity_of_pairs_and_blocks(vocabulary):
                 assert found[i, j] == expected
 
 
+def test_a_block_takes_memory_for_its_own_shingles():
+    base = prose(1, 60, 3_000)
+    s, _ = shingles_of(*arrow([edited(base, k % 4, k) for k in range(32)]), 5)
+    tracemalloc.start()
+    similar_pairs(s, 16, np.ones((16, 16), dtype=bool), 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 22
+
+
+def test_a_component_is_joined_once_in_a_task(monkeypatch):
+    """Texts with repeated shingles that all reach each other: one link a component."""
+    base = prose(3, 200, 3_000) + " a b c d e f" * 2
+    block = [
+        {"doc": i, "label": i, "text": edited(base, 1, i).encode()} for i in range(20)
+    ]
+    kind = pa.list_(pa.struct([("doc", pa.int64()), ("label", pa.int64()), ("text", pa.binary())]))
+    both = [pa.array([block[1:]] * 3, kind), pa.array([block] * 3, kind)]
+    worked_out = []
+    exact = near_dedup.probability_jaccard
+    monkeypatch.setattr(
+        near_dedup, "probability_jaccard", lambda *x: worked_out.append(1) or exact(*x)
+    )
+    batch = pa.RecordBatch.from_arrays(both, ["few", "all"])
+    found = near_dedup._similar_blocks(iter([batch]), NearDuplicates())
+    assert sum(b.num_rows for b in found) == 19 == len(worked_out)
+
+
+def test_joined_components():
+    joined = Joined()
+    assert joined.join(5, 9) and joined.join(9, 2) and not joined.join(5, 2)
+    assert joined.roots(np.array([9, 5, 7, 2])).tolist() == [2, 2, 7, 2]
+
+
 def test_components_equal_union_find(spark):
     draw = random.Random(8)
     links = [(draw.randrange(300), draw.randrange(300)) for _ in range(220)]

@@ -340,13 +340,47 @@ def _similar(
         yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
 
+class Joined:
+    """Which components the links of a task have joined so far."""
+
+    #: Components that are remembered; without them links are found again, and none is lost.
+    MOST = 1 << 20
+
+    def __init__(self):
+        self._up: dict[int, int] = {}
+
+    def root(self, label: int) -> int:
+        up, last = self._up, label
+        while last in up:
+            last = up[last]
+        while label != last:  # shorter for the next one
+            up[label], label = last, up[label]
+        return last
+
+    def roots(self, labels: np.ndarray) -> np.ndarray:
+        different, place = np.unique(labels, return_inverse=True)
+        return np.array([self.root(x) for x in different.tolist()], dtype=np.int64)[place]
+
+    def join(self, one: int, two: int) -> bool:
+        """Whether the two were apart until now."""
+        one, two = self.root(one), self.root(two)
+        if one == two:
+            return False
+        if len(self._up) >= self.MOST:
+            self._up.clear()
+        self._up[max(one, two)] = min(one, two)
+        return True
+
+
 def _similar_blocks(
     batches: Iterator[pa.RecordBatch], params: NearDuplicates
 ) -> Iterator[pa.RecordBatch]:
     """Links from texts of the first block to other components in the second.
 
-    One for each text and component is enough.
+    Components that a link of this task has joined, in this bucket or another, are one
+    from then on: a further link between them says nothing new and is not looked for.
     """
+    joined = Joined()
     for batch in batches:
         for i in range(batch.num_rows):
             few, rest = (batch.column(k)[i].values for k in (0, 1))
@@ -354,20 +388,48 @@ def _similar_blocks(
                 np.concatenate([x.field(name).to_numpy() for x in (few, rest)])
                 for name in ("doc", "label")
             )
+            n, roots = len(few), joined.roots(labels)
+            open_ = roots[:n, None] != roots[None, n:]
+            if not open_.any():
+                continue
             column = pa.concat_arrays([few.field("text"), rest.field("text")])
             s, _ = shingles_of(*arrays.texts_of(column), params.shingle)
-            n = len(few)
-            open_ = labels[:n, None] != labels[None, n:]
-            x, y = np.nonzero(similar_pairs(s, n, open_, params.threshold))
+            sure, maybe = _candidates(s, n, open_, params.threshold)
+            names = labels.tolist()
+            found = [(x, y) for x, y in zip(*sure) if joined.join(names[x], names[n + y])]
+            for x, y in zip(*maybe):
+                apart = joined.root(names[x]) != joined.root(names[n + y])
+                if apart and _reaches(s, x, n + y, params.threshold):
+                    joined.join(names[x], names[n + y])
+                    found.append((x, y))
+            x, y = np.array(found, dtype=np.int64).reshape(-1, 2).T
             a, b = docs[x], docs[n + y]
-            _, one = np.unique(np.stack([a, labels[n + y]]), axis=1, return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)[one]), pa.array(np.maximum(a, b)[one])], ["a", "b"]
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
             )
 
 
 def similar_pairs(s: Shingles, n: int, wanted: np.ndarray, threshold: float) -> np.ndarray:
-    """Which of the first ``n`` rows and which of the others have J_P of the threshold.
+    """Which of the first ``n`` rows and which of the others have J_P of the threshold."""
+    sure, maybe = _candidates(s, n, wanted, threshold)
+    result = np.zeros(wanted.shape, dtype=bool)
+    result[sure] = True
+    for i, j in zip(*maybe):
+        result[i, j] = _reaches(s, i, n + j, threshold)
+    return result
+
+
+def _reaches(s: Shingles, i: int, j: int, threshold: float) -> bool:
+    x, y = slice(s.first[i], s.first[i + 1]), slice(s.first[j], s.first[j + 1])
+    found = probability_jaccard(s.hash[x], s.weight[x], s.hash[y], s.weight[y])
+    # The sum of many quotients may be an ulp or two short of the threshold.
+    return found >= threshold - 1e-12
+
+
+def _candidates(
+    s: Shingles, n: int, wanted: np.ndarray, threshold: float
+) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Wanted pairs with J_P of the threshold, and those for which it is to be worked out.
 
     With all weights 1, J_P is the share of common shingles, a product of two 0-1
     matrices. For other texts the weight that lies on common shingles bounds J_P,
@@ -387,8 +449,10 @@ def similar_pairs(s: Shingles, n: int, wanted: np.ndarray, threshold: float) ->
     common, mass = np.zeros((n, rows - n)), [np.zeros((n, rows - n)) for _ in range(2)]
     plain = np.ones(rows, dtype=bool)
     plain[s.row[s.weight > 1]] = False
-    width = max(1, (1 << 24) // rows)
-    for low in range(0, int(number[-1]) + 1 if len(number) else 0, width):
+    # No wider than there are shingles of both sides: most blocks share a few thousand.
+    columns = int(number[-1]) + 1 if len(number) else 0
+    width = max(1, min(columns, (1 << 24) // rows))
+    for low in range(0, columns, width):
         some = (column >= low) & (column < low + width)
         seen = np.zeros((rows, width), dtype=np.float32)
         seen[row[some], column[some] - low] = 1
@@ -404,8 +468,5 @@ def similar_pairs(s: Shingles, n: int, wanted: np.ndarray, threshold: float) ->
     weighted = wanted & ~(plain[:n, None] & plain[None, n:])
     result &= ~weighted
     # The sums are in single precision.
-    for i, j in zip(*np.nonzero(weighted & (np.minimum(*mass) >= threshold - 1e-3))):
-        x, y = slice(s.first[i], s.first[i + 1]), slice(s.first[n + j], s.first[n + j + 1])
-        found = probability_jaccard(s.hash[x], s.weight[x], s.hash[y], s.weight[y])
-        result[i, j] = found >= threshold - 1e-12
-    return result
+    maybe = weighted & (np.minimum(*mass) >= threshold - 1e-3)
+    return np.nonzero(result), np.nonzero(maybe)
