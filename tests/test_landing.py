@@ -90,6 +90,23 @@ def test_a_repeat_leaves_the_same_strays(spark, cfg, tmp_path):
     assert nothing_beside(cfg)
 
 
+def test_strays_are_the_staged_files(spark, cfg, tmp_path, monkeypatch):
+    """They are moved, not read and written a second time; elsewhere they are written."""
+    rows = spark.createDataFrame([(k, "2024", f"{k % 3:02}") for k in range(9)], "x int, _year string, _month string")
+    table, strays = str(tmp_path / "t"), str(tmp_path / "other")
+    staged = landing.stage(rows, table, "one")
+    kept = [("2024", "01")]
+    written = {p.name for p in (tmp_path / "t.landing").rglob("_month=0[02]/*.parquet")}
+    assert landing.write_strays(staged, rows, strays, kept) == 6
+    assert {p.name for p in (tmp_path / "other").rglob("*.parquet")} == written
+    assert landing.move_in(staged, kept) == 3
+    staged = landing.stage(rows, table, "two")
+    monkeypatch.setattr(Folders, "holds", lambda *_: False)
+    assert landing.write_strays(staged, rows, strays, kept) == 6
+    found = spark.read.schema("x int, run string").parquet(strays).groupBy("run").count().collect()
+    assert {r["run"]: r["count"] for r in found} == {"one": 6, "two": 6}
+
+
 def test_strays_keep_every_column_and_rows_without_a_moment(spark, cfg, tmp_path):
     new_input(spark, cfg, trips_of(spark, 40, "if(id % 4 = 0, null, 2)"))
     month = replace(cfg, periods=FEBRUARY, strays=str(tmp_path / "strays"), null_rate_limit=0.5)

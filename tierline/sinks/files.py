@@ -25,7 +25,8 @@ class Folders:
         context = spark.sparkContext
         self._path = context._jvm.org.apache.hadoop.fs.Path
         self._root = path.rstrip("/")
-        self._system = self._path(path).getFileSystem(context._jsc.hadoopConfiguration())
+        self._conf = context._jsc.hadoopConfiguration()
+        self._system = self._path(path).getFileSystem(self._conf)
 
     def _at(self, name: str):
         return self._path(f"{self._root}/{name}" if name else self._root)
@@ -46,6 +47,18 @@ class Folders:
         if self._system.exists(target) or not self._system.rename(self._at(name), target):
             raise OSError(f"{self._at(name).toString()} cannot be moved to {target.toString()}")
 
+    def holds(self, path: str) -> bool:
+        """Whether ``path`` is on this file system, so that folders can be moved there."""
+        other = self._path(path).getFileSystem(self._conf)
+        return other.getUri().toString() == self._system.getUri().toString()
+
+    def move_out(self, name: str, to: str) -> None:
+        """``name`` becomes the whole path ``to`` on the same file system."""
+        target = self._path(to)
+        self._system.mkdirs(target.getParent())
+        if self._system.exists(target) or not self._system.rename(self._at(name), target):
+            raise OSError(f"{self._at(name).toString()} cannot be moved to {to}")
+
     def periods(self, name: str = "") -> Iterator[str]:
         """Folders of periods below ``name``, as ``period_folder`` writes them."""
         if not self.exists(name):

@@ -155,19 +155,24 @@ def write_strays(staged: Staged, like: DataFrame, strays: str, periods: Sequence
     """The staged rows of other periods in a folder of this run, which a repeat replaces.
 
     Below ``strays`` each run has its own folder ``run=<run>``; one without strays has
-    none. Only the files of those periods are read.
+    none. The folders of those periods are moved there; on another file system they are
+    written again, and only their files are read.
     """
     others = [p for p in staged.rows if p not in set(periods)]
-    if not others:
+    target = f"{strays.rstrip('/')}/run={staged.run}"
+    folders, _, beside = _around(staged.spark, staged.table, staged.run)
+    if not others or folders.holds(strays):
         Folders(staged.spark, strays).delete(f"run={staged.run}")
-        return 0
-    rows = staged.read(like, others)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*PERIOD)
-        .parquet(f"{strays.rstrip('/')}/run={staged.run}")
-    )
+        for folder in map(period_folder, others):
+            folders.move_out(f"{beside}/{_NEW}/{folder}", f"{target}/{folder}")
+    else:
+        (
+            staged.read(like, others)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*PERIOD)
+            .parquet(target)
+        )
     return sum(staged.rows[p] for p in others)
 
 
