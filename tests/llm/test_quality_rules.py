@@ -3,8 +3,10 @@ import struct
 from collections import Counter
 
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.common import WORD, edge_rows, prose, table
+from tierline.llm import quality_rules
 from tierline.llm.quality_rules import QualityRules, log_ratios, quality
 
 PARAMS = QualityRules(buckets=97, trusted_rows=50)
@@ -109,3 +111,30 @@ def test_junk_is_told_from_prose(spark):
     good = [found[i].score for i in range(120, 140)]
     bad = [found[i].score for i in range(300, 320)]
     assert max(bad) < min(good)
+
+
+def test_trusted_ids_are_found_and_other_texts_stay(spark):
+    given = [(i % 90 if i % 7 else None, f"text {i}") for i in range(200)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(5)
+    wanted = sorted((t, i is not None and i % 3 == 0) for i, t in given)
+    for kind in ("long", "int"):  # hashes of another type differ
+        ids = spark.createDataFrame([(i,) for i in range(0, 300, 3)], f"__trusted {kind}")
+        rows = quality_rules._with_trusted(docs, ids, "doc_id")
+        found = rows.select("text", F.col("__trusted").isNotNull()).collect()
+        assert sorted(map(tuple, found)) == wanted
+
+
+def test_only_texts_that_pass_the_filter_are_shuffled(spark):
+    docs = table(spark, [(i, f"text {i}") for i in range(50)]).select("doc_id", "text")
+    ids = docs.select(F.col("doc_id").alias("__trusted")).limit(9)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (kept, "-1"):  # as with few ids, and with many
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            rows = quality_rules._with_trusted(docs, ids, "doc_id")
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        # Two readings; both meet the filter, and one of them is sorted for the ids.
+        assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+        assert plan.index("Union") < plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")

@@ -32,6 +32,9 @@ ADDED = (
     "kept",
 )
 
+#: Bits of the filter of trusted ids.
+FILTER_BITS = 1 << 26
+
 #: Words of a window that is looked for twice in a text.
 WINDOW = 8
 
@@ -99,10 +102,7 @@ def log_ratios(docs, trusted, params, id_column="doc_id", text_column="text") ->
     ids = trusted.select(quoted(id_column).alias("__trusted")).dropna().distinct()
     if params.trusted_rows is not None:
         ids = ids.orderBy(F.xxhash64("__trusted"), "__trusted").limit(params.trusted_rows)
-    # Spark broadcasts the ids where they are few, and shuffles both sides where not.
-    rows = docs.select(quoted(id_column), quoted(text_column)).join(
-        ids, quoted(id_column) == F.col("__trusted"), "left"
-    )
+    rows = _with_trusted(docs.select(quoted(id_column), quoted(text_column)), ids, id_column)
     grams = let(_hashed(words(quoted(text_column))), lambda h: _grams(h, _paired(h, 1)))
     # An outer generator: for an inner one the planner adds a filter on the grams.
     counted = rows.select(
@@ -128,6 +128,38 @@ def log_ratios(docs, trusted, params, id_column="doc_id", text_column="text") ->
     ]
 
 
+def _with_trusted(rows: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
+    """``rows`` with the equal id of ``ids`` in ``__trusted``, else null.
+
+    A filter of 8 MiB at most, of hashed ids is broadcast whatever their number. Rows that miss it have
+    no equal and stay where they are; only texts of the others are shuffled to be compared.
+    """
+    trusted, given = F.col("__trusted"), quoted(id_column)
+    if rows.schema[id_column].dataType != ids.schema["__trusted"].dataType:
+        return rows.join(ids.hint("merge"), given == trusted, "left")  # hashes would differ
+
+    def place(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(FILTER_BITS)) + 1
+
+    spots = ids.select(place(trusted).alias("place"))
+    filled = spots.groupBy(F.bitmap_bucket_number("place").alias("__part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__bits")
+    )
+    place_of = place(given)
+    bit = F.bitmap_bit_position(place_of)
+    byte = F.substring(F.col("__bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
+    byte = F.conv(F.hex(byte), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int"))
+    hit = given.isNotNull() & (hit.bitwiseAND(F.lit(1)) == 1)
+    looked_up = rows.join(
+        F.broadcast(filled), F.bitmap_bucket_number(place_of) == F.col("__part"), "left"
+    ).select(*rows.columns, F.coalesce(hit, F.lit(False)).alias("__maybe"))
+    maybe = looked_up.filter("__maybe").drop("__maybe")
+    other = looked_up.filter("NOT __maybe").drop("__maybe")
+    found = maybe.join(ids.hint("merge"), given == trusted, "left")
+    return found.unionByName(other.withColumn("__trusted", F.lit(None)))
+
+
 def _hashed(w: Column) -> Column:
     return F.transform(w, lambda x: F.xxhash64(x))
 
