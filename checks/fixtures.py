@@ -18,12 +18,14 @@ _MINUTE = "cast((l_orderkey * 37 + l_partkey * 11 + l_linenumber * 101) % 1440 a
 _LENGTH = "cast(l_partkey % 61 as int)"
 _SHIFT = "l_shipdate + make_ym_interval(if(l_orderkey % 83 = 0, 34, 24), 0)"
 
+_VENDORS = (
+    "if(l_orderkey % 50 = 0, "
+    "array(l_linenumber % 2 + 1, 2 - l_linenumber % 2), "
+    "array(l_linenumber % 2 + 1))"
+)
+
 _COLUMNS = {
-    "VendorID": (
-        "explode(if(l_orderkey % 50 = 0, "
-        "array(l_linenumber % 2 + 1, 2 - l_linenumber % 2), "
-        "array(l_linenumber % 2 + 1)))"
-    ),
+    "VendorID": f"explode({_VENDORS})",
     "tpep_pickup_datetime": f"{_SHIFT} + make_dt_interval(0, 0, {_MINUTE})",
     "tpep_dropoff_datetime": f"{_SHIFT} + make_dt_interval(0, 0, {_MINUTE} + {_LENGTH})",
     "passenger_count": "if(l_partkey % 23 = 0, null, l_linenumber % 6 + 1)",
@@ -47,9 +49,36 @@ _COLUMNS = {
 }
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips from all line items."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return derived_trips(line_items(spark, sf_dir))
+
+
+def trips_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips, each partition a stretch of pickup times.
+
+    Line items are dealt, which are narrower than trips and need no derivation to be sampled.
+    """
+    moment = F.expr(_COLUMNS["tpep_pickup_datetime"])
+    return derived_trips(used_columns(line_items(spark, sf_dir)).repartitionByRange(moment))
+
+
+def used_columns(items: DataFrame) -> DataFrame:
+    """What trips are derived from."""
+    return items.select(*(c for c in items.columns if any(c in sql for sql in _COLUMNS.values())))
+
+
+def with_vendor(items: DataFrame, vendor: int) -> DataFrame:
+    """Line items that have a trip of a vendor."""
+    return items.filter(F.expr(f"array_contains({_VENDORS}, {vendor})"))
+
+
+def derived_trips(items: DataFrame) -> DataFrame:
+    """A trip of each line item, two of some."""
     derived = items.select(*(F.expr(sql).alias(name) for name, sql in _COLUMNS.items()))
     return conform(derived, RAW_SCHEMA)
 

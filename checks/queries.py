@@ -27,6 +27,7 @@ from tierline.sources.lookup import LookupFacts, read_zone_lookup
 from tierline.sources.tables import (
     RawInput,
     audited_fields,
+    conform,
     in_periods,
     read_bronze,
     read_gold,
@@ -219,12 +220,45 @@ def cast_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _write_files(
+    spark: SparkSession,
+    rows: DataFrame,
+    files: int,
+    derive: Callable[[DataFrame], DataFrame],
+    folder: str,
+) -> dict[str, Callable[[], None]]:
+    """Writes of what ``derive`` makes of ``rows`` as so many files of about equal size.
+
+    A file is written by one task. What that task reads are compressed columns, of which every
+    task has written a share here, and not shuffled rows, which are several times as many bytes.
+    """
+    path = work_folder(spark, "shares")
+    share = F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int")
+    dealt = rows.withColumn("_share", share)
+    dealt.write.partitionBy("_share").parquet(path)
+    shares = spark.read.schema(dealt.schema).parquet(path)
+
+    def write(k: int) -> None:
+        part = shares.filter(F.col("_share") == k).drop("_share").coalesce(1)
+        derive(part).write.parquet(f"{folder}-{k}")
+
+    return {f"{folder}-{k}": lambda k=k: write(k) for k in range(files)}
+
+
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns by type of a folder in which both generations of files were mixed."""
     folder = work_folder(spark, "mixed")
-    fixtures.trips(spark, sf_dir).filter("VendorID = 1").repartition(3).write.parquet(folder)
-    older = fixtures.trips_older(spark, sf_dir).filter("VendorID = 2")
-    older.repartition(2).write.mode("append").parquet(folder)
+    items = fixtures.used_columns(fixtures.line_items(spark, sf_dir))
+    writes = {}
+    for vendor, schema, files in ((1, RAW_SCHEMA, 3), (2, RAW_SCHEMA_OLDER, 2)):
+
+        def derive(part: DataFrame, vendor=vendor, schema=schema) -> DataFrame:
+            rows = fixtures.derived_trips(part).filter(F.col("VendorID") == vendor)
+            return conform(rows, schema)
+
+        some = fixtures.with_vendor(items, vendor)
+        writes |= _write_files(spark, some, files, derive, f"{folder}/file={vendor}")
+    jobs._together(spark, writes)
     return schema_census(spark, folder).drop("a_file")
 
 

@@ -5,6 +5,7 @@ from dataclasses import replace
 
 import pytest
 
+from checks import queries
 from rows import many, raw
 from tierline.operators.ingest import LossyCast
 from tierline.plans import jobs
@@ -274,3 +275,14 @@ def test_a_move_onto_something_is_refused(spark, tmp_path):
         os.makedirs(tmp_path / name)
     with pytest.raises(OSError):
         Folders(spark, str(tmp_path)).move("a", "b")
+
+
+def test_files_written_by_share_are_as_many_as_asked_for(spark, tmp_path):
+    rows, folder = spark.range(700, numPartitions=7), f"{tmp_path}/mixed/file=1"
+    writes = queries._write_files(spark, rows, 3, lambda part: part.filter("id < 600"), folder)
+    jobs._together(spark, writes)
+    written = spark.read.parquet(f"{tmp_path}/mixed")
+    assert sorted(r["id"] for r in written.collect()) == list(range(600))
+    census = schema_census(spark, f"{tmp_path}/mixed").collect()
+    assert [(r["type"], r["n_files"], r["n_rows"]) for r in census] == [("bigint", 3, 600)]
+    assert max(r["count"] for r in written.groupBy("file").count().collect()) < 250
