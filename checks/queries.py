@@ -273,9 +273,12 @@ def stored_config(spark: SparkSession, sf_dir: str, copies: int = 1) -> Pipeline
     Raw files arrive by time, so each holds a stretch of it.
     """
     folder = work_folder(spark, "run")
-    raw = fixtures.trips(spark, sf_dir)
-    raw = raw if copies == 1 else fixtures.spread(raw, copies)
-    raw.repartitionByRange("tpep_pickup_datetime").write.parquet(f"{folder}/raw")
+    if copies == 1:
+        raw = fixtures.trips_by_time(spark, sf_dir)
+    else:
+        spread = fixtures.spread(fixtures.trips(spark, sf_dir), copies)
+        raw = spread.repartitionByRange("tpep_pickup_datetime")
+    raw.write.parquet(f"{folder}/raw")
     fixtures.zones(spark, sf_dir).write.option("header", True).csv(f"{folder}/zones")
     return PipelineConfig(
         raw=(RawInput(f"{folder}/raw"),),

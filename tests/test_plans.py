@@ -4,7 +4,9 @@ import re
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks import fixtures
 from checks import queries as registered_queries
 from rows import many, zones
 from tierline.operators import dedup, enrich, ingest, kpi, quality, reports, standardise
@@ -236,3 +238,36 @@ def test_rebalanced_write_makes_few_files(spark, tmp_path):
     write_by_period(df, str(tmp_path / "joined"), rebalance=True)
     files = {n: len(list((tmp_path / n).rglob("*.parquet"))) for n in ("plain", "joined")}
     assert files == {"plain": 40, "joined": 5}
+
+
+def test_small_months_are_sorted_by_the_trip_before_the_month(spark):
+    pickup = "make_timestamp(2024, 1 + id % 3, 1 + id % 4, id % 2, 0, 0)"
+    rows = many(spark, 300, VendorID="id % 5", tpep_pickup_datetime=pickup, extra="id % 7")
+    std = standardise.standardise(ingest.with_period(rows))
+    dealt = dedup.deduplicate(std, dealt_by=("_year", "_month"))
+    assert "Sort [pickup_datetime" in plan(dealt) and "Sort [_year" not in plan(dealt)
+    assert plan(dealt).count("Exchange") == 1
+    kept = sorted(map(str, dedup.deduplicate(std).collect()))
+    assert len(kept) == 12 and sorted(map(str, dealt.collect())) == kept
+
+
+def test_raw_trips_by_time_shuffle_line_items(spark, tmp_path):
+    items = spark.range(400, numPartitions=4).selectExpr(
+        "id AS l_orderkey",
+        "id * 7 AS l_partkey",
+        "id % 91 AS l_suppkey",
+        "int(id % 7) AS l_linenumber",
+        *(f"double(id) AS {c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+        "if(id % 2 = 0, 'R', 'N') AS l_returnflag",
+        "'a text that no trip has' AS l_comment",
+        "timestamp '1996-01-01 00:00:00' + make_dt_interval(int(id * 7919 % 900)) AS l_shipdate",
+    )
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows, dealt = (f(spark, str(tmp_path)) for f in (fixtures.trips, fixtures.trips_by_time))
+    below = plan(dealt)[plan(dealt).index("Exchange rangepartitioning") :]
+    assert "tpep_" not in below and "l_comment" not in below
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    moment = F.col("tpep_pickup_datetime")
+    spans = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.min(moment), F.max(moment))
+    found = [r[1:] for r in spans.orderBy("part").collect()]
+    assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))

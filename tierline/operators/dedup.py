@@ -44,5 +44,7 @@ def deduplicate(
     ]
     if dealt_by:
         df = df.repartition(*dealt_by)
-    ranked = Window.partitionBy(*dealt_by, *keys).orderBy(*order)
+    # Rows of a task differ little in ``dealt_by``; sorted by it first, each comparison would
+    # go through its values before it meets the key.
+    ranked = Window.partitionBy(*keys, *dealt_by).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
